@@ -3,8 +3,8 @@
 The header row names the columns; a column declared in the spec gets its type,
 any other is a string. Cells are read as text and cast, so a cell means the
 same whatever its neighbours are. Files without quoted line breaks are read in
-splits; files with them are first put together record by record, in parallel
-too, rather than read by one task each.
+splits. With them, files that are one split anyway are read file by file, and
+larger ones are put together record by record across their splits.
 """
 
 from __future__ import annotations
@@ -38,13 +38,14 @@ def read_seed(
     names = _header(spark, path)
     texts = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in texts])
-    if _has_open_lines(spark, path):
-        cells = _records(spark, path).select(
-            F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), _FORMAT).alias("r")
-        )
+    open_lines, split_files = _line_breaks(spark, path)
+    if open_lines and split_files:
+        ddl = ", ".join(f"{c} STRING" for c in texts)
+        cells = _records(spark, path).select(F.from_csv("record", ddl, _FORMAT).alias("r"))
         cells = cells.select("r.*")
     else:
-        cells = spark.read.options(**_FORMAT).schema(schema).csv(path, header=True)
+        reader = spark.read.options(**_FORMAT).schema(schema)
+        cells = reader.csv(path, header=True, multiLine=open_lines)
     declared = {c.name.lower(): c.type for c in spec.columns}
     return cells.select(
         *[
@@ -80,12 +81,21 @@ def _quotes_odd(line: Column) -> Column:
     return F.length(F.regexp_replace(line, '[^"]', "")) % 2
 
 
-def _has_open_lines(spark: SparkSession, path: str | list[str]) -> bool:
-    """Some record goes on after a line break inside quotes.
+def _line_breaks(spark: SparkSession, path: str | list[str]) -> tuple[bool, bool]:
+    """Does some record go on after a line break, and is some file several splits?
 
-    A line where that begins or ends has an odd number of quote characters.
+    A line where a quoted cell stays open, or is closed again, has an odd
+    number of quote characters.
     """
-    return not spark.read.text(path).filter(_quotes_odd(F.col("value")) == 1).isEmpty()
+    seen = (
+        spark.read.text(path)
+        .agg(
+            F.max(_quotes_odd(F.col("value")) == 1).alias("open_lines"),
+            F.max(F.col("_metadata.file_block_start") > 0).alias("split_files"),
+        )
+        .first()
+    )
+    return bool(seen["open_lines"]), bool(seen["split_files"])
 
 
 def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -102,44 +112,48 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
     )
-    lines = lines.withColumn("odd", _quotes_odd(F.col("line")))
     in_block = Window.partitionBy("file", "block").orderBy("at")
-    blocks_before = (
-        Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    whole_file = Window.partitionBy("file")
+    lines = lines.withColumn("odd", _quotes_odd(F.col("line")))
+    lines = lines.withColumn("flips", (F.sum("odd").over(in_block) - F.col("odd")) % 2)
 
-    quotes = lines.groupBy("file", "block").agg(F.sum("odd").alias("n"))
-    unclosed = F.sum("n").over(whole_file) % 2 == 1
-    message = F.format_string("a quoted cell is never closed in %s", F.col("file"))
-    quotes = quotes.select(
-        "file",
-        "block",
-        F.coalesce(F.sum("n").over(blocks_before), F.lit(0)).alias("odd_before"),
-        unclosed.alias("unclosed"),
-    ).filter(F.when(F.col("unclosed"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
-
-    inside = F.sum("odd").over(in_block) - F.col("odd") + F.col("odd_before")
-    lines = lines.join(quotes, ["file", "block"]).withColumn("starts", inside % 2 == 0)
-    began = F.when(F.col("starts"), F.col("at"))
-    filled = F.when(F.col("starts") & (F.col("line") != ""), F.col("at"))
+    # Per block, for both cases: it begins outside (0) or inside (1) of a quoted cell.
+    filled = F.col("line") != ""
     blocks = lines.groupBy("file", "block").agg(
-        F.max(began).alias("last_start"), F.min(filled).alias("first_start")
+        F.sum("odd").alias("quotes"),
+        *[F.max(F.when(F.col("flips") == i, F.col("at"))).alias(f"last_{i}") for i in (0, 1)],
+        *[
+            F.min(F.when((F.col("flips") == i) & filled, F.col("at"))).alias(f"first_{i}")
+            for i in (0, 1)
+        ],
     )
-    from_start = Window.partitionBy("file").orderBy("block").rowsBetween(
+    per_file = Window.partitionBy("file")
+    before = per_file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    throughout = per_file.orderBy("block").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
+    message = F.format_string("a quoted cell is never closed in %s", F.col("file"))
+    blocks = blocks.withColumn("unclosed", F.sum("quotes").over(per_file) % 2 == 1).withColumn(
+        "begins", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
+    )
+    blocks = blocks.filter(
+        F.when(F.col("unclosed"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    )
+    for name in ("last", "first"):
+        outside, inside = F.col(f"{name}_0"), F.col(f"{name}_1")
+        blocks = blocks.withColumn(name, F.when(F.col("begins") == 0, outside).otherwise(inside))
     blocks = blocks.select(
         "file",
         "block",
-        F.last("last_start", ignorenulls=True).over(blocks_before).alias("open_since"),
-        F.first("first_start", ignorenulls=True).over(from_start).alias("header_at"),
-    )
-    lines = (
-        lines.join(blocks, ["file", "block"])
-        .withColumn("record_at", F.coalesce(F.max(began).over(in_block), F.col("open_since")))
-        .filter(F.col("record_at") != F.col("header_at"))
+        "begins",
+        F.last("last", ignorenulls=True).over(before).alias("open_since"),
+        F.first("first", ignorenulls=True).over(throughout).alias("header_at"),
     )
+
+    lines = lines.join(blocks, ["file", "block"])
+    lines = lines.withColumn("starts", F.col("flips") == F.col("begins"))
+    began = F.max(F.when(F.col("starts"), F.col("at"))).over(in_block)
+    lines = lines.withColumn("record_at", F.coalesce(began, F.col("open_since")))
+    lines = lines.filter(F.col("record_at") != F.col("header_at"))
     whole = F.col("starts") & (F.col("odd") == 0)
     single = lines.filter(whole & (F.col("line") != "")).select(F.col("line").alias("record"))
     pieces = F.sort_array(F.collect_list(F.struct("block", "at", "line")))
