@@ -43,7 +43,7 @@ def gate_table(spark: SparkSession, name: str, having: str | None = None) -> Dat
     parts = name.split(".")
     if len(parts) > 2 or not all(part.strip() for part in parts):
         raise SpecError(f"expected `table` or `schema.table`, got {name!r}")
-    if not spark.catalog.tableExists(name):
+    if not spark.catalog.tableExists(quote_table(name)):
         return spark.range(1).select(F.lit(False).alias("ready"))
     if having is None:
         return spark.range(1).select(F.lit(True).alias("ready"))

@@ -105,12 +105,12 @@ class TableStore:
         return name if "." in name else f"{self.spark.catalog.currentDatabase()}.{name}"
 
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(self.full_name(name))
+        return self.spark.catalog.tableExists(quote_table(self.full_name(name)))
 
     def state(self, name: str) -> State | None:
         """The state of a table published here; ``None`` for anything else."""
         full = self.full_name(name)
-        if not self.spark.catalog.tableExists(full):
+        if not self.exists(full):
             return None
         listed = self.spark.sql(f"SHOW TBLPROPERTIES {quote_table(full)}")
         found = listed.filter(F.col("key") == _STATE).collect()
@@ -243,9 +243,12 @@ class TableStore:
         if self.state(full) is not None or not self.exists(full) or self._is_view(full):
             raise PublishError(f"{full} is not a table that can be adopted")
         schema = self.read(full).schema
-        layout = [c.name for c in self.spark.catalog.listColumns(full) if c.isPartition]
+        layout = [c.name for c in self.spark.catalog.listColumns(quote_table(full)) if c.isPartition]
         part = _part_name(full, 1)
         self.spark.sql(f"ALTER TABLE {quote_table(full)} RENAME TO {quote_table(part)}")
+        if layout:
+            # Catalogs may still list the partitions under the old name's folder.
+            self.spark.sql(f"MSCK REPAIR TABLE {quote_table(part)} SYNC PARTITIONS")
         self._publish(full, schema, None, State(1, (Part(part),), tuple(layout)))
 
     def vacuum(self, name: str) -> list[str]:
@@ -281,7 +284,7 @@ class TableStore:
     # -- internals ---------------------------------------------------------
 
     def _is_view(self, full: str) -> bool:
-        return self.spark.catalog.getTable(full).tableType == "VIEW"
+        return self.spark.catalog.getTable(quote_table(full)).tableType == "VIEW"
 
     def _write(
         self,

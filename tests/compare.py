@@ -31,7 +31,7 @@ def spark_rows(df) -> tuple[list[str], Counter]:
 
 
 def duck_rows(con, sql: str) -> tuple[list[str], Counter]:
-    table = con.execute(sql).to_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     names = sorted(table.column_names)
     data = zip(*[table.column(name).to_pylist() for name in names])
     return names, Counter(repr([_plain(v) for v in row]) for row in data)

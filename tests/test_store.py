@@ -1,0 +1,362 @@
+"""Publishing: views over parts, masks, layouts, failures, compaction."""
+
+from collections import Counter
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from frames import collected
+from tablewright import (
+    ColumnSpec,
+    MissingTarget,
+    PublishError,
+    RunWindow,
+    SpecError,
+    TableSpec,
+    TransformError,
+    materialize,
+    run_python,
+    run_query,
+)
+
+KEYS = (
+    ColumnSpec("id", "bigint", primary_key=True),
+    ColumnSpec("day", "date"),
+    ColumnSpec("n", "int", update_on_merge=True),
+)
+ROWS = "SELECT id, date_add(DATE'2024-01-01', CAST(id AS INT) % 5) AS day, CAST(id AS INT) AS n FROM range({}, {})"
+NOW = datetime(2024, 6, 1)
+
+
+def rows(spark, start, end):
+    return spark.sql(ROWS.format(start, end))
+
+
+def parts(store, name):
+    return store.state(name).parts
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_replace_then_incremental_runs(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    assert store.read(name).count() == 10
+    run_query(store, TableSpec(name, strategy="append"), ROWS.format(10, 12))
+    assert store.read(name).count() == 12
+    assert len(parts(store, name)) == 2
+    run_query(store, TableSpec(name, KEYS, strategy="anti_join"), ROWS.format(5, 15))
+    assert store.read(name).count() == 15
+    assert len(parts(store, name)) == 3
+    run_query(store, TableSpec(name, KEYS, strategy="merge"), ROWS.format(14, 16).replace("CAST(id AS INT) AS n", "7 AS n"))
+    assert collected(store.read(name).filter("id >= 13").select("id", "n")) == Counter(
+        [(13, 13), (14, 7), (15, 7)]
+    )
+    assert len(parts(store, name)) == 1
+    run_query(store, TableSpec(name, strategy="truncate+insert"), ROWS.format(0, 3))
+    assert store.read(name).count() == 3
+
+
+def test_time_interval_leaves_stored_rows_alone(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name, partition_by="day"), rows(spark, 0, 50))
+    base = parts(store, name)[0].table
+    spec = TableSpec(name, strategy="time_interval", incremental_key="day", time_granularity="date")
+    window = RunWindow("2024-01-02", "2024-01-03")
+    query = ROWS.format(100, 150) + " WHERE date_add(DATE'2024-01-01', CAST(id AS INT) % 5) BETWEEN :start_date AND :end_date"
+    for _ in range(2):
+        got = run_query(store, spec, query, window=window)
+        assert got.count() == 50 and got.filter("id >= 100").count() == 20
+    assert parts(store, name)[0].table == base
+    assert len(parts(store, name)[0].keep) == 1
+    # The predicate prunes the partitions of the first part.
+    text = plan(store.read(name))
+    assert "PartitionFilters: [NOT coalesce(((day" in text
+
+
+def test_delete_insert_masks_few_keys(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 50))
+    spec = TableSpec(name, strategy="delete+insert", incremental_key="day")
+    run_query(store, spec, ROWS.format(100, 102))
+    assert [len(p.keep) for p in parts(store, name)] == [1, 0]
+    assert store.read(name).count() == 32
+
+
+def test_layout_is_kept_by_later_runs_and_dropped_by_a_replace(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name, partition_by="day"), rows(spark, 0, 10))
+    run_query(store, TableSpec(name, strategy="truncate+insert"), ROWS.format(0, 20))
+    (part,) = parts(store, name)
+    assert [c.name for c in spark.catalog.listColumns(part.table) if c.isPartition] == ["day"]
+    assert store.read(name).columns == ["id", "day", "n"]
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    (part,) = parts(store, name)
+    assert not [c.name for c in spark.catalog.listColumns(part.table) if c.isPartition]
+
+
+def test_partition_values_keep_their_type(spark, store):
+    name = f"{store.schema}.t"
+    source = spark.sql("SELECT id, CASE WHEN id > 2 THEN concat('00', id) END AS code FROM range(5)")
+    got = materialize(store, TableSpec(name, partition_by="code"), source)
+    assert collected(got) == collected(source)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Small shuffles stay in several partitions, as large ones do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_cluster_by_sorts_files_by_range(spark, store, many_partitions):
+    name = f"{store.schema}.t"
+    source = spark.range(0, 100000, 1, 8).selectExpr("(id * 7919) % 100000 AS v", "id")
+    materialize(store, TableSpec(name, cluster_by=("v",)), source)
+    stored = spark.table(parts(store, name)[0].table).selectExpr("_metadata.file_path AS f", "v")
+    found = stored.groupBy("f").agg(F.min("v"), F.max("v")).collect()
+    spans = sorted((row[1], row[2]) for row in found)
+    assert len(spans) > 1
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_cluster_by_splits_one_frequent_value(spark, store, many_partitions):
+    name = f"{store.schema}.t"
+    source = spark.range(0, 80000, 1, 8).selectExpr("if(id % 2 = 0, 5, id) AS v", "'copy' AS w")
+    materialize(store, TableSpec(name, cluster_by=("v",)), source)
+    stored = spark.table(parts(store, name)[0].table)
+    files = stored.filter("v = 5").selectExpr("_metadata.file_path AS f").distinct().count()
+    assert files >= 3
+    assert collected(store.read(name).groupBy("w").count()) == Counter([("copy", 80000)])
+
+
+def test_failed_run_changes_nothing(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    before = store.state(name)
+    bad = "SELECT id, day, if(id > 3, raise_error('no'), n) AS n FROM (" + ROWS.format(0, 5) + ")"
+    with pytest.raises(Exception, match="no"):
+        run_query(store, TableSpec(name, strategy="append"), bad)
+    assert store.state(name) == before
+    assert store.read(name).count() == 10
+    store.vacuum(name)
+    listed = [t.name for t in spark.catalog.listTables(store.schema)]
+    assert sorted(listed) == sorted(["t", before.parts[0].table.split(".")[1]])
+
+
+def test_a_query_may_read_its_own_table(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    run_query(store, TableSpec(name, strategy="truncate+insert"), f"SELECT id, day, n + 1 FROM {name}")
+    run_query(store, TableSpec(name, KEYS, strategy="merge"), f"SELECT id, day, n + 1 AS n FROM {name}")
+    assert store.read(name).selectExpr("sum(n - id)").first()[0] == 20
+
+
+def test_random_sources_are_evaluated_once(spark, store):
+    name = f"{store.schema}.t"
+    query = "SELECT uuid() AS u, CAST(floor(rand() * 20) AS INT) AS g FROM range(200)"
+    run_query(store, TableSpec(name), query)
+    spec = TableSpec(name, strategy="delete+insert", incremental_key="g")
+    half = query.replace("* 20", "* 10")
+    old = store.read(name).filter("g >= 10")
+    survivors = old.count()
+    run_query(store, spec, half)
+    got = store.read(name)
+    assert got.count() == 200 + survivors
+    assert got.select("u").distinct().count() == got.count()
+
+
+def test_another_writer_is_noticed(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    stale = store.state(name)
+    materialize(store, TableSpec(name, strategy="append"), rows(spark, 10, 11))
+    with pytest.raises(PublishError, match="another writer"):
+        store._publish(name, store.read(name).schema, stale, stale)
+    assert store.state(name).version == 2
+
+
+def test_old_parts_go_after_one_more_run(spark, store):
+    name = f"{store.schema}.t"
+    for n in range(4):
+        materialize(store, TableSpec(name), rows(spark, 0, n + 1))
+    assert len(spark.catalog.listTables(store.schema)) == 3
+    reader = store.read(name)
+    materialize(store, TableSpec(name), rows(spark, 0, 9))
+    assert reader.count() == 4
+
+
+def test_many_parts_are_folded(spark, store):
+    store.max_parts = 4
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    base = parts(store, name)[0].table
+    for n in range(10, 18):
+        materialize(store, TableSpec(name, strategy="append"), rows(spark, n, n + 1))
+        assert len(parts(store, name)) <= 4
+    assert parts(store, name)[0].table == base
+    assert collected(store.read(name)) == collected(rows(spark, 0, 18))
+    store.compact(name, everything=True)
+    assert len(parts(store, name)) == 1
+    assert collected(store.read(name)) == collected(rows(spark, 0, 18))
+
+
+def test_many_masks_lead_to_a_rewrite(spark, store):
+    store.max_masks = 3
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 20))
+    spec = TableSpec(name, strategy="delete+insert", incremental_key="id")
+    for n in range(6):
+        materialize(store, spec, rows(spark, n, n + 1))
+    assert all(len(p.keep) <= 3 for p in parts(store, name))
+    assert collected(store.read(name)) == collected(rows(spark, 0, 20))
+
+
+def test_scd2_history_is_not_rewritten(spark, store):
+    name = f"{store.schema}.dim"
+    spec = TableSpec(name, (ColumnSpec("id", "bigint", primary_key=True), ColumnSpec("seg", "string")), strategy="scd2_by_column")
+    seg = "SELECT id, concat('v', id % {}) AS seg FROM range({})"
+    run_query(store, spec, seg.format(7, 30), full_refresh=True, now=NOW)
+    first = parts(store, name)[0].table
+    run_query(store, spec, seg.format(5, 25), now=datetime(2024, 7, 1))
+    state = store.state(name)
+    assert state.parts[0].table == first and state.parts[0].keep == ("NOT coalesce(`_is_current`, FALSE)",)
+    assert store.read(name).filter("_is_current").count() == 25
+    history = store.read(name).count()
+    run_query(store, spec, seg.format(5, 25), now=datetime(2024, 8, 1))
+    assert store.read(name).count() == history
+    # A run reads only open versions: closed ones are pruned by partition.
+    assert "PartitionFilters: [isnotnull(_is_current" in plan(store.read(name).filter("_is_current"))
+    assert [c.name for c in spark.catalog.listColumns(first) if c.isPartition] == ["_is_current"]
+    store.compact(name, everything=True, scd2=True)
+    assert store.read(name).count() == history
+
+
+def test_ddl_declares_once_and_survives_full_refresh(spark, store):
+    name = f"{store.schema}.declared"
+    columns = (
+        ColumnSpec("id", "bigint", primary_key=True, description="it's a key\\"),
+        ColumnSpec("event_date", "date"),
+        ColumnSpec("note", "text"),
+        ColumnSpec("odd name`", "decimal(10,2)"),
+    )
+    spec = TableSpec(name, columns, strategy="ddl", partition_by="event_date")
+    run_query(store, spec, None)
+    described = [(c.name, c.dataType, c.description) for c in spark.catalog.listColumns(name)]
+    assert described == [
+        ("id", "bigint", "it's a key\\"),
+        ("event_date", "date", None),
+        ("note", "string", None),
+        ("odd name`", "decimal(10,2)", None),
+    ]
+    run_query(store, TableSpec(name, strategy="append"), "SELECT 1, DATE'2024-01-01', 'x', 1.5")
+    run_query(store, spec, None, full_refresh=True)
+    assert store.read(name).count() == 1
+    (part,) = [p for p in parts(store, name) if spark.table(p.table).count()]
+    assert [c.name for c in spark.catalog.listColumns(part.table) if c.isPartition] == ["event_date"]
+    # Comments stay when the table changes.
+    assert spark.catalog.listColumns(name)[0].description == "it's a key\\"
+
+
+def test_views_are_evaluated_on_read_and_may_run_again(spark, store):
+    table, name = f"{store.schema}.t", f"{store.schema}.v"
+    materialize(store, TableSpec(table), rows(spark, 0, 3))
+    for _ in range(2):
+        got = run_query(store, TableSpec(name, kind="view"), f"SELECT id FROM {table} WHERE id > 0")
+    assert got.count() == 2
+    materialize(store, TableSpec(table, strategy="append"), rows(spark, 3, 4))
+    assert store.read(name).count() == 3
+
+
+def test_a_view_takes_the_place_of_a_table(spark, store):
+    name = f"{store.schema}.x"
+    materialize(store, TableSpec(name), rows(spark, 0, 3))
+    run_query(store, TableSpec(name, kind="view"), "SELECT 1 AS one")
+    assert [t.name for t in spark.catalog.listTables(store.schema)] == ["x"]
+    spark.sql(f"CREATE TABLE {store.schema}.plain USING parquet AS SELECT 1 AS a")
+    run_query(store, TableSpec(f"{store.schema}.plain", kind="view"), "SELECT 2 AS two")
+    assert store.read(f"{store.schema}.plain").columns == ["two"]
+    with pytest.raises(SpecError, match="text"):
+        run_query(store, TableSpec(name, kind="view"), rows(spark, 0, 1))
+
+
+def test_plain_tables_are_taken_over(spark, store):
+    store.create_schema(f"{store.schema}.t")
+    spark.sql(f"CREATE TABLE {store.schema}.t USING parquet PARTITIONED BY (b) AS SELECT 1 AS a, 'x' AS b")
+    run_query(store, TableSpec(f"{store.schema}.t", strategy="append"), "SELECT 2, 'y'")
+    assert collected(store.read(f"{store.schema}.t")) == Counter([(1, "x"), (2, "y")])
+    assert store.state(f"{store.schema}.t").partition_by == ("b",)
+    spark.sql(f"CREATE VIEW {store.schema}.foreign AS SELECT 1 AS a")
+    with pytest.raises(PublishError, match="view"):
+        run_query(store, TableSpec(f"{store.schema}.foreign"), "SELECT 2 AS a")
+
+
+def test_missing_tables_and_bootstrap(spark, store):
+    name = f"{store.schema}.t"
+    with pytest.raises(MissingTarget):
+        run_query(store, TableSpec(name, KEYS, strategy="merge"), ROWS.format(0, 3))
+    assert not store.exists(name)
+    run_query(store, TableSpec(name, KEYS, strategy="merge", bootstrap=True), ROWS.format(0, 3))
+    assert store.read(name).count() == 3
+
+
+def test_unqualified_names_live_in_the_current_schema(spark, store):
+    store.create_schema(f"{store.schema}.x")
+    spark.catalog.setCurrentDatabase(store.schema)
+    try:
+        run_query(store, TableSpec("plain_name"), "SELECT 1 AS a")
+        run_query(store, TableSpec("plain_name", strategy="append"), "SELECT 2")
+        assert store.read(f"{store.schema}.plain_name").count() == 2
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+
+
+def test_queries_without_a_table(spark, store):
+    spec = TableSpec("q", kind="none")
+    window = RunWindow("2024-01-01", "2024-01-03")
+    got = run_query(store, spec, "SELECT :start_date AS a, :n + 1 AS b", window=window, args={"n": 4})
+    assert str(got.first()["a"]) == "2024-01-01" and got.first()["b"] == 5
+    assert run_query(store, spec, "  ") is None
+
+
+def test_python_transforms(spark, store):
+    name = f"{store.schema}.py"
+    got = run_python(store, TableSpec(name), lambda session: session.range(4).selectExpr("id", "id > 1 AS big"))
+    assert got.filter("big").count() == 2
+    assert run_python(store, TableSpec(name), None) is None
+    assert run_python(store, TableSpec(name), lambda session: None) is None
+    with pytest.raises(TransformError, match=f"{name} failed: boom"):
+        def fail(session):
+            raise ValueError("boom")
+        run_python(store, TableSpec(name), fail)
+    with pytest.raises(TransformError, match="DataFrame"):
+        run_python(store, TableSpec(name), lambda session: 5)
+    assert store.read(name).count() == 4
+
+
+def test_drop(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 1))
+    materialize(store, TableSpec(name), rows(spark, 0, 2))
+    store.drop(name)
+    assert not spark.catalog.listTables(store.schema)
+    with pytest.raises(PublishError):
+        store.drop(name)
+
+
+def test_odd_column_names(spark, store):
+    name = f"{store.schema}.odd"
+    run_query(store, TableSpec(name), "SELECT 1 AS `a b`, 2 AS `c.d`")
+    spec = TableSpec(
+        name,
+        (ColumnSpec("a b", primary_key=True), ColumnSpec("c.d", update_on_merge=True)),
+        strategy="merge",
+    )
+    run_query(store, spec, "SELECT 1 AS `a b`, 5 AS `c.d` UNION ALL SELECT 2, 6")
+    spec = TableSpec(name, strategy="delete+insert", incremental_key="c.d")
+    got = run_query(store, spec, "SELECT 9, 6")
+    assert collected(got) == Counter([(1, 5), (9, 6)])
