@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from . import spec as names
 from .operators.checks import require_passed, run_checks
 from .operators.strategies import MissingTarget, plan_change
-from .plans.change import KEEP_NONE
+from .plans.change import EVERYTHING
 from .plans.sizing import Limits
 from .sources.seed import read_seed
 from .sources.store import TableStore
@@ -104,7 +104,7 @@ def materialize(
     change = plan_change(
         spec, target, rows, window=window, now=now, full_refresh=full_refresh, limits=limits
     )
-    store.commit(spec, change, new_layout=fresh and change.keep == KEEP_NONE)
+    store.commit(spec, change, new_layout=fresh and change.goes == EVERYTHING)
     table = store.read(spec.name)
     if check and (spec.custom_checks or any(c.checks for c in spec.columns)):
         require_passed(run_checks(table, spec))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.types import quote
 from ..plans.bind import find, stored
-from ..plans.change import Change, keep_unless
+from ..plans.change import Change
 from ..plans.match import match_rows
 from ..plans.sizing import Limits
 from ..spec import IS_CURRENT, OPEN_END, SCD2_BY_COLUMN, VALID_FROM, VALID_UNTIL, SpecError, TableSpec
@@ -111,7 +111,7 @@ def change(
     )
     current = target.filter(F.col(quote(IS_CURRENT)))
     matched = match_rows(current, rows, keys, limits)
-    return Change(keep_unless(quote(IS_CURRENT)), matched.select(F.inline(versions)))
+    return Change(quote(IS_CURRENT), matched.select(F.inline(versions)))
 
 
 def _differs(

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec as names
-from ..functions.literals import has_literal, sql_literal
 from ..functions.types import quote
 from ..plans.bind import bind, find, pick
-from ..plans.change import KEEP_ALL, KEEP_NONE, Change, keep_unless
+from ..plans.change import EVERYTHING, NOTHING, Change
 from ..plans.match import match_rows, unmatched
 from ..plans.sizing import Limits
+from ..plans.touched import few_values, one_of, reachable
 from ..spec import RunWindow, SpecError, TableSpec
 from . import scd2
 
@@ -47,25 +47,25 @@ def plan_change(
     strategy = spec.strategy
     if strategy == names.DDL:
         if target is not None:
-            return Change(KEEP_ALL, target.limit(0))
+            return Change(NOTHING, target.limit(0))
         spark = source.sparkSession if source is not None else None
         if spark is None:
             raise SpecError("ddl on a new table goes through TableStore.declare")
-        return Change(KEEP_NONE, spark.createDataFrame([], spec.schema()))
+        return Change(EVERYTHING, spark.createDataFrame([], spec.schema()))
     if source is None:
         raise SpecError(f"{strategy} needs a query")
     if full_refresh or strategy == names.CREATE_REPLACE:
-        return Change(KEEP_NONE, rebuilt(spec, source, now))
+        return Change(EVERYTHING, rebuilt(spec, source, now))
     if target is None:
         if not spec.bootstrap:
             raise MissingTarget(f"{spec.name} does not exist; run a full refresh or ddl first")
-        return Change(KEEP_NONE, rebuilt(spec, source, now))
+        return Change(EVERYTHING, rebuilt(spec, source, now))
     if spec.needs_window and window is None:
         raise SpecError(f"{strategy} needs a run window")
     if strategy == names.APPEND:
-        return Change(KEEP_ALL, bind(source, target.schema, spec.by_name))
+        return Change(NOTHING, bind(source, target.schema, spec.by_name))
     if strategy == names.TRUNCATE_INSERT:
-        return Change(KEEP_NONE, bind(source, target.schema, spec.by_name))
+        return Change(EVERYTHING, bind(source, target.schema, spec.by_name))
     if strategy == names.TIME_INTERVAL:
         return time_interval(spec, target, source, window)
     if strategy == names.DELETE_INSERT:
@@ -106,7 +106,7 @@ def time_interval(
     rows = bind(source, target.schema, spec.by_name)
     if spec.clip:
         rows = rows.filter(F.expr(inside))
-    return Change(keep_unless(inside), rows)
+    return Change(inside, rows)
 
 
 def delete_insert(
@@ -120,19 +120,17 @@ def delete_insert(
     """
     key = find(target.schema, spec.incremental_key)
     rows = bind(source, target.schema, spec.by_name)
-    keys = rows.select(quote(key.name)).filter(F.col(quote(key.name)).isNotNull()).distinct()
-    if has_literal(key.dataType):
-        few = keys.limit(limits.literal_values + 1).collect()
-        if len(few) <= limits.literal_values:
-            if not few:
-                return Change(KEEP_ALL, rows)
-            zone = _zone(target)
-            listed = ", ".join(sorted(sql_literal(row[0], key.dataType, zone) for row in few))
-            return Change(keep_unless(f"{quote(key.name)} IN ({listed})"), rows)
+    values = few_values(rows, key, limits)
+    if values is not None:
+        return Change(one_of(target, key, values) if values else NOTHING, rows)
+    name = F.col(quote(key.name))
+    keys = rows.select(name).filter(name.isNotNull()).distinct()
+    reached = reachable(target, keys, [key.name], spec.partition_by, limits)
+    touched = target if reached is None else target.filter(F.expr(reached))
     kept = unmatched(
-        target, keys, [key.name], null_safe=False, limits=limits, known_is_smaller=True
+        touched, keys, [key.name], null_safe=False, limits=limits, known_is_smaller=True
     )
-    return Change(KEEP_NONE, kept.union(rows))
+    return Change(reached or EVERYTHING, kept.union(rows))
 
 
 def anti_join(
@@ -152,7 +150,7 @@ def anti_join(
     if spec.needs_window:
         known = known.filter(F.expr(_in_window(spec, target, window)))
     rows = bind(source, target.schema, spec.by_name)
-    return Change(KEEP_ALL, unmatched(rows, known, keys, null_safe=True, limits=limits))
+    return Change(NOTHING, unmatched(rows, known, keys, null_safe=True, limits=limits))
 
 
 def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits) -> Change:
@@ -164,8 +162,9 @@ def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits)
     rows = pick(source, schema, declared)
     if not updated:
         new = unmatched(rows, target, keys, null_safe=False, limits=limits)
-        return Change(KEEP_ALL, _widened(new, schema))
-    keep, touched = _touched_partitions(spec, target, rows, keys, limits)
+        return Change(NOTHING, _widened(new, schema))
+    reached = reachable(target, rows, keys, spec.partition_by, limits)
+    touched = target if reached is None else target.filter(F.expr(reached))
     matched = match_rows(touched, rows, keys, limits)
     both = F.col("in_target") & F.col("in_source")
     cols = []
@@ -175,7 +174,7 @@ def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits)
         replaced = F.when(both, new) if field.name in updated else F.when(both, old)
         value = replaced.when(F.col("in_target"), old).otherwise(new)
         cols.append(value.cast(field.dataType).alias(field.name))
-    return Change(keep, matched.select(*cols))
+    return Change(reached or EVERYTHING, matched.select(*cols))
 
 
 def _widened(rows: DataFrame, schema) -> DataFrame:
@@ -186,29 +185,3 @@ def _widened(rows: DataFrame, schema) -> DataFrame:
             for f in schema
         ]
     )
-
-
-def _touched_partitions(
-    spec: TableSpec, target: DataFrame, rows: DataFrame, keys: list[str], limits: Limits
-) -> tuple[str, DataFrame]:
-    """The part of the target a merge can change, and the predicate for the rest.
-
-    When the first partition column is a key column, only partitions that the
-    source names can change; a short list of them limits the whole merge to
-    these partitions. Otherwise it is the whole table.
-    """
-    if not spec.partition_by:
-        return KEEP_NONE, target
-    column = find(target.schema, spec.partition_by[0])
-    if column.name not in keys or not has_literal(column.dataType):
-        return KEEP_NONE, target
-    named = F.col(quote(column.name))
-    few = (
-        rows.select(named).filter(named.isNotNull()).distinct().limit(limits.literal_values + 1)
-    ).collect()
-    if not few or len(few) > limits.literal_values:
-        return (KEEP_NONE, target) if few else (KEEP_ALL, target.limit(0))
-    zone = _zone(target)
-    listed = ", ".join(sorted(sql_literal(row[0], column.dataType, zone) for row in few))
-    touched = f"coalesce({quote(column.name)} IN ({listed}), FALSE)"
-    return f"NOT {touched}", target.filter(F.expr(touched))

@@ -1,4 +1,4 @@
-"""The common form of every strategy: which rows stay, which rows come in."""
+"""The common form of every strategy: which rows go, which rows come in."""
 
 from __future__ import annotations
 
@@ -7,29 +7,35 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEEP_ALL = None
-KEEP_NONE = "FALSE"
+NOTHING = None
+EVERYTHING = "TRUE"
 
 
 @dataclass(frozen=True)
 class Change:
-    """Next state = target rows satisfying ``keep``, plus ``rows``.
+    """Next state = target rows for which ``goes`` is not true, plus ``rows``.
 
-    ``keep`` is a SQL predicate over the target's columns built from typed
+    ``goes`` is a SQL predicate over the target's columns built from typed
     literals only, so a published table can hold on to its stored files and
     put the predicate in front of them instead of rewriting the rows that stay.
     """
 
-    keep: str | None
+    goes: str | None
     rows: DataFrame
 
+    @property
+    def keep(self) -> str:
+        """The predicate of the rows that stay; unknown counts as not going."""
+        if self.goes is NOTHING:
+            return "TRUE"
+        return "FALSE" if self.goes == EVERYTHING else keep_unless(self.goes)
+
     def apply(self, target: DataFrame | None) -> DataFrame:
-        if self.keep == KEEP_NONE or target is None:
+        if self.goes == EVERYTHING or target is None:
             return self.rows
-        kept = target if self.keep is KEEP_ALL else target.filter(F.expr(self.keep))
+        kept = target if self.goes is NOTHING else target.filter(F.expr(self.keep))
         return kept.union(self.rows)
 
 
 def keep_unless(predicate: str) -> str:
-    """Rows for which ``predicate`` is not true; unknown counts as not true."""
     return f"NOT coalesce({predicate}, FALSE)"

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from ..functions.types import byte_size, quote
 
 # Frequencies below this are not looked for: the list of hot keys stays short.
-_LEAST_SHARE = 1e-4
-_LEAST_TRACKED = 10_000
-_MOST_TRACKED = 1_000_000
+_LEAST_SHARE = 5e-4
+# Tasks are sketched in this many groups, each listing its own frequent keys.
+_SKETCH_GROUPS = 512
+# A group lists keys down to this fraction of the share, and tracks more.
+_LISTED_PER_SHARE = 4
+_TRACKED_PER_LISTED = 16
 
 
 @dataclass(frozen=True)
@@ -58,20 +61,27 @@ def key_hash(keys: Sequence[str]) -> Column:
 def hot_hashes(sides: Sequence[DataFrame], keys: Sequence[str], limits: Limits) -> list[int]:
     """Hashes of the keys that hold more than the allowed share of all rows.
 
-    One pass over the key columns of both sides with a bounded sketch per
-    task; the answer has at most ``1 / share`` entries. Sides must have equal
-    key types, or their hashes would differ.
+    One pass over the key columns of both sides: groups of tasks list their
+    frequent keys from a bounded sketch, then the lists are added up. No key
+    above the share is missed, as groups list less frequent ones too; the
+    answer has at most ``2 / share`` entries. Sides must have equal key types,
+    or their hashes would differ.
     """
-    spark = sides[0].sparkSession
-    share = limits.share(spark)
-    most = int(1 / share)
-    tracked = min(_MOST_TRACKED, max(_LEAST_TRACKED, 16 * most))
+    share = limits.share(sides[0].sparkSession)
+    listed = max(100, int(_LISTED_PER_SHARE / share))
+    tracked = _TRACKED_PER_LISTED * listed
     hashes = sides[0].select(key_hash(keys).alias("h"))
     for side in sides[1:]:
         hashes = hashes.union(side.select(key_hash(keys).alias("h")))
-    seen = hashes.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(h, {min(most, tracked)}, {tracked})").alias("top"),
-    ).first()
-    least = share * seen["n"]
-    return [item["item"] for item in seen["top"] or [] if item["count"] > max(least, 1)]
+    group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g")
+    lists = hashes.groupBy(group).agg(
+        F.expr(f"approx_top_k(h, {listed}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")
+    )
+    # The number of all rows goes along as the count of no key, and sorts first.
+    total = F.struct(F.lit(None).cast("long").alias("item"), F.col("n").alias("count"))
+    counts = lists.select(F.inline(F.concat("top", F.array(total)))).groupBy("item")
+    most = int(2 / share) + 1
+    seen = counts.agg(F.sum("count").alias("n")).orderBy(F.desc("n"), F.col("item")).limit(most)
+    found = {row["item"]: row["n"] for row in seen.collect()}
+    least = max(share / 2 * found.pop(None, 0), 1)
+    return [item for item, n in found.items() if n > least]

@@ -5,11 +5,13 @@ are written once and never changed. A run writes its new rows as one part and
 then replaces the view in a single catalog statement, so readers see the old
 rows or the new ones and a failed run leaves the table as it was.
 
-The view puts predicates in front of older parts (``Change.keep``). Replacing
+The view puts predicates in front of older parts (``Change.goes``). Replacing
 a time window, deleting a list of keys or partitions and closing versions thus
-cost as much as the rows they bring in, not as much as the table; the
-predicates reach the parts' scans. When a table has gathered many parts, the
-later ones are folded into one, and at times all of them.
+cost as much as the rows they touch, not as much as the table; the predicates
+reach the parts' scans. A part without remaining rows is let go, one with more
+rows gone than left is rewritten, and when a table has gathered many parts the
+later ones are folded into one. So a table never takes much more than twice
+the space of its rows, and never reads from more than ``max_parts`` parts.
 
 One writer per table is assumed; a second one is noticed before it publishes.
 """
@@ -21,6 +23,7 @@ import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +31,7 @@ from pyspark.sql import types as T
 
 from ..functions.literals import text_literal
 from ..functions.types import quote, quote_table
-from ..plans.bind import bind
-from ..plans.change import KEEP_ALL, KEEP_NONE, Change
+from ..plans.change import EVERYTHING, NOTHING, Change, keep_unless
 from ..spec import IS_CURRENT, TableSpec
 
 _STATE = "tablewright.state"
@@ -42,8 +44,12 @@ class PublishError(RuntimeError):
 
 @dataclass(frozen=True)
 class Part:
+    """A stored table, the predicates before it, its rows and those that are left."""
+
     table: str
     keep: tuple[str, ...] = ()
+    rows: int = 0
+    left: int = 0
 
 
 @dataclass(frozen=True)
@@ -60,7 +66,7 @@ class State:
         return json.dumps(
             {
                 "version": self.version,
-                "parts": [[part.table, list(part.keep)] for part in self.parts],
+                "parts": [[p.table, list(p.keep), p.rows, p.left] for p in self.parts],
                 "partition_by": self.partition_by,
                 "cluster_by": self.cluster_by,
                 "retired": self.retired,
@@ -72,7 +78,7 @@ class State:
         raw = json.loads(text)
         return State(
             raw["version"],
-            tuple(Part(table, tuple(keep)) for table, keep in raw["parts"]),
+            tuple(Part(table, tuple(keep), rows, left) for table, keep, rows, left in raw["parts"]),
             tuple(raw["partition_by"]),
             tuple(raw["cluster_by"]),
             tuple(raw["retired"]),
@@ -83,8 +89,8 @@ class TableStore:
     """Creates, changes and reads published tables of one Spark catalog.
 
     New schemas are placed under ``location``, by default where the catalog
-    puts them. More than ``max_parts`` parts, or more than ``max_masks``
-    predicates on one part, lead to compaction after a commit.
+    puts them. A commit that leaves more than ``max_parts`` parts, or more than
+    ``max_masks`` predicates before one part, is followed by a rewrite of parts.
     """
 
     def __init__(
@@ -147,12 +153,12 @@ class TableStore:
         if self.exists(spec.name):
             return False
         empty = self.spark.createDataFrame([], spec.schema())
-        self.commit(spec, Change(KEEP_NONE, empty))
+        self.commit(spec, Change(EVERYTHING, empty))
         return True
 
     def replace(self, spec: TableSpec, rows: DataFrame) -> None:
         """Make the table consist of ``rows``, with their schema."""
-        self.commit(spec, Change(KEEP_NONE, rows), new_layout=True)
+        self.commit(spec, Change(EVERYTHING, rows), new_layout=True)
 
     def commit(self, spec: TableSpec, change: Change, new_layout: bool = False) -> None:
         """Write the rows of ``change`` and publish the next state of the table."""
@@ -176,43 +182,66 @@ class TableStore:
         schema = _described(schema, spec)
 
         part = self._write(full, version, change.rows, partition_by, cluster_by, spec.is_scd2)
-        if change.keep is KEEP_ALL:
+        if change.goes is NOTHING:
             kept = old_parts
-        elif change.keep == KEEP_NONE:
+        elif change.goes == EVERYTHING:
             kept = ()
         else:
-            kept = tuple(
-                p if change.keep in p.keep else replace(p, keep=(*p.keep, change.keep))
-                for p in old_parts
-            )
-        state = State(version, (*kept, Part(part)), partition_by, cluster_by)
+            kept = self._without(old_parts, change.goes)
+        kept = tuple(p for p in kept if p.left)
+        unused = [part.table] if kept and not part.rows else []
+        parts = kept if unused else (*kept, part)
+        state = State(version, parts, partition_by, cluster_by)
         self._publish(full, schema, before, state)
-        if len(state.parts) > self.max_parts or any(
-            len(p.keep) > self.max_masks for p in state.parts
-        ):
-            self.compact(full, scd2=spec.is_scd2)
-
-    def compact(self, name: str, everything: bool = False, scd2: bool = False) -> None:
-        """Fold the parts after the first into one, or all of them.
-
-        The first part, usually most of the table, is only rewritten when
-        asked to or when too many predicates stand before it.
-        """
+        self._drop(unused)
+        self._tidy(full, state, spec.is_scd2)
+
+    def _without(self, parts: Sequence[Part], goes: str) -> tuple[Part, ...]:
+        """The parts less the rows that go, which are counted by one pruned scan each."""
+        if not parts:
+            return ()
+        counts = []
+        for i, p in enumerate(parts):
+            going = self.spark.table(quote_table(p.table))
+            for condition in (*p.keep, goes):
+                going = going.filter(F.expr(condition))
+            counts.append(going.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n")))
+        gone = {row["i"]: row["n"] for row in reduce(DataFrame.union, counts).collect()}
+        kept = []
+        for i, p in enumerate(parts):
+            if gone[i] == 0:
+                kept.append(p)
+            elif gone[i] < p.left:
+                kept.append(replace(p, keep=(*p.keep, keep_unless(goes)), left=p.left - gone[i]))
+        return tuple(kept)
+
+    def _tidy(self, full: str, state: State, scd2: bool) -> None:
+        """Rewrite parts that are mostly gone; fold the later parts when there are many."""
+        old = [p for p in state.parts if p.left * 2 < p.rows or len(p.keep) > self.max_masks]
+        if len(state.parts) - len(old) + bool(old) > self.max_parts:
+            largest = max(state.parts, key=lambda p: p.left)
+            old += [p for p in state.parts if p not in old and p is not largest]
+        if old:
+            self._fold(full, old, scd2)
+
+    def compact(self, name: str, scd2: bool = False) -> None:
+        """Rewrite the table as one part."""
         full = self.full_name(name)
-        before = self.state(full)
-        if before is None:
+        state = self.state(full)
+        if state is None:
             raise PublishError(f"{full} was not published here")
-        everything = everything or len(before.parts[0].keep) > self.max_masks
-        first = () if everything else before.parts[:1]
-        later = before.parts[len(first) :]
-        if len(later) < 2 and not everything:
-            return
+        self._fold(full, state.parts, scd2)
+
+    def _fold(self, full: str, old: Sequence[Part], scd2: bool) -> None:
+        """Put one new part in place of some."""
+        before = self.state(full)
         schema = self.read(full).schema
-        rows = self.spark.sql(_select(schema.names, later))
+        rows = self.spark.sql(_select(schema.names, old))
         version = before.version + 1
         part = self._write(full, version, rows, before.partition_by, before.cluster_by, scd2)
-        state = replace(before, version=version, parts=(*first, Part(part)))
-        self._publish(full, schema, before, state)
+        kept = tuple(p for p in before.parts if p not in old)
+        state = replace(before, version=version, parts=(*kept, part))
+        self._publish(full, schema, before, state, same_rows=True)
 
     def create_view(self, name: str, query: str) -> None:
         """Make ``name`` stand for ``query``, evaluated on read.
@@ -249,7 +278,7 @@ class TableStore:
         if layout:
             # Catalogs may still list the partitions under the old name's folder.
             self.spark.sql(f"MSCK REPAIR TABLE {quote_table(part)} SYNC PARTITIONS")
-        self._publish(full, schema, None, State(1, (Part(part),), tuple(layout)))
+        self._publish(full, schema, None, State(1, (self._part(part),), tuple(layout)))
 
     def vacuum(self, name: str) -> list[str]:
         """Drop parts that failed runs left behind; not while one is running."""
@@ -294,7 +323,7 @@ class TableStore:
         partition_by: Sequence[str],
         cluster_by: Sequence[str],
         scd2: bool,
-    ) -> str:
+    ) -> Part:
         part = _part_name(full, version)
         if cluster_by:
             rows = _clustered(rows, cluster_by)
@@ -309,16 +338,37 @@ class TableStore:
         if layout:
             writer = writer.partitionBy(*layout)
         writer.saveAsTable(quote_table(part))
-        return part
+        return self._part(part)
+
+    def _part(self, table: str) -> Part:
+        # Answered from file footers.
+        count = self.spark.table(quote_table(table)).count()
+        return Part(table, (), count, count)
 
-    def _publish(self, full: str, schema: T.StructType, before: State | None, state: State) -> None:
+    def _publish(
+        self,
+        full: str,
+        schema: T.StructType,
+        before: State | None,
+        state: State,
+        same_rows: bool = False,
+    ) -> None:
+        """Replace the view; what the version before last needed is dropped.
+
+        A fold gives the same rows, so it does not end the time of readers of
+        the version before it.
+        """
         kept = {p.table for p in state.parts}
+        ended: tuple[str, ...] = ()
         if before is not None:
             gone = tuple(p.table for p in before.parts if p.table not in kept)
-            state = replace(state, retired=gone)
+            waiting = before.retired if same_rows else ()
+            ended = () if same_rows else before.retired
+            state = replace(state, retired=(*waiting, *gone))
         now = self.state(full)
         if (now.version if now else None) != (before.version if before else None):
-            self._drop([state.parts[-1].table])
+            known = {p.table for p in before.parts} if before else set()
+            self._drop([p.table for p in state.parts if p.table not in known])
             raise PublishError(f"{full} was changed by another writer meanwhile")
         columns = ", ".join(
             quote(f.name)
@@ -330,8 +380,7 @@ class TableStore:
             f"TBLPROPERTIES ({text_literal(_STATE)} = {text_literal(state.to_json())}) "
             f"AS {_select(schema.names, state.parts)}"
         )
-        if before is not None:
-            self._drop([table for table in before.retired if table not in kept])
+        self._drop(ended)
 
     def _drop(self, tables: Sequence[str]) -> None:
         for table in tables:

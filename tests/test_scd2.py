@@ -183,5 +183,5 @@ def test_closed_versions_stay_where_they_are(spark):
         spark_frame(spark, S_COLUMNS, source),
         now=NOW,
     )
-    assert change.keep == "NOT coalesce(`_is_current`, FALSE)"
+    assert change.goes == "`_is_current`"
     assert not collected(change.rows.filter("seg = 'old' AND NOT _is_current"))

@@ -55,7 +55,8 @@ def test_replace_then_incremental_runs(spark, store):
     assert collected(store.read(name).filter("id >= 13").select("id", "n")) == Counter(
         [(13, 13), (14, 7), (15, 7)]
     )
-    assert len(parts(store, name)) == 1
+    # Only rows in the range of the source's keys were written again.
+    assert [p.left for p in parts(store, name)] == [10, 2, 2, 2]
     run_query(store, TableSpec(name, strategy="truncate+insert"), ROWS.format(0, 3))
     assert store.read(name).count() == 3
 
@@ -200,7 +201,7 @@ def test_many_parts_are_folded(spark, store):
         assert len(parts(store, name)) <= 4
     assert parts(store, name)[0].table == base
     assert collected(store.read(name)) == collected(rows(spark, 0, 18))
-    store.compact(name, everything=True)
+    store.compact(name)
     assert len(parts(store, name)) == 1
     assert collected(store.read(name)) == collected(rows(spark, 0, 18))
 
@@ -208,12 +209,45 @@ def test_many_parts_are_folded(spark, store):
 def test_many_masks_lead_to_a_rewrite(spark, store):
     store.max_masks = 3
     name = f"{store.schema}.t"
-    materialize(store, TableSpec(name), rows(spark, 0, 20))
+    materialize(store, TableSpec(name), rows(spark, 0, 40))
     spec = TableSpec(name, strategy="delete+insert", incremental_key="id")
     for n in range(6):
         materialize(store, spec, rows(spark, n, n + 1))
-    assert all(len(p.keep) <= 3 for p in parts(store, name))
-    assert collected(store.read(name)) == collected(rows(spark, 0, 20))
+        assert all(len(p.keep) <= 3 for p in parts(store, name))
+    assert collected(store.read(name)) == collected(rows(spark, 0, 40))
+
+
+def test_parts_that_are_mostly_gone_are_rewritten(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 40))
+    spec = TableSpec(name, strategy="delete+insert", incremental_key="id")
+    materialize(store, spec, rows(spark, 0, 19))
+    assert [(p.rows, p.left) for p in parts(store, name)] == [(40, 21), (19, 19)]
+    materialize(store, spec, rows(spark, 0, 25))
+    # The second part is gone, the first had 15 of 40 rows left.
+    assert sorted((p.rows, p.left) for p in parts(store, name)) == [(15, 15), (25, 25)]
+    assert not any(p.keep for p in parts(store, name))
+    assert collected(store.read(name)) == collected(rows(spark, 0, 40))
+
+
+def test_runs_without_new_rows_add_no_part(spark, store):
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    spec = TableSpec(name, KEYS, strategy="anti_join")
+    materialize(store, spec, rows(spark, 3, 8))
+    assert len(parts(store, name)) == 1
+    assert store.read(name).count() == 10
+
+
+def test_readers_outlive_a_fold(spark, store):
+    store.max_masks = 0
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    reader = store.read(name)
+    spec = TableSpec(name, strategy="delete+insert", incremental_key="id")
+    materialize(store, spec, rows(spark, 0, 2))
+    assert store.state(name).version == 3
+    assert reader.count() == 10
 
 
 def test_scd2_history_is_not_rewritten(spark, store):
@@ -221,19 +255,24 @@ def test_scd2_history_is_not_rewritten(spark, store):
     spec = TableSpec(name, (ColumnSpec("id", "bigint", primary_key=True), ColumnSpec("seg", "string")), strategy="scd2_by_column")
     seg = "SELECT id, concat('v', id % {}) AS seg FROM range({})"
     run_query(store, spec, seg.format(7, 30), full_refresh=True, now=NOW)
-    first = parts(store, name)[0].table
-    run_query(store, spec, seg.format(5, 25), now=datetime(2024, 7, 1))
-    state = store.state(name)
-    assert state.parts[0].table == first and state.parts[0].keep == ("NOT coalesce(`_is_current`, FALSE)",)
-    assert store.read(name).filter("_is_current").count() == 25
+    for month in (7, 8, 9):
+        before = store.state(name)
+        seg_of = seg.format(month, 25)
+        run_query(store, spec, seg_of, now=datetime(2024, month, 1))
+        assert store.read(name).filter("_is_current").count() == 25
     history = store.read(name).count()
-    run_query(store, spec, seg.format(5, 25), now=datetime(2024, 8, 1))
+    # Closed versions are in parts of their own, which a run leaves alone.
+    closed = [p for p in before.parts if p in parts(store, name)]
+    assert closed and not any(p.keep for p in closed)
+    assert sum(p.rows for p in parts(store, name)) == history
+    run_query(store, spec, seg_of, now=datetime(2024, 10, 1))
     assert store.read(name).count() == history
     # A run reads only open versions: closed ones are pruned by partition.
     assert "PartitionFilters: [isnotnull(_is_current" in plan(store.read(name).filter("_is_current"))
-    assert [c.name for c in spark.catalog.listColumns(first) if c.isPartition] == ["_is_current"]
-    store.compact(name, everything=True, scd2=True)
-    assert store.read(name).count() == history
+    last = parts(store, name)[-1].table
+    assert [c.name for c in spark.catalog.listColumns(last) if c.isPartition] == ["_is_current"]
+    store.compact(name, scd2=True)
+    assert store.read(name).count() == history and len(parts(store, name)) == 1
 
 
 def test_ddl_declares_once_and_survives_full_refresh(spark, store):

@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from frames import FORMS, KEYED, collected, duck, keyed_rows, spark_frame
 from tablewright import ColumnSpec, Limits, MissingTarget, RunWindow, SpecError, TableSpec
 from tablewright.operators.strategies import next_state, plan_change
-from tablewright.plans.change import KEEP_ALL, KEEP_NONE
+from tablewright.plans.change import NOTHING
 
 COLUMNS = (
     ColumnSpec("k", "bigint", primary_key=True),
@@ -65,7 +65,7 @@ def test_merge_without_updates_only_inserts(spark, form):
         spark_frame(spark, KEYED, source),
         limits=FORMS[form],
     )
-    assert change.keep is KEEP_ALL
+    assert change.goes is NOTHING
     assert collected(change.apply(spark_frame(spark, KEYED, target))) == expected
 
 
@@ -115,11 +115,30 @@ def test_merge_limits_itself_to_named_partitions(spark):
     t, s = spark_frame(spark, KEYED, target), spark_frame(spark, KEYED, source)
     only_a = s.filter("j = 'a'")
     change = plan_change(spec, t, only_a)
-    assert change.keep == "NOT coalesce(`j` IN ('a'), FALSE)"
+    assert change.goes == "`j` IN ('a')"
     whole = next_state(TableSpec("t", COLUMNS, strategy="merge"), t, only_a)
     assert collected(change.apply(t)) == collected(whole)
 
 
+def test_changes_reach_only_the_sources_key_range(spark):
+    """Target rows outside the range of a source's keys are neither read nor moved."""
+    target = [(i, "a", i, "x") for i in range(100)] + [(None, "a", 0, "x")]
+    source = [(i, "a", -1, "y") for i in (20, 40, 55)]
+    t, s = spark_frame(spark, KEYED, target), spark_frame(spark, KEYED, source)
+    for form in FORMS.values():
+        change = plan_change(TableSpec("t", COLUMNS, strategy="merge"), t, s, limits=form)
+        assert change.goes == "`k` BETWEEN CAST(20 AS bigint) AND CAST(55 AS bigint)"
+        assert change.rows.count() == 36
+        expected = [(k, j, -1 if k in (20, 40, 55) else v, w) for k, j, v, w in target]
+        assert collected(change.apply(t)) == Counter(expected)
+    many = Limits(literal_values=0)
+    spec = TableSpec("t", strategy="delete+insert", incremental_key="k")
+    change = plan_change(spec, t, s, limits=many)
+    assert change.goes == "`k` BETWEEN CAST(20 AS bigint) AND CAST(55 AS bigint)"
+    kept = [row for row in target if row[0] not in (20, 40, 55)]
+    assert collected(change.apply(t)) == Counter(kept + source)
+
+
 @forms
 @seeds
 @pytest.mark.parametrize("key", ["k", "j"])
@@ -136,7 +155,7 @@ def test_delete_insert(spark, form, seed, key):
         spark_frame(spark, KEYED, source),
         limits=FORMS[form],
     )
-    assert (change.keep == KEEP_NONE) == (form != "small")
+    assert ("IN (" in (change.goes or "")) == (form == "small")
     assert collected(change.apply(spark_frame(spark, KEYED, target))) == expected
 
 
