@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime
 from typing import Any
 
@@ -17,6 +18,8 @@ from .sources.store import TableStore
 from .sources.transform import PythonTransform, run_transform
 from .spec import RunWindow, SpecError, TableSpec
 
+_log = logging.getLogger(__name__)
+
 # Strategies whose plans read the source more than once.
 _READ_TWICE = (
     names.DELETE_INSERT,
@@ -52,6 +55,8 @@ def run_query(
         store.create_view(spec.name, query)
         return store.read(spec.name)
     if spec.kind == "table" and spec.strategy == names.DDL:
+        if full_refresh:
+            _log.warning("%s is declared by ddl and stays as it is on a full refresh", spec.name)
         store.declare(spec)
         return store.read(spec.name)
     if query is None or (isinstance(query, str) and not query.strip()):
@@ -78,7 +83,8 @@ def bound_query(
     args: dict[str, Any] | None = None,
 ) -> DataFrame:
     """The query's rows with the run window and further arguments as typed parameters."""
-    values = {**(window.params() if window else {}), **(args or {})}
+    zone = store.spark.conf.get("spark.sql.session.timeZone")
+    values = {**(window.params(zone) if window else {}), **(args or {})}
     return store.spark.sql(query, args=values) if values else store.spark.sql(query)
 
 

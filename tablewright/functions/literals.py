@@ -8,10 +8,11 @@ Text is the one form that serves both.
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
-from decimal import Decimal
 from typing import Any
 from zoneinfo import ZoneInfo
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _LITERAL_TYPES = (
@@ -33,31 +34,47 @@ def has_literal(dtype: T.DataType) -> bool:
     return isinstance(dtype, _LITERAL_TYPES)
 
 
+def exact(value: Column, dtype: T.DataType) -> Column:
+    """``value`` in a form that reaches the driver unchanged, for ``sql_literal``.
+
+    Python's own dates have fewer years, and its timestamps depend on the time
+    zone of the driver's machine.
+    """
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(value)
+    if isinstance(dtype, (T.DateType, T.TimestampNTZType, T.DecimalType)):
+        return value.cast("string")
+    return value
+
+
 def text_literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def sql_literal(value: Any, dtype: T.DataType, zone: str = "UTC") -> str:
-    """``value`` as a literal of ``dtype``.
+    """``value`` as a literal of ``dtype``: a Python value, or one from ``exact``.
 
-    Zoned timestamps are written with an explicit UTC offset, so that a view
-    means the same whatever time zone its reader's session has.
+    Zoned timestamps are written as instants, so that a view means the same
+    whatever time zone its reader's session has.
     """
     if isinstance(dtype, T.StringType):
         return text_literal(value)
     if isinstance(dtype, T.BooleanType):
         return "TRUE" if value else "FALSE"
     if isinstance(dtype, T.DateType):
-        return f"DATE'{as_date(value).isoformat()}'"
+        return f"DATE'{value if isinstance(value, str) else as_date(value).isoformat()}'"
     if isinstance(dtype, T.TimestampNTZType):
-        return f"TIMESTAMP_NTZ'{as_datetime(value).replace(tzinfo=None).isoformat(sep=' ')}'"
+        text = value if isinstance(value, str) else as_datetime(value).replace(tzinfo=None)
+        return f"TIMESTAMP_NTZ'{text}'"
     if isinstance(dtype, T.TimestampType):
+        if isinstance(value, int):
+            return f"timestamp_micros({value})"
         stamp = as_datetime(value)
         if stamp.tzinfo is None:
             stamp = stamp.replace(tzinfo=ZoneInfo(zone))
-        return f"TIMESTAMP'{stamp.astimezone(timezone.utc).isoformat(sep=' ')}'"
+        return f"TIMESTAMP'{stamp.astimezone(timezone.utc)}'"
     if isinstance(dtype, T.DecimalType):
-        return f"CAST({Decimal(value):f} AS {dtype.simpleString()})"
+        return f"CAST('{value}' AS {dtype.simpleString()})"
     return f"CAST({int(value)} AS {dtype.simpleString()})"
 
 

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import spec as names
+from ..functions.literals import has_literal
 from ..functions.types import quote
 from ..plans.bind import bind, find, pick
 from ..plans.change import EVERYTHING, NOTHING, Change
 from ..plans.match import match_rows, unmatched
-from ..plans.sizing import Limits
-from ..plans.touched import few_values, one_of, reachable
+from ..plans.sizing import Limits, measure
+from ..plans.touched import distinct_values, one_of, reachable
 from ..spec import RunWindow, SpecError, TableSpec
 from . import scd2
 
@@ -120,15 +121,17 @@ def delete_insert(
     """
     key = find(target.schema, spec.incremental_key)
     rows = bind(source, target.schema, spec.by_name)
-    values = few_values(rows, key, limits)
-    if values is not None:
-        return Change(one_of(target, key, values) if values else NOTHING, rows)
     name = F.col(quote(key.name))
     keys = rows.select(name).filter(name.isNotNull()).distinct()
-    reached = reachable(target, keys, [key.name], spec.partition_by, limits)
+    size = measure(keys, key.name)
+    if not size.rows:
+        return Change(NOTHING, rows)
+    if size.rows <= limits.literal_values and has_literal(key.dataType):
+        return Change(one_of(target, key, distinct_values(keys, key, size.rows)), rows)
+    reached = reachable(target, keys, [key.name], spec.partition_by, size, limits)
     touched = target if reached is None else target.filter(F.expr(reached))
     kept = unmatched(
-        touched, keys, [key.name], null_safe=False, limits=limits, known_is_smaller=True
+        touched, keys, [key.name], False, limits=limits, known_is_smaller=True, size=size
     )
     return Change(reached or EVERYTHING, kept.union(rows))
 
@@ -163,9 +166,10 @@ def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits)
     if not updated:
         new = unmatched(rows, target, keys, null_safe=False, limits=limits)
         return Change(NOTHING, _widened(new, schema))
-    reached = reachable(target, rows, keys, spec.partition_by, limits)
+    size = measure(rows, keys[0])
+    reached = reachable(target, rows, keys, spec.partition_by, size, limits)
     touched = target if reached is None else target.filter(F.expr(reached))
-    matched = match_rows(touched, rows, keys, limits)
+    matched = match_rows(touched, rows, keys, limits, size)
     both = F.col("in_target") & F.col("in_source")
     cols = []
     for i, field in enumerate(schema):

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import Limits, fits_broadcast, hot_hashes, key_hash
+from .sizing import Limits, Size, hot_hashes, key_hash, measure
 from ..functions.types import quote
 
 _SPREAD = 1024
@@ -88,11 +88,18 @@ def _guarded(df: DataFrame) -> DataFrame:
 
 
 def match_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], limits: Limits = Limits()
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    limits: Limits = Limits(),
+    size: Size | None = None,
 ) -> DataFrame:
-    """Full outer match of ``target`` and ``source``, whose ``keys`` have equal types."""
+    """Full outer match of ``target`` and ``source``, whose ``keys`` have equal types.
+
+    ``size`` is the source's, where it was measured already.
+    """
     sides = _Sides(target, source, keys)
-    if fits_broadcast(source, limits):
+    if (size or measure(source)).fits_broadcast(limits):
         return _small_source(sides)
     hot = hot_hashes(
         [
@@ -187,11 +194,13 @@ def unmatched(
     null_safe: bool,
     limits: Limits = Limits(),
     known_is_smaller: bool = False,
+    size: Size | None = None,
 ) -> DataFrame:
     """Rows whose key does not occur in ``known``, of which only the keys are read.
 
-    The side that is expected to be smaller is measured and, if it fits,
-    broadcast; otherwise both sides are shuffled, apart from frequent keys.
+    The side that is expected to be smaller is measured (``size`` if its keys
+    were already) and, if it fits, broadcast; otherwise both sides are
+    shuffled, apart from frequent keys.
     """
     k_cols = [f"k{i}" for i in range(len(keys))]
     known = known.select(*[F.col(quote(key)).alias(k) for key, k in zip(keys, k_cols)])
@@ -201,9 +210,9 @@ def unmatched(
     row_keys = rows.select(*[F.col(r).alias(k) for r, k in zip(r_keys, k_cols)])
     on = _same(r_keys, k_cols, null_safe)
     if known_is_smaller:
-        if fits_broadcast(known, limits):
+        if (size or measure(known)).fits_broadcast(limits):
             return rows.join(F.broadcast(known), on, "left_anti").toDF(*names)
-    elif fits_broadcast(row_keys, limits):
+    elif (size or measure(row_keys)).fits_broadcast(limits):
         return unmatched_small(rows, r_keys, known, k_cols, null_safe).toDF(*names)
 
     lone = None

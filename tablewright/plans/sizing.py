@@ -7,10 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.literals import exact
 from ..functions.types import byte_size, quote
 
 # Frequencies below this are not looked for: the list of hot keys stays short.
@@ -45,13 +47,32 @@ class Limits:
         return max(_LEAST_SHARE, 1 / (4 * partitions))
 
 
-def fits_broadcast(df: DataFrame, limits: Limits) -> bool:
-    """Count the rows and bytes of ``df`` in one pass and compare with the limits."""
-    if limits.broadcast_rows <= 0:
-        return False
+@dataclass(frozen=True)
+class Size:
+    """Counted rows and bytes, and the range of one column (see ``literals.exact``)."""
+
+    rows: int
+    bytes: int
+    low: Any = None
+    high: Any = None
+
+    def fits_broadcast(self, limits: Limits) -> bool:
+        return 0 < limits.broadcast_rows >= self.rows and self.bytes <= limits.broadcast_bytes
+
+
+def measure(df: DataFrame, ranged: str | None = None) -> Size:
+    """Count the rows and bytes of ``df`` in one pass, with the range of a column."""
     size = sum((byte_size(field) for field in df.schema), F.lit(0).cast("long"))
-    seen = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
-    return seen["n"] <= limits.broadcast_rows and (seen["bytes"] or 0) <= limits.broadcast_bytes
+    wanted = [F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")]
+    if ranged is not None:
+        column, dtype = F.col(quote(ranged)), df.schema[ranged].dataType
+        wanted += [
+            exact(F.min(column), dtype).alias("low"),
+            exact(F.max(column), dtype).alias("high"),
+        ]
+    seen = df.agg(*wanted).first()
+    ends = (seen["low"], seen["high"]) if ranged is not None else (None, None)
+    return Size(seen["rows"], seen["bytes"] or 0, *ends)
 
 
 def key_hash(keys: Sequence[str]) -> Column:

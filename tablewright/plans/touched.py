@@ -13,62 +13,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.literals import has_literal, sql_literal
+from ..functions.literals import exact, has_literal, sql_literal
 from ..functions.types import quote
-from .sizing import Limits
+from .sizing import Limits, Size
 
 
 def _zone(df: DataFrame) -> str:
     return df.sparkSession.conf.get("spark.sql.session.timeZone")
 
 
-def few_values(df: DataFrame, field: T.StructField, limits: Limits) -> list[Any] | None:
-    """The distinct non-NULL values of a column, or ``None`` if they are many."""
-    if not has_literal(field.dataType):
-        return None
-    value = F.col(quote(field.name))
-    found = df.select(value).filter(value.isNotNull()).distinct().limit(limits.literal_values + 1)
-    values = [row[0] for row in found.collect()]
-    return values if len(values) <= limits.literal_values else None
-
-
 def one_of(df: DataFrame, field: T.StructField, values: Sequence[Any]) -> str:
-    """The column has one of the values."""
+    """The column has one of the values, which are as ``literals.exact`` gives them."""
     zone = _zone(df)
     listed = sorted(sql_literal(value, field.dataType, zone) for value in values)
     return f"{quote(field.name)} IN ({', '.join(listed)})" if listed else "FALSE"
 
 
+def distinct_values(df: DataFrame, field: T.StructField, most: int) -> list[Any]:
+    """Up to ``most`` distinct non-NULL values of a column, for ``one_of``."""
+    value = F.col(quote(field.name))
+    found = df.select(value).filter(value.isNotNull()).distinct().limit(most)
+    return [row[0] for row in found.select(exact(value, field.dataType)).collect()]
+
+
 def reachable(
     target: DataFrame,
     keyed: DataFrame,
     keys: Sequence[str],
     partition_by: Sequence[str],
+    size: Size,
     limits: Limits,
 ) -> str | None:
     """A predicate all target rows with a key of ``keyed`` satisfy.
 
     If the first partition column is a key, the partitions that ``keyed``
-    names, unless they are many. Otherwise the range of the first key, if less
-    than half of the target lies in it. ``None`` stands for the whole target.
+    names, unless they are many. Otherwise the range of the first key, which
+    ``size`` has, if less than half of the target lies in it. ``None`` stands
+    for the whole target.
     """
     fields = {field.name: field for field in target.schema}
     first = next((f for f in fields if partition_by and f.lower() == partition_by[0].lower()), None)
-    if first in keys:
-        values = few_values(keyed, fields[first], limits)
-        if values is not None:
+    if first in keys and has_literal(fields[first].dataType):
+        values = distinct_values(keyed, fields[first], limits.literal_values + 1)
+        if len(values) <= limits.literal_values:
             return one_of(target, fields[first], values)
     key = fields[keys[0]]
     if not has_literal(key.dataType):
         return None
-    name = F.col(quote(key.name))
-    low, high = keyed.agg(F.min(name), F.max(name)).first()
-    if low is None:
+    if size.low is None:
         return "FALSE"
     zone = _zone(target)
     inside = (
-        f"{quote(key.name)} BETWEEN {sql_literal(low, key.dataType, zone)} "
-        f"AND {sql_literal(high, key.dataType, zone)}"
+        f"{quote(key.name)} BETWEEN {sql_literal(size.low, key.dataType, zone)} "
+        f"AND {sql_literal(size.high, key.dataType, zone)}"
     )
     seen = target.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.expr(inside)).alias("inside"))
     counted = seen.first()

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 from typing import Any
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import types as T
 
@@ -123,13 +124,18 @@ class RunWindow:
     end: Any
     literal_end: bool = False
 
-    def params(self) -> dict[str, Any]:
-        """Named parameters for ``spark.sql(query, args=window.params())``."""
+    def params(self, zone: str = "UTC") -> dict[str, Any]:
+        """Named parameters for ``spark.sql(query, args=window.params(zone))``.
+
+        Timestamps without a time zone are taken to be in ``zone``.
+        """
+        stamps = [as_datetime(self.start), as_datetime(self.end)]
+        stamps = [s if s.tzinfo else s.replace(tzinfo=ZoneInfo(zone)) for s in stamps]
         return {
             "start_date": as_date(self.start),
             "end_date": as_date(self.end),
-            "start_timestamp": as_datetime(self.start),
-            "end_timestamp": as_datetime(self.end),
+            "start_timestamp": stamps[0],
+            "end_timestamp": stamps[1],
         }
 
     def predicate(self, key: str, dtype: T.DataType, granularity: str, zone: str) -> str:

@@ -7,7 +7,7 @@ from registry import inputs
 from registry.spark_queries import BOUNDED, COUNT_COLUMNS, DIM_COLUMNS, EVENT_KEY_COLUMNS, NOW, ORDER_COLUMNS
 from tablewright import Limits, RunWindow, TableSpec, next_state
 from tablewright.plans.match import match_rows
-from tablewright.plans.sizing import fits_broadcast, hot_hashes
+from tablewright.plans.sizing import hot_hashes, measure
 
 LARGE = Limits(broadcast_rows=0, hot_share=0.99)
 WINDOW = RunWindow("1998-01-01", "1998-12-31")
@@ -110,10 +110,13 @@ def test_frequent_keys_leave_the_shuffle(spark):
 
 def test_broadcast_needs_a_measured_size(spark):
     df = spark.range(1000).selectExpr("id", "repeat('x', 100) AS s", "array(id) AS a")
-    assert fits_broadcast(df, Limits())
-    assert not fits_broadcast(df, Limits(broadcast_rows=999))
-    assert not fits_broadcast(df, Limits(broadcast_bytes=100_000))
-    assert not fits_broadcast(df.limit(0), Limits(broadcast_rows=0))
+    size = measure(df, "id")
+    assert (size.rows, size.low, size.high) == (1000, 0, 999)
+    assert size.bytes > 124 * 1000
+    assert size.fits_broadcast(Limits())
+    assert not size.fits_broadcast(Limits(broadcast_rows=999))
+    assert not size.fits_broadcast(Limits(broadcast_bytes=100_000))
+    assert not measure(df.limit(0)).fits_broadcast(Limits(broadcast_rows=0))
 
 
 def test_rows_with_null_keys_are_spread(spark):

@@ -1,6 +1,7 @@
 """Definitions that cannot work are refused when they are made."""
 
 from datetime import date, datetime
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import types as T
@@ -96,11 +97,12 @@ def test_checks_with_wrong_arguments(kind, value):
 
 
 def test_window_parameters_are_typed():
-    assert RunWindow("2024-01-01", datetime(2024, 1, 2, 10)).params() == {
+    zone = ZoneInfo("Asia/Tokyo")
+    assert RunWindow("2024-01-01", datetime(2024, 1, 2, 10)).params("Asia/Tokyo") == {
         "start_date": date(2024, 1, 1),
         "end_date": date(2024, 1, 2),
-        "start_timestamp": datetime(2024, 1, 1),
-        "end_timestamp": datetime(2024, 1, 2, 10),
+        "start_timestamp": datetime(2024, 1, 1, tzinfo=zone),
+        "end_timestamp": datetime(2024, 1, 2, 10, tzinfo=zone),
     }
 
 

@@ -275,7 +275,7 @@ def test_scd2_history_is_not_rewritten(spark, store):
     assert store.read(name).count() == history and len(parts(store, name)) == 1
 
 
-def test_ddl_declares_once_and_survives_full_refresh(spark, store):
+def test_ddl_declares_once_and_survives_full_refresh(spark, store, caplog):
     name = f"{store.schema}.declared"
     columns = (
         ColumnSpec("id", "bigint", primary_key=True, description="it's a key\\"),
@@ -294,6 +294,7 @@ def test_ddl_declares_once_and_survives_full_refresh(spark, store):
     ]
     run_query(store, TableSpec(name, strategy="append"), "SELECT 1, DATE'2024-01-01', 'x', 1.5")
     run_query(store, spec, None, full_refresh=True)
+    assert "stays as it is" in caplog.text
     assert store.read(name).count() == 1
     (part,) = [p for p in parts(store, name) if spark.table(p.table).count()]
     assert [c.name for c in spark.catalog.listColumns(part.table) if c.isPartition] == ["event_date"]

@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -183,6 +184,7 @@ def test_delete_insert_broadcasts_keys_beyond_the_literal_list(spark):
         ("string", ["", "it's", "back\\slash", "new\nline", "tab\t", "%_", "ü"]),
         ("boolean", [True, False]),
         ("int", [-2147483648, 2147483647, 0]),
+        ("decimal(20,10)", [Decimal("0.0000000001"), Decimal("-1.5"), Decimal("9999999999")]),
         ("double", [0.1, -0.0, 1e300]),
     ],
 )
@@ -197,6 +199,54 @@ def test_delete_insert_key_types(spark, kind, values):
         assert left == Counter([(v,) for v in values if v != gone] + [(None,)])
 
 
+@pytest.fixture
+def tokyo(spark):
+    """A session zone other than the machine's."""
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_zoned_timestamps_are_instants(spark, tokyo):
+    stamps = ["2024-01-01 00:00:00", "2024-01-01 09:00:00", "+12000-06-01 00:00:00"]
+    target = spark.createDataFrame([(s, 1) for s in stamps], "at string, n int").selectExpr(
+        "CAST(at AS TIMESTAMP) AS at", "n"
+    )
+    source = target.selectExpr("at", "2 AS n").filter("at <> TIMESTAMP'2024-01-01 09:00:00'")
+    spec = TableSpec("t", strategy="delete+insert", incremental_key="at")
+    for limits in (Limits(), Limits(literal_values=0)):
+        got = next_state(spec, target, source, limits=limits).selectExpr("CAST(at AS STRING)", "n")
+        assert collected(got) == Counter([(stamps[0], 2), (stamps[1], 1), (stamps[2], 2)])
+    window = TableSpec(
+        "t", strategy="time_interval", incremental_key="at", time_granularity="timestamp"
+    )
+    span = RunWindow("2024-01-01 00:00:00", "2024-01-01 08:59:59")
+    got = next_state(window, target, source.limit(0), window=span).selectExpr("CAST(at AS STRING)")
+    assert collected(got) == Counter([(stamps[1],), (stamps[2],)])
+
+
+def test_run_window_parameters_in_the_session_zone(spark, tokyo):
+    from tablewright import TableStore, run_query
+
+    query = "SELECT CAST(:start_timestamp AS STRING) AS a, TIMESTAMP_NTZ'2024-01-01 05:00:00' = :start_timestamp AS b"
+    window = RunWindow("2024-01-01 05:00:00", "2024-01-02")
+    got = run_query(TableStore(spark), TableSpec("q", kind="none"), query, window=window)
+    assert tuple(got.first()) == ("2024-01-01 05:00:00", True)
+
+
+def test_scd2_run_time_in_the_session_zone(spark, tokyo):
+    spec = TableSpec("t", (ColumnSpec("k", primary_key=True),), strategy="scd2_by_column")
+    got = next_state(spec, None, spark.sql("SELECT 1 AS k"), full_refresh=True, now=datetime(2024, 1, 1))
+    got = next_state(spec, got, spark.sql("SELECT 2 AS k"), now=datetime(2024, 2, 1))
+    texts = got.selectExpr("k", "CAST(_valid_from AS STRING)", "CAST(_valid_until AS STRING)")
+    assert collected(texts) == Counter(
+        [
+            (1, "2024-01-01 00:00:00", "2024-02-01 00:00:00"),
+            (2, "2024-02-01 00:00:00", "9999-12-31 00:00:00"),
+        ]
+    )
+
+
 @forms
 @seeds
 def test_anti_join(spark, form, seed):
