@@ -41,7 +41,9 @@ def plan_change(
     """How ``spec`` turns ``target`` into its next state, given the new rows.
 
     ``now`` is the run's one idea of the current time; ``target`` is ``None``
-    when the table does not exist yet.
+    when the table does not exist yet. The keyed strategies read both inputs
+    more than once, so a source that gives other rows each time must be stored
+    first, which ``materialize`` does.
     """
     if spec.kind != "table":
         raise SpecError(f"{spec.kind} is not a table")

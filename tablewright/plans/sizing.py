@@ -37,7 +37,7 @@ class Limits:
 
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 64 << 20
-    literal_values: int = 1_000
+    literal_values: int = 200
     hot_share: float | None = None
 
     def share(self, spark: SparkSession) -> float:

@@ -98,7 +98,7 @@ class TableStore:
         spark: SparkSession,
         location: str | None = None,
         max_parts: int = 32,
-        max_masks: int = 64,
+        max_masks: int = 16,
     ) -> None:
         self.spark = spark
         self.location = location

@@ -1,0 +1,162 @@
+"""A small pipeline from end to end: every kind of asset, several runs."""
+
+from collections import Counter
+from datetime import date, datetime
+
+import pytest
+
+from conftest import SMALL
+from frames import collected
+from tablewright import (
+    Check,
+    CheckFailed,
+    ColumnSpec,
+    RunWindow,
+    TableSpec,
+    gate_query,
+    gate_table,
+    require_ready,
+    run_python,
+    run_query,
+    run_seed,
+)
+
+
+@pytest.fixture
+def specs(store):
+    s = store.schema
+    return {
+        "events": TableSpec(
+            f"{s}.raw_events",
+            (
+                ColumnSpec("event_id", "bigint", primary_key=True, checks=(Check("not_null"), Check("unique"))),
+                ColumnSpec("event_type", "string", checks=(Check("pattern", "^[a-z]+$"),)),
+                ColumnSpec("event_date", "date"),
+            ),
+            strategy="create+replace",
+            partition_by="event_date",
+        ),
+        "counts": TableSpec(
+            f"{s}.daily_event_counts",
+            (
+                ColumnSpec("event_date", "date", primary_key=True),
+                ColumnSpec("event_type", "string", primary_key=True),
+                ColumnSpec("event_count", "bigint", update_on_merge=True, checks=(Check("non_negative"),)),
+            ),
+            strategy="merge",
+            partition_by="event_date",
+            bootstrap=True,
+        ),
+        "orders": TableSpec(
+            f"{s}.orders_landing",
+            (
+                ColumnSpec("source_system", "string", primary_key=True, checks=(Check("not_null"),)),
+                ColumnSpec("order_number", "string", primary_key=True, checks=(Check("not_null"),)),
+                ColumnSpec("order_ts", "timestamp"),
+                ColumnSpec("amount", "double"),
+            ),
+            strategy="anti_join",
+            incremental_key="order_ts",
+            time_granularity="timestamp",
+            bootstrap=True,
+        ),
+    }
+
+
+def load_events(store, spec, until):
+    return run_query(
+        store,
+        spec,
+        f"SELECT event_id, event_type, CAST(ts AS DATE) AS event_date FROM parquet.`{SMALL}/events.parquet` "
+        f"WHERE ts < TIMESTAMP_NTZ'{until} 00:00:00'",
+    )
+
+
+def test_pipeline(spark, store, specs, tmp_path):
+    events, counts, orders = specs["events"], specs["counts"], specs["orders"]
+    assert not gate_table(spark, events.name).first()["ready"]
+    load_events(store, events, "2024-01-11")
+    require_ready(gate_table(spark, events.name, "event_date = DATE'2024-01-10'"))
+    require_ready(gate_query(spark, f"SELECT COUNT(*) > 0 FROM {events.name}"))
+
+    count_query = f"""SELECT event_date, event_type, COUNT(*) AS event_count FROM {events.name}
+        WHERE event_date BETWEEN :start_date AND :end_date GROUP BY event_date, event_type"""
+    run_query(store, counts, count_query, window=RunWindow("2024-01-01", "2024-01-10"))
+    # More events, later days, and one earlier day again.
+    load_events(store, events, "2024-01-21")
+    got = run_query(store, counts, count_query, window=RunWindow("2024-01-10", "2024-01-20"))
+    expected = spark.sql(
+        f"SELECT event_date, event_type, COUNT(*) AS event_count FROM {events.name} GROUP BY ALL"
+    )
+    assert collected(got) == collected(expected)
+    # Days outside the second run's were left where they were.
+    assert len(store.state(counts.name).parts) == 2
+
+    order_query = f"""SELECT 'webshop' AS source_system, CAST(event_id AS STRING) AS order_number,
+        CAST(event_date AS TIMESTAMP) AS order_ts, rand() * 100 AS amount
+        FROM {events.name} WHERE event_type = 'purchase'"""
+    window = RunWindow("2024-01-01", "2024-01-20")
+    first = collected(run_query(store, orders, order_query, window=window))
+    assert collected(run_query(store, orders, order_query, window=window)) == first
+    load_events(store, events, "2024-01-31")
+    window = RunWindow("2024-01-11", "2024-01-30")
+    later = run_query(
+        store, orders, order_query + " AND event_date BETWEEN :start_date AND :end_date", window=window
+    )
+    assert first - collected(later) == Counter()
+    assert later.count() == spark.table(events.name).filter("event_type = 'purchase'").count()
+    assert later.select("order_number").distinct().count() == later.count()
+
+    def enrich(session):
+        return session.table(events.name).selectExpr("*", "event_type = 'purchase' AS is_conversion")
+
+    enriched = run_python(store, TableSpec(f"{store.schema}.enriched_events"), enrich)
+    assert enriched.filter("is_conversion").count() == later.count()
+
+    path = tmp_path / "countries.csv"
+    path.write_text("code,name,population\nNL,Netherlands,17900000\nDE,Germany,84400000\n")
+    countries = TableSpec(
+        f"{store.schema}.countries",
+        (ColumnSpec("code", "string", checks=(Check("unique"),)), ColumnSpec("population", "bigint")),
+    )
+    assert run_seed(store, countries, str(path)).selectExpr("sum(population)").first()[0] == 102300000
+
+
+def test_a_compound_dimension_over_months(spark, store):
+    spec = TableSpec(
+        f"{store.schema}.customers",
+        (
+            ColumnSpec("country", "string", primary_key=True),
+            ColumnSpec("customer_id", "bigint", primary_key=True),
+            ColumnSpec("segment", "string"),
+            ColumnSpec("updated_at", "timestamp"),
+        ),
+        strategy="scd2_by_time",
+        incremental_key="updated_at",
+        bootstrap=True,
+    )
+    query = """SELECT * FROM VALUES {} AS v(country, customer_id, segment, updated_at)"""
+    runs = [
+        "('NL', 1, 'a', TIMESTAMP'2024-01-01'), ('DE', 1, 'b', TIMESTAMP'2024-01-01')",
+        "('NL', 1, 'c', TIMESTAMP'2024-02-01'), ('DE', 1, 'x', TIMESTAMP'2024-01-01')",
+        "('NL', 1, 'c', TIMESTAMP'2024-02-01'), ('NL', 2, 'n', TIMESTAMP'2024-03-01')",
+        "('DE', 1, 'r', TIMESTAMP'2024-04-01'), ('NL', 2, 'n', TIMESTAMP'2024-03-01')",
+    ]
+    for month, values in enumerate(runs, start=1):
+        got = run_query(store, spec, query.format(values), now=datetime(2024, month, 15))
+    columns = ["country", "customer_id", "segment", "date(_valid_from)", "date(_valid_until)", "_is_current"]
+    assert collected(got.selectExpr(*columns)) == Counter(
+        [
+            ("NL", 1, "a", date(2024, 1, 1), date(2024, 2, 1), False),
+            ("NL", 1, "c", date(2024, 2, 1), date(2024, 4, 15), False),
+            ("NL", 2, "n", date(2024, 3, 1), date(9999, 12, 31), True),
+            ("DE", 1, "b", date(2024, 1, 1), date(2024, 3, 15), False),
+            ("DE", 1, "r", date(2024, 4, 1), date(9999, 12, 31), True),
+        ]
+    )
+
+
+def test_failed_checks_name_every_rule(store, specs):
+    query = "SELECT 1 AS event_id, 'Click!' AS event_type, DATE'2024-01-01' AS event_date UNION ALL SELECT 1, 'view', NULL"
+    with pytest.raises(CheckFailed, match="event_type pattern: 1 rows; event_id unique: 1 rows"):
+        run_query(store, specs["events"], query)
