@@ -7,11 +7,14 @@ from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from . import spec as names
+from .functions.types import is_sized_text, quote, sized_text
 from .operators.checks import require_passed, run_checks
 from .operators.strategies import MissingTarget, plan_change
-from .plans.change import EVERYTHING
+from .plans.bind import find
+from .plans.change import EVERYTHING, Change
 from .plans.sizing import Limits
 from .sources.seed import read_seed
 from .sources.store import TableStore
@@ -110,6 +113,8 @@ def materialize(
     change = plan_change(
         spec, target, rows, window=window, now=now, full_refresh=full_refresh, limits=limits
     )
+    if not fresh:
+        change = Change(change.goes, _sized(spec, change.rows))
     store.commit(spec, change, new_layout=fresh and change.goes == EVERYTHING)
     table = store.read(spec.name)
     if check and (spec.custom_checks or any(c.checks for c in spec.columns)):
@@ -117,6 +122,17 @@ def materialize(
     return table
 
 
+def _sized(spec: TableSpec, rows: DataFrame) -> DataFrame:
+    """Rows within the declared lengths of ``char(n)`` and ``varchar(n)`` columns."""
+    for column in spec.columns:
+        if is_sized_text(column.type):
+            field = find(rows.schema, column.name)
+            if isinstance(field.dataType, T.StringType):
+                checked = sized_text(rows[quote(field.name)], column.type)
+                rows = rows.withColumn(field.name, checked)
+    return rows
+
+
 def run_python(
     store: TableStore, spec: TableSpec, transform: PythonTransform | None, **options: Any
 ) -> DataFrame | None:

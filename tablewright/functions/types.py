@@ -48,6 +48,10 @@ def sized_text(col: Column, declared: str | None) -> Column:
     return F.when(too_long, F.raise_error(message).cast("string")).otherwise(trimmed)
 
 
+def is_sized_text(declared: str | None) -> bool:
+    return bool(_SIZED_TEXT.match((declared or "").strip()))
+
+
 def can_store(source: T.DataType, target: T.DataType) -> bool:
     """ANSI store assignment: may a ``source`` value be written to ``target``?"""
     if source == target or isinstance(source, T.NullType):

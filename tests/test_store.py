@@ -400,3 +400,32 @@ def test_odd_column_names(spark, store):
     spec = TableSpec(name, strategy="delete+insert", incremental_key="c.d")
     got = run_query(store, spec, "SELECT 9, 6")
     assert collected(got) == Counter([(1, 5), (9, 6)])
+
+
+def test_partitioned_writes_split_a_large_partition(spark, store):
+    """One day with most of the rows is written by several tasks; small days stay in few files."""
+    name = f"{store.schema}.t"
+    source = spark.range(0, 60000, 1, 8).selectExpr(
+        "if(id % 10 = 0, id % 7, 0) AS day", "repeat(uuid(), 5) AS w"
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        materialize(store, TableSpec(name, partition_by="day"), source)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.table(parts(store, name)[0].table).selectExpr("day", "_metadata.file_path AS f")
+    files = {r["day"]: r["n"] for r in stored.groupBy("day").agg(F.countDistinct("f").alias("n")).collect()}
+    assert files[0] > 2 and sum(files.values()) - files[0] < 2 * 6
+    assert store.read(name).count() == 60000
+
+
+def test_declared_lengths_are_enforced(spark, store):
+    name = f"{store.schema}.t"
+    columns = (ColumnSpec("code", "char(3)"), ColumnSpec("note", "varchar(4)"))
+    run_query(store, TableSpec(name, columns, strategy="ddl"), None)
+    append = TableSpec(name, columns, strategy="append")
+    run_query(store, append, "SELECT 'NL', 'abcd  ' UNION ALL SELECT NULL, NULL")
+    assert collected(store.read(name)) == Counter([("NL ", "abcd"), (None, None)])
+    with pytest.raises(Exception, match="longer than"):
+        run_query(store, append, "SELECT 'NL', 'abcde'")
+    assert store.read(name).count() == 2
