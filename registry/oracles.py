@@ -111,7 +111,13 @@ def _anti_join(bound: str = "") -> str:
     )
 
 
-def _scd2(changed: str, ended: str, started: str, insert_updated: bool = True, target: str = inputs.DIM_T) -> str:
+def _scd2(
+    changed: str,
+    ended: str,
+    started: str,
+    insert_updated: bool = True,
+    target: str = inputs.DIM_T,
+) -> str:
     """Versions kept or closed, then versions opened."""
     text = "CAST({} AS VARCHAR) AS {}".format
     new_updated = "s.updated_at" if insert_updated else "CAST(NULL AS TIMESTAMP)"
@@ -119,6 +125,7 @@ def _scd2(changed: str, ended: str, started: str, insert_updated: bool = True, t
         "CASE WHEN NOT t._is_current THEN 'closed' WHEN s.c_custkey IS NULL THEN 'gone' "
         f"WHEN {changed} THEN 'changed' ELSE 'same' END"
     )
+    until = f"CASE state WHEN 'gone' THEN {_NOW} WHEN 'changed' THEN {ended} ELSE _valid_until END"
     return _with(
         target,
         inputs.DIM_S,
@@ -127,7 +134,7 @@ def _scd2(changed: str, ended: str, started: str, insert_updated: bool = True, t
                 FROM t LEFT JOIN s ON s.c_custkey = t.c_custkey)
         SELECT c_custkey, c_mktsegment, {text("updated_at", "updated_at")},
                {text("_valid_from", "_valid_from")},
-               {text(f"CASE state WHEN 'gone' THEN {_NOW} WHEN 'changed' THEN {ended} ELSE _valid_until END", "_valid_until")},
+               {text(until, "_valid_until")},
                state = 'same' AS _is_current
         FROM j
         UNION ALL

@@ -19,7 +19,7 @@ from ..plans.bind import bind, find, pick
 from ..plans.change import EVERYTHING, NOTHING, Change
 from ..plans.match import match_rows, unmatched
 from ..plans.sizing import Limits, measure
-from ..plans.touched import distinct_values, one_of, reachable
+from ..plans.touched import distinct_values, one_of, reachable, session_zone
 from ..spec import RunWindow, SpecError, TableSpec
 from . import scd2
 
@@ -92,13 +92,9 @@ def rebuilt(spec: TableSpec, source: DataFrame, now: datetime | None) -> DataFra
     return scd2.rebuilt(spec, source, now) if spec.is_scd2 else source
 
 
-def _zone(df: DataFrame) -> str:
-    return df.sparkSession.conf.get("spark.sql.session.timeZone")
-
-
 def _in_window(spec: TableSpec, target: DataFrame, window: RunWindow) -> str:
     key = find(target.schema, spec.incremental_key)
-    return window.predicate(key.name, key.dataType, spec.time_granularity, _zone(target))
+    return window.predicate(key.name, key.dataType, spec.time_granularity, session_zone(target))
 
 
 def time_interval(

@@ -18,13 +18,13 @@ from ..functions.types import quote
 from .sizing import Limits, Size
 
 
-def _zone(df: DataFrame) -> str:
+def session_zone(df: DataFrame) -> str:
     return df.sparkSession.conf.get("spark.sql.session.timeZone")
 
 
 def one_of(df: DataFrame, field: T.StructField, values: Sequence[Any]) -> str:
     """The column has one of the values, which are as ``literals.exact`` gives them."""
-    zone = _zone(df)
+    zone = session_zone(df)
     listed = sorted(sql_literal(value, field.dataType, zone) for value in values)
     return f"{quote(field.name)} IN ({', '.join(listed)})" if listed else "FALSE"
 
@@ -62,7 +62,7 @@ def reachable(
         return None
     if size.low is None:
         return "FALSE"
-    zone = _zone(target)
+    zone = session_zone(target)
     inside = (
         f"{quote(key.name)} BETWEEN {sql_literal(size.low, key.dataType, zone)} "
         f"AND {sql_literal(size.high, key.dataType, zone)}"

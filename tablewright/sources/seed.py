@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import is_text_type, parse_type, quote, sized_text
+from ..functions.types import is_text_type, parse_type, sized_text
 from ..spec import SpecError, TableSpec
 
 # How seed files are written (fixed values).

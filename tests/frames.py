@@ -17,7 +17,13 @@ FORMS = {
     "hot": Limits(broadcast_rows=0, literal_values=0, hot_share=0.02),
 }
 
-ARROW = {"bigint": pa.int64(), "string": pa.string(), "date": pa.date32(), "timestamp_ntz": pa.timestamp("us"), "boolean": pa.bool_()}
+ARROW = {
+    "bigint": pa.int64(),
+    "string": pa.string(),
+    "date": pa.date32(),
+    "timestamp_ntz": pa.timestamp("us"),
+    "boolean": pa.bool_(),
+}
 
 
 def spark_frame(spark, columns, rows):

@@ -157,6 +157,7 @@ def test_a_compound_dimension_over_months(spark, store):
 
 
 def test_failed_checks_name_every_rule(store, specs):
-    query = "SELECT 1 AS event_id, 'Click!' AS event_type, DATE'2024-01-01' AS event_date UNION ALL SELECT 1, 'view', NULL"
+    query = """SELECT 1 AS event_id, 'Click!' AS event_type, DATE'2024-01-01' AS event_date
+        UNION ALL SELECT 1, 'view', NULL"""
     with pytest.raises(CheckFailed, match="event_type pattern: 1 rows; event_id unique: 1 rows"):
         run_query(store, specs["events"], query)
