@@ -5,9 +5,11 @@ import pytest
 import __spark_entry__ as entry_point
 from compare import connect, duck_rows, spark_rows
 from conftest import SMALL
+from registry.oracles import all_oracles
+from registry.spark_queries import all_queries
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,8 @@ def duck():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
