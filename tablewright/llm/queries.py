@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe
+from tablewright.llm import bpe, simhash
 from tablewright.llm.common import table
 
 
@@ -25,8 +25,14 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op10_simhash_anchors": op10_simhash_anchors,
 }
 
 ORACLES: dict[str, str] = {}
