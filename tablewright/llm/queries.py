@@ -9,10 +9,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, simhash
+from tablewright.llm import bpe, mixing, sharding, simhash
 from tablewright.llm.common import table
 
 
+def op2_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan(table(spark, sf_dir, "documents"))
+    return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op4_shard_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    narrow = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    return sharding.shard(narrow).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -31,8 +47,12 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mix_to_weights": op2_mix_to_weights,
+    "op4_shard_hypergeometric": op4_shard_hypergeometric,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op10_simhash_anchors": op10_simhash_anchors,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_mix_to_weights": mixing.ORACLE,
+}
