@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, mixing, sharding, simhash
+from tablewright.llm import bpe, mixing, sharding, simhash, vbyte
 from tablewright.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op2_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_ranked_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = vbyte.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return written.read().select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_shard_hypergeometric(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     narrow = table(spark, sf_dir, "documents").select(
@@ -48,6 +53,7 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mix_to_weights": op2_mix_to_weights,
+    "op3_ranked_bytes": op3_ranked_bytes,
     "op4_shard_hypergeometric": op4_shard_hypergeometric,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op10_simhash_anchors": op10_simhash_anchors,
