@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import new_folder, stage
 
 #: Format of a frame's head: magic, documents, tokens, data bytes.
-HEAD = struct.Struct("<4sQQQ")
+HEAD = "<4sQQQ"
 MAGIC = b"TWV1"
 #: Tokens and documents of a frame, about; a longer document has a frame of its own.
 FRAME_TOKENS, FRAME_DOCS = 1 << 20, 4096
@@ -208,8 +208,8 @@ def _open(folder: str) -> tuple[pafs.FileSystem, str]:
 def _frames(folder: str, name: str) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     store, base = _open(folder)
     with store.open_input_stream(f"{base}/{name}") as file:
-        while head := file.read(HEAD.size):
-            magic, docs, tokens, data = HEAD.unpack(head)
+        while head := file.read(struct.calcsize(HEAD)):
+            magic, docs, tokens, data = struct.unpack(HEAD, head)
             if magic != MAGIC:
                 raise ValueError(f"{folder}/{name} is not a file of token ids")
             keys = np.frombuffer(file.read(8 * docs), "<i8")
@@ -253,7 +253,7 @@ def write(
             control, data = encode_ranks(ranks)
             values = keys.fill_null(0).to_numpy(zero_copy_only=False)
             null = keys.is_null().to_numpy(zero_copy_only=False)
-            file.write(HEAD.pack(MAGIC, len(keys), len(ranks), len(data)))
+            file.write(struct.pack(HEAD, MAGIC, len(keys), len(ranks), len(data)))
             for piece in (values.astype("<i8").tobytes(), null.astype(np.uint8).tobytes(), lengths.astype("<i8").tobytes(), control, data):
                 file.write(piece)
             rows, tokens = rows + len(keys), tokens + len(ranks)
@@ -264,7 +264,7 @@ def write(
     ordered = encoded.repartitionByRange(F.asc_nulls_first("key"), F.xxhash64("ids")).sortWithinPartitions(
         F.asc_nulls_first("key"), "ids"
     )
-    manifest = ordered.mapInArrow(run, "part int, file string, docs long, tokens long")
+    manifest = ordered.mapInArrow(run, "part long, file string, docs long, tokens long")
     files = sorted(manifest.collect(), key=lambda row: row["part"])  # one row per file
     return Written(spark, folder, kind, [row.asDict() for row in files], by_rank)
 
