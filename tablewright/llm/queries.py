@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, mixing, sharding, simhash, vbyte
+from tablewright.llm import bpe, chat, mixing, sharding, simhash, topk, vbyte
 from tablewright.llm.common import table
 
 
@@ -46,6 +46,18 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_topk_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op8_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.format_events(chat.turns_as_events(turns)))
+
+
 def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -56,9 +68,12 @@ QUERIES = {
     "op3_ranked_bytes": op3_ranked_bytes,
     "op4_shard_hypergeometric": op4_shard_hypergeometric,
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op6_topk_histograms": op6_topk_histograms,
+    "op8_chat_events": op8_chat_events,
     "op10_simhash_anchors": op10_simhash_anchors,
 }
 
 ORACLES: dict[str, str] = {
     "op2_mix_to_weights": mixing.ORACLE,
+    "op6_topk_histograms": topk.ORACLE,
 }
