@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever folder they start in."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -96,3 +107,42 @@ def components(edges: DataFrame) -> DataFrame:
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.unionByName(roots)
+
+
+def held_out(key: str, of: int, part: int):
+    """Whether a row is in the held-out part: crc32 of its key as text, modulo ``of``. False for a null key."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % of == part, F.lit(False))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, learn) -> DataFrame:
+    """``(doc_id, text, label)`` of the rows that may be learnt from; null labels are none.
+
+    Of several labels of one document the larger counts. Both sides are filtered
+    before they meet.
+    """
+    known = labels.where(learn & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    return docs.select("doc_id", "text").where(learn).join(known, "doc_id")
+
+
+def bounded_sample(rows: DataFrame, most: int, count: int) -> DataFrame:
+    """About ``most`` of ``count`` rows, chosen by the hash of their key; all if there are no more."""
+    share = min(1.0, most / max(count, 1))
+    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def logistic(raw, label, rounds: int = 50) -> tuple[float, float]:
+    """Slope and offset of a logistic curve, by Newton steps with a small ridge."""
+    import numpy as np
+
+    x = np.stack([np.asarray(raw, float), np.ones(len(raw))], axis=1)
+    y = np.asarray(label, float)
+    # targets kept off 0 and 1, so that separable data give finite curves
+    ones, zeros = (y == 1).sum(), (y == 0).sum()
+    y = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    b = np.zeros(2)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -500, 500)))
+        w = np.maximum(p * (1 - p), 1e-9)
+        step = np.linalg.solve(x.T * w @ x + 1e-6 * np.eye(2), x.T @ (p - y) + 1e-6 * b)
+        b -= step / max(1.0, np.abs(step).max() / 5)
+    return float(b[0]), float(b[1])

@@ -9,8 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, mixing, sharding, simhash, topk, vbyte
-from tablewright.llm.common import table
+from tablewright.llm import bpe, chat, crf, mixing, nbsvm, sharding, simhash, topk, vbyte
+from tablewright.llm.common import held_out, labelled, table
+
+#: Score from which a document counts as label 1.
+THRESHOLD = 0.3
 
 
 def op2_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,6 +54,24 @@ def op6_topk_histograms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op7_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = held_out("doc_id", 5, 0)
+    model = nbsvm.fit(labelled(docs, table(spark, sf_dir, "labels"), "quality", ~held))
+    return _judged(nbsvm.score(docs, model), held)
+
+
+def op9_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = held_out("doc_id", 4, 2)
+    field = crf.fit(labelled(docs, table(spark, sf_dir, "labels"), "toxic", ~held))
+    return _judged(crf.score(docs, field), held)
+
+
+def _judged(scored: DataFrame, held) -> DataFrame:
+    return scored.select("doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op8_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -69,7 +90,9 @@ QUERIES = {
     "op4_shard_hypergeometric": op4_shard_hypergeometric,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_topk_histograms": op6_topk_histograms,
+    "op7_nbsvm_quality": op7_nbsvm_quality,
     "op8_chat_events": op8_chat_events,
+    "op9_crf_toxicity": op9_crf_toxicity,
     "op10_simhash_anchors": op10_simhash_anchors,
 }
 
