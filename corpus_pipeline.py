@@ -1,8 +1,83 @@
-"""The corpus pipeline: five stages over ``documents``."""
+"""The corpus pipeline: five stages over ``documents``, each on what the one before kept.
 
-STAGES: list = []
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each
+result as Parquet to the shared folder and reads it again for the next. All but
+the last return the columns of ``documents`` as they came, extra ones included.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablewright.llm import bpe, crf, mixing, nbsvm, simhash
+from tablewright.llm.common import held_out, labelled, stage, table
+from tablewright.llm.queries import THRESHOLD
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose quality scores below the threshold.
+
+    Learns from the labels of ``docs`` that are not held out; without any, all
+    documents stay.
+    """
+    model = nbsvm.fit(labelled(docs, table(spark, sf_dir, "labels"), "quality", ~held_out("doc_id", 5, 0)))
+    return nbsvm.score(docs, model, into="__score").where(F.col("__score") >= THRESHOLD).select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose toxicity scores the threshold or more.
+
+    Learns from the labels of ``docs`` that are not held out; without toxic ones,
+    all documents stay.
+    """
+    field = crf.fit(labelled(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out("doc_id", 4, 2)))
+    return crf.score(docs, field, into="__score").where(F.col("__score") < THRESHOLD).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of linked fingerprints: that of the least id, null last.
+
+    Of rows of one id the least hash of the text decides; repeated rows count once.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"))
+    groups = simhash.near_duplicates(docs.select(name.alias("name"), "text"), key="name")
+    first = groups.select("component_id").distinct().select(
+        F.col("component_id.doc_id").alias("__id"), F.col("component_id.hash").alias("__hash")
+    )
+    own = docs.withColumn("__of", F.xxhash64("text"))
+    kept = own.join(first, own["doc_id"].eqNullSafe(first["__id"]) & (own["__of"] == first["__hash"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__of"]).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes each document as often as its source's rate says; rows repeat."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, lang, source, tokens, n_tokens, decoded)`` of each row; null texts have no tokens."""
+    done = bpe.encode(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"), decoded="decoded")
+    return done.select("doc_id", "lang", "source", "tokens", F.size("tokens").cast("long").alias("n_tokens"), "decoded")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_quality),
+    ("toxicity", drop_toxic),
+    ("simhash", one_of_each_group),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
+
+#: SQL expresses neither the classifiers nor the encoder; tests/llm compares with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

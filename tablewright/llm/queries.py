@@ -9,13 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, crf, mixing, nbsvm, sharding, simhash, topk, vbyte
+from tablewright.llm import bpe, chat, crf, graph, mixing, nbsvm, sharding, simhash, topk, vbyte
 from tablewright.llm.common import held_out, labelled, table
 
 #: Score from which a document counts as label 1.
 THRESHOLD = 0.3
 
 
+def op1_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan(table(spark, sf_dir, "documents"))
     return planned.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -85,6 +89,7 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pruned_graph": op1_pruned_graph,
     "op2_mix_to_weights": op2_mix_to_weights,
     "op3_ranked_bytes": op3_ranked_bytes,
     "op4_shard_hypergeometric": op4_shard_hypergeometric,
