@@ -28,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import new_folder, stage
+from tablewright.llm.common import new_folder, stage, unstage
 
 #: Format of a frame's head: magic, documents, tokens, data bytes.
 HEAD = "<4sQQQ"
@@ -82,6 +82,7 @@ class _Encoder:
         self.tool.no_padding()
         self.tool.no_truncation()
         self.words: dict[bytes, bytes] = {}
+        self.code = "H" if self.tool.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
 
     def _learn(self, words: list[bytes]) -> None:
         known, cores = self.words, {}
@@ -102,17 +103,17 @@ class _Encoder:
             if len(starts) != len(group):
                 alone += group
                 continue
-            ids = array("I", found.ids)
+            ids = array(self.code, found.ids)
             for word, a, b in zip(group, starts, [*starts[1:], len(ids)], strict=True):
                 raw[word] = ids[a:b].tobytes()
         alone += [word for word in new if not word.decode().isalpha()]
         found = self.tool.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
-        raw |= {word: array("I", x.ids).tobytes() for word, x in zip(alone, found, strict=True)}
+        raw |= {word: array(self.code, x.ids).tobytes() for word, x in zip(alone, found, strict=True)}
         for word, (core, tail) in cores.items():
             known[word] = (raw.get(core) or known.get(core, b"")) + ((raw.get(tail) or known.get(tail, b"")) if tail else b"")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Raw 32-bit ids of each text."""
+        """Raw ids of each text, little-endian, of 16 bits if the vocabulary allows."""
         split = [text.encode().split() for text in texts]
         known = self.words
         if len(known) > KEPT_WORDS:
@@ -129,11 +130,16 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
+def id_type(path: str) -> str:
+    """How raw ids of a tokenizer file are laid out."""
+    return "<u2" if _encoder(path).code == "H" else "<u4"
+
+
 def token_ids(docs: DataFrame, path: str, key: str, text: str, end: int) -> DataFrame:
-    """``(key, ids)``: little-endian 32-bit ids of each document, ``end`` appended."""
+    """``(key, ids)``: raw ids of each document, ``end`` appended."""
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    last = struct.pack("<I", end)
+    last = np.array([end], id_type(path)).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _encoder(path)
@@ -147,14 +153,14 @@ def token_ids(docs: DataFrame, path: str, key: str, text: str, end: int) -> Data
     return source.mapInArrow(run, f"key {kind}, ids binary")
 
 
-def frequencies(encoded: DataFrame) -> DataFrame:
+def frequencies(encoded: DataFrame, layout: str = "<u4") -> DataFrame:
     """``(id, n)`` over all documents, counted in each task before they meet."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, np.int64)
         for frame in frames:
             for start in range(0, len(frame), 1000):
-                found = np.bincount(np.frombuffer(b"".join(frame["ids"][start : start + 1000]), "<u4"))
+                found = np.bincount(np.frombuffer(b"".join(frame["ids"][start : start + 1000]), layout))
                 if len(found) > len(total):
                     found[: len(total)] += total
                     total = found
@@ -233,7 +239,8 @@ def write(
     folder = folder or new_folder(spark, "token-files")
     kind = docs.schema[key].dataType.simpleString()
     encoded = stage(token_ids(docs, path, key, text, end).select(F.col("key").cast("long").alias("key"), "ids"), "token-ids")
-    ranked = frequencies(encoded).orderBy(F.desc("n"), "id").toPandas()  # as many rows as the vocabulary has ids
+    layout = id_type(path)
+    ranked = frequencies(encoded, layout).orderBy(F.desc("n"), "id").toPandas()  # as many rows as the vocabulary has ids
     by_rank = ranked["id"].to_numpy(np.uint32)
     rank_of = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
@@ -246,7 +253,7 @@ def write(
         name = f"part-{part:06d}-{uuid.uuid4().hex}.twv"
         rows = tokens = 0
         file = None
-        for keys, lengths, ranks in _framed(batches, rank_of):
+        for keys, lengths, ranks in _framed(batches, rank_of, layout):
             if file is None:
                 store.create_dir(base)
                 file = store.open_output_stream(f"{base}/{name}")
@@ -266,18 +273,21 @@ def write(
     )
     manifest = ordered.mapInArrow(run, "part long, file string, docs long, tokens long")
     files = sorted(manifest.collect(), key=lambda row: row["part"])  # one row per file
+    unstage(encoded)
     return Written(spark, folder, kind, [row.asDict() for row in files], by_rank)
 
 
-def _framed(batches: Iterator[pa.RecordBatch], rank_of: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def _framed(
+    batches: Iterator[pa.RecordBatch], rank_of: np.ndarray, layout: str
+) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Keys, lengths and ranks of the frames of a partition."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+        sizes = pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(layout).itemsize
         start = 0
         while start < batch.num_rows:
             sums = np.cumsum(sizes[start : start + FRAME_DOCS])
             n = max(1, int(np.searchsorted(sums, FRAME_TOKENS, side="right")))
             part = batch.slice(start, n)
-            ids = np.frombuffer(b"".join(x.as_buffer() for x in part.column(1)), "<u4")
+            ids = np.frombuffer(b"".join(x.as_buffer() for x in part.column(1)), layout)
             yield part.column(0), sizes[start : start + n], rank_of[ids]
             start += n
