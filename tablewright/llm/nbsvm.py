@@ -35,20 +35,20 @@ SMOOTHING, BOUND, PASSES = 1.0, 1.0, 12
 #: Words that a Python worker keeps; it starts anew beyond.
 KEPT_WORDS = 500_000
 
-_RUNS = (
-    (re.compile(r"[^\W\d_A-Z]+"), "a"),
-    (re.compile(r"[A-Z]{2,}"), "AA"),
-    (re.compile(r"\d+"), "0"),
-    (re.compile(r"([^a-zA-Z0-9])\1{2,}"), r"\1\1\1"),
-)
+_LETTERS, _DIGITS, _MARKS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"([\W_])\1{2,}")
+
+
+def _case(letters: re.Match) -> str:
+    run = letters[0]
+    if run.isupper():
+        return "A" if len(run) == 1 else "AA"
+    return "Aa" if run[0].isupper() else "a"
 
 
 def shape(word: str) -> str:
-    if word.upper() == word and word.lower() != word:
-        word = re.sub(r"[^\W\d_]+", lambda m: "A" if len(m[0]) == 1 else "AA", word)
-    for pattern, to in _RUNS:
-        word = pattern.sub(to, word)
-    return word[:12]
+    """Letters by case, digits as 0, of other characters at most three alike in a row."""
+    word = _DIGITS.sub("0", _LETTERS.sub(_case, word))
+    return _MARKS.sub(r"\1\1\1", word)[:12]
 
 
 class _Words(dict):
@@ -117,12 +117,12 @@ def counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return ones, zeros
 
 
-def descend(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
+def descend(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, width: int, passes: int = PASSES, seed: int = 1) -> np.ndarray:
     """Weights of a linear hinge-loss model, last the constant, by dual coordinate descent."""
     rng = np.random.default_rng(seed)
     weights, duals = np.zeros(width + 1), np.zeros(len(rows))
     squares = np.array([(values**2).sum() + 1.0 for _, values in rows])
-    for _ in range(PASSES):
+    for _ in range(passes):
         for i in rng.permutation(len(rows)):
             at, values = rows[i]
             y = labels[i]

@@ -47,7 +47,7 @@ def integers(vectors: DataFrame, key: str, vector: str, scale: float) -> DataFra
                     continue
                 x = np.floor(scale * x)
                 most = float(np.abs(x).max(initial=0.0))
-                if most >= 2.0**62:
+                if most >= 2.0**61:
                     raise ValueError("a component is too large for scores of 64 bits")
                 ids.append(NO_ID if i is None else i)
                 dims.append(len(x))
@@ -92,7 +92,7 @@ def _scores(row, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     most = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(dim, 1)
     if most < 2.0**53:
         found = (left.astype(np.float64) @ right.astype(np.float64).T).astype(np.int64)
-    elif most < 2.0**62:
+    elif most < 2.0**61:
         found = left @ right.T
     else:
         raise ValueError("scores do not fit 64 bits")
@@ -160,7 +160,7 @@ def top_k(
         return pairs.join(held, ["dim", "query_block"]).join(blocks, ["dim", "block"]).repartition(tasks, "dim", "query_block", "block")
 
     # a score lies within dim * largest * largest, so the first interval holds all of a query's
-    reach = (F.col("dim") * F.col("mine") * F.col("most")).cast("long") + 1
+    reach = F.least(F.col("dim") * F.col("mine") * F.col("most"), F.lit(2.0**61)).cast("long") + 1
     numbered = queries.select("dim", "query_block", F.explode(F.sequence(F.lit(0), (F.octet_length("query_ids") / 8 - 1).cast("int"))).alias("query"))
     state = stage(
         numbered.join(bound, "dim").select(

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import struct
+import unicodedata
 import uuid
 from array import array
 from collections.abc import Iterator
@@ -89,7 +90,7 @@ class _Encoder:
         for word in words:
             core = word if b"<" in word else word.lower()  # special tokens keep their case
             tail = b""
-            if core[-1:] in (b".", b",") and core[:-1].decode()[-1:].isalpha():
+            if core[-1:] in (b".", b",") and _ends_in_letter(core[:-1].decode()):
                 core, tail = core[:-1], core[-1:]
             cores[word] = core, tail
         new = list({x for pair in cores.values() for x in pair if x not in known})
@@ -125,6 +126,11 @@ class _Encoder:
         return [b"".join(map(find, words)) for words in split]
 
 
+def _ends_in_letter(word: str) -> bool:
+    """Whether it does so in the form that the tokenizer sees: composed, in lower case."""
+    return unicodedata.normalize("NFC", word[-1:]).lower()[-1:].isalpha()
+
+
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> _Encoder:
     return _Encoder(path)

@@ -1,0 +1,104 @@
+import numpy as np
+import pytest
+from llm_frames import empty
+
+from tablewright.llm import graph
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, least=0.98):
+    def unit(row):
+        v = row[1]
+        if row[2] is None or not v or any(x is None or not np.isfinite(x) for x in v) or not any(v):
+            return None
+        x = np.array(v, np.float64)
+        return x / np.linalg.norm(x)
+
+    units = [unit(r) for r in rows]
+    links = [
+        [j for j in range(len(rows)) if j != i and units[i] is not None and units[j] is not None and rows[i][2] == rows[j][2] and len(units[i]) == len(units[j]) and units[i] @ units[j] >= least]
+        for i in range(len(rows))
+    ]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i, near in enumerate(links):
+            group[i] = min([group[i], *(group[j] for j in near)])
+    out = []
+    for i, row in enumerate(rows):
+        ids = [r[0] for r, g in zip(rows, group, strict=True) if g == group[i] and r[0] is not None]
+        low = min(ids, default=None)
+        out.append((row[0], len(links[i]), low, row[0] == low))
+    return sorted(out, key=str)
+
+
+def got(frame, **options):
+    return sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in graph.near_duplicates(frame, **options).collect()), key=str)
+
+
+def test_odd_rows(spark):
+    v, w = [1.0, 0.0, 0.0], [0.0, 2.0, 0.0]
+    rows = [
+        (1, v, 1), (2, v, 1), (2, v, 1), (3, v, 2), (4, v, None), (5, w, 1), (6, None, 1), (7, [0.0, 0.0, 0.0], 1), (8, [1.0, None, 0.0], 1),
+        (9, [float("nan"), 1.0, 0.0], 1), (10, [float("inf"), 1.0, 0.0], 1), (None, v, 1), (11, [], 1), (12, [1.0, 0.0], 1), (13, [3.0, 0.1, 0.0], 1),
+        (14, [1e-30, 0.0, 0.0], 2), (None, [0.0, 0.0, 1.0], 1),
+    ]
+    assert got(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+
+
+def clustered(seed, n=900, hot=300, dim=24):
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=(n, dim))
+    for k in range(1, n, 5):
+        base[k] = base[k - 1] + rng.normal(size=dim) * rng.choice([0.05, 0.15, 0.19, 0.3])
+    base[:hot] = rng.normal(size=dim) + rng.normal(size=(hot, dim)) * 0.1  # one large group of near copies
+    return [(int(k), [float(np.float32(x)) for x in base[k]], int(k % 2) if k >= hot else 0) for k in rng.permutation(n)]
+
+
+def test_links_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SHARD", 100)
+    monkeypatch.setattr(graph, "BLOCK", 60)
+    rows = clustered(3)
+    found, real = got(spark.createDataFrame(rows, SCHEMA)), brute(rows)
+    links, all_links = sum(r[1] for r in found), sum(r[1] for r in real)
+    assert 0.95 * all_links <= links <= all_links
+    by = {r[0]: r for r in real}
+    assert all(r[1] <= by[r[0]][1] for r in found)  # no link below the bound
+    assert np.mean([r[2] == by[r[0]][2] for r in found]) > 0.98
+
+
+def test_a_search_that_finds_little_is_repeated(spark, monkeypatch):
+    seen = []
+    real = graph.audit
+
+    def low(nodes, totals, least):
+        seen.append(real(nodes, totals, least))
+        return 0.5
+
+    monkeypatch.setattr(graph, "audit", low)
+    with pytest.raises(RuntimeError):
+        graph.near_duplicates(spark.createDataFrame(clustered(4, 100, 20), SCHEMA))
+    assert len(seen) > 1
+
+
+def test_graph_of_a_chunk_is_connected():
+    rng = np.random.default_rng(1)
+    vecs = np.concatenate([rng.normal(size=(40, 8)) * 0.01 + rng.normal(size=8) for _ in range(10)])
+    vecs /= np.linalg.norm(vecs, axis=1, keepdims=True)
+    source, target, entries = graph.build(vecs)
+    reached = {int(entries[0])}
+    edges = {}
+    for a, b in zip(source.tolist(), target.tolist(), strict=True):
+        edges.setdefault(a, set()).add(b)
+    todo = list(reached)
+    while todo:
+        for b in edges.get(todo.pop(), ()):
+            if b not in reached:
+                reached.add(b)
+                todo.append(b)
+    assert len(reached) == len(vecs)
+
+
+def test_single_node_and_empty_table(spark):
+    assert got(spark.createDataFrame([(1, [1.0, 0.0], 1)], SCHEMA)) == [(1, 0, 1, True)]
+    assert got(empty(spark, SCHEMA)) == []

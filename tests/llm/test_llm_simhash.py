@@ -1,0 +1,95 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from llm_frames import DOC, ROWS, crowded, documents, empty
+
+from tablewright.llm import simhash
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    shingles = [" ".join(words[k : k + 4]) for k in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute(rows):
+    prints = [fingerprint(r[1]) for r in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for i in range(len(rows)):
+            for j in range(len(rows)):
+                if (prints[i] ^ prints[j]).bit_count() <= 4:
+                    group[i] = group[j] = min(group[i], group[j])
+    out = []
+    for i, row in enumerate(rows):
+        ids = [r[0] for r, g in zip(rows, group, strict=True) if g == group[i] and r[0] is not None]
+        out.append((row[0], prints[i], min(ids, default=None)))
+    return out
+
+
+def got(docs):
+    return [(r.doc_id, r.fp & (1 << 64) - 1, r.component_id) for r in simhash.near_duplicates(docs).collect()]
+
+
+def ordered(rows):
+    return sorted(rows, key=str)
+
+
+def test_fingerprints_of_texts():
+    rnd = random.Random(1)
+    for n in [0, 1, 2, 3, 4, 5, 50, 300]:
+        text = " ".join(rnd.choice(["Alpha", "beta", "GAMMA", "É", "x\x0by", " z"]) for _ in range(n)) + "\t"
+        assert simhash.fingerprint(text) == fingerprint(text)
+
+
+def test_spread_over_parts(monkeypatch):
+    text = " ".join(str(k * k) for k in range(3000))
+    monkeypatch.setattr(simhash, "COUNTED", 100)
+    assert simhash.fingerprint(text) == fingerprint(text)
+
+
+@pytest.mark.parametrize("most", [4])
+def test_linked_fingerprints_meet_at_a_home(most):
+    rng = np.random.default_rng(3)
+    left = rng.integers(-(2**63), 2**63 - 1, 2000)
+    right = left.copy().view(np.uint64)
+    for k in range(len(right)):
+        for bit in rng.choice(64, rng.integers(0, most + 1), replace=False):
+            right[k] ^= np.uint64(1 << int(bit))
+    homes, others = [set() for _ in left], [set() for _ in left]
+    for at, anchor, home in simhash._anchored(left, most):
+        for i, a in zip(at[home].tolist(), anchor[home].tolist(), strict=True):
+            homes[i].add(a)
+    for at, anchor, _ in simhash._anchored(right.view(np.int64), most):
+        for i, a in zip(at.tolist(), anchor.tolist(), strict=True):
+            others[i].add(a)
+    assert all(a & b for a, b in zip(homes, others, strict=True))
+
+
+def test_odd_rows_against_brute_force(spark):
+    assert ordered(got(crowded(documents(spark)))) == ordered(brute(ROWS))
+
+
+def test_chains_and_groups_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 4)
+    rnd = random.Random(5)
+    base = [[rnd.choice("abcdefghijklmnop") * rnd.randint(1, 3) for _ in range(400)] for _ in range(6)]
+    rows = []
+    for k in range(120):
+        words = list(base[k % 6])
+        for _ in range(k % 5):
+            words[rnd.randrange(400)] = "edit%d" % rnd.randint(0, 9)
+        rows.append((1000 - k, " ".join(words), "", "", 0))
+    real = brute(rows)
+    assert len({x[2] for x in real}) < 40
+    assert ordered(got(documents(spark, rows))) == ordered(real)
+
+
+def test_empty_table(spark):
+    assert got(empty(spark, DOC)) == []
