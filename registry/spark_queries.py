@@ -27,6 +27,8 @@ from tablewright import (
     run_seed,
 )
 
+from tablewright.sources.store import shared_folder
+
 from . import inputs
 from .inputs import rows, spark_sql
 
@@ -71,12 +73,6 @@ DIM_COLUMNS = (
 DIM_DATED_COLUMNS = (*DIM_COLUMNS, column("updated_at", "timestamp_ntz"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; the warehouse where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-
-
 def new_store(spark: SparkSession) -> TableStore:
     return TableStore(spark, location=f"{shared_folder(spark)}/{SCHEMA}-{uuid.uuid4().hex}")
 

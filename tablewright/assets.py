@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from dataclasses import replace
 from datetime import datetime
 from typing import Any
 
@@ -55,6 +56,8 @@ def run_query(
     if spec.kind == "view":
         if not isinstance(query, str):
             raise SpecError("a view needs its query as text")
+        if window is not None or args:
+            raise SpecError("a view is evaluated on read and takes no window and no arguments")
         store.create_view(spec.name, query)
         return store.read(spec.name)
     if spec.kind == "table" and spec.strategy == names.DDL:
@@ -108,14 +111,19 @@ def materialize(
         if spec.strategy != names.CREATE_REPLACE:
             raise MissingTarget(f"{spec.name} does not exist; run a full refresh or ddl first")
     fresh = full_refresh or target is None or spec.strategy == names.CREATE_REPLACE
-    if spec.cluster_by or (not fresh and spec.strategy in _READ_TWICE):
+    staged = spec.cluster_by or (not fresh and spec.strategy in _READ_TWICE)
+    if staged:
         rows = store.stage(rows)
-    change = plan_change(
-        spec, target, rows, window=window, now=now, full_refresh=full_refresh, limits=limits
-    )
-    if not fresh:
-        change = Change(change.goes, _sized(spec, change.rows))
-    store.commit(spec, change, new_layout=fresh and change.goes == EVERYTHING)
+    try:
+        change = plan_change(
+            spec, target, rows, window=window, now=now, full_refresh=full_refresh, limits=replace(limits, list_keys=True)
+        )
+        if not fresh:
+            change = Change(change.goes, _sized(spec, change.rows))
+        store.commit(spec, change, new_layout=fresh and change.goes == EVERYTHING)
+    finally:
+        if staged:
+            store.unstage(rows)
     table = store.read(spec.name)
     if check and (spec.custom_checks or any(c.checks for c in spec.columns)):
         require_passed(run_checks(table, spec))

@@ -17,6 +17,8 @@ _SIZED_TEXT = re.compile(r"^(char|character|varchar)\s*\(\s*(\d+)\s*\)$", re.IGN
 _INTERVALS = (T.DayTimeIntervalType, T.YearMonthIntervalType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
+# Types whose values have no bound of size.
+_UNSIZED = tuple(getattr(T, name) for name in ("VariantType",) if hasattr(T, name))
 
 
 def is_text_type(declared: str | None) -> bool:
@@ -48,6 +50,14 @@ def sized_text(col: Column, declared: str | None) -> Column:
     return F.when(too_long, F.raise_error(message).cast("string")).otherwise(trimmed)
 
 
+def strict_cast(value: Column, target: T.DataType) -> Column:
+    """``value`` as ``target``; one that does not fit raises, whatever the session says of casts."""
+    fitting = value.try_cast(target)
+    message = F.format_string(f"%s does not fit {target.simpleString()}", value.try_cast("string"))
+    lost = value.isNotNull() & fitting.isNull()
+    return F.when(lost, F.raise_error(message).cast(target)).otherwise(fitting)
+
+
 def is_sized_text(declared: str | None) -> bool:
     return bool(_SIZED_TEXT.match((declared or "").strip()))
 
@@ -80,7 +90,7 @@ def byte_size(field: T.StructField) -> Column:
     col = F.col(quote(field.name))
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(col), F.lit(0)).cast("long") + 16
-    if isinstance(field.dataType, _NESTED):
+    if not isinstance(field.dataType, T.AtomicType) or isinstance(field.dataType, _UNSIZED):
         return F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0)).cast("long") + 16
     return F.lit(16 if isinstance(field.dataType, T.DecimalType) else 8).cast("long")
 

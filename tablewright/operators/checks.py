@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.types import quote
 from ..spec import Check, SpecError, TableSpec
@@ -80,14 +81,26 @@ def run_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def custom_check(df: DataFrame, name: str, query: str, expected: int = 0) -> DataFrame:
-    """A query's single value, which must equal ``expected``; no row fails."""
+    """A query's single value, which must equal ``expected`` exactly; no row fails, several raise.
+
+    ``bad_rows`` is the value, rounded away from zero if it is not whole.
+    """
     found = df.sparkSession.sql(query)
-    value = F.first(F.col(quote(found.columns[0]))).cast("long")
-    return found.limit(1).agg(value.alias("bad_rows")).select(
+    kind = found.schema[0].dataType
+    value = F.first(F.col(quote(found.columns[0])))
+    if isinstance(kind, T.BooleanType):
+        value = value.cast("int")
+    elif not isinstance(kind, T.NumericType):
+        value = value.try_cast("decimal(38,10)")
+    several = F.raise_error(F.lit(f"the query of check {name} gives more than one row"))
+    one = found.limit(2).agg(F.count(F.lit(1)).alias("n"), value.alias("value"))
+    one = one.filter(F.when(F.col("n") > 1, several.cast("boolean")).otherwise(F.lit(True)))
+    whole = F.when(F.col("value") < 0, F.floor("value")).otherwise(F.ceil("value"))
+    return one.select(
         F.lit("").alias("column"),
         F.lit(name).alias("check"),
-        "bad_rows",
-        F.coalesce(F.col("bad_rows") == F.lit(expected), F.lit(False)).alias("passed"),
+        whole.cast("long").alias("bad_rows"),
+        F.coalesce(F.col("value") == F.lit(expected), F.lit(False)).alias("passed"),
     )
 
 

@@ -1,7 +1,8 @@
 """Versioned history (slowly changing dimension, type 2).
 
 Each key has at most one open version. A run closes versions that changed or
-vanished and opens new ones; closed versions are never read or moved.
+vanished and opens new ones; closed versions are not read, and if few keys are
+touched only their versions are written.
 """
 
 from __future__ import annotations
@@ -12,11 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.literals import has_literal
 from ..functions.types import quote
 from ..plans.bind import find, stored
 from ..plans.change import Change
 from ..plans.match import match_rows
 from ..plans.sizing import Limits
+from ..plans.touched import distinct_values, one_of
 from ..spec import IS_CURRENT, OPEN_END, SCD2_BY_COLUMN, VALID_FROM, VALID_UNTIL, SpecError, TableSpec
 
 
@@ -111,7 +114,26 @@ def change(
     )
     current = target.filter(F.col(quote(IS_CURRENT)))
     matched = match_rows(current, rows, keys, limits)
-    return Change(quote(IS_CURRENT), matched.select(F.inline(versions)))
+    goes = quote(IS_CURRENT)
+    touched = F.col("in_target") & (~F.col("in_source") | F.coalesce(changed, F.lit(False)))
+    reached = _touched_keys(target, matched.filter(touched).select(t_of[keys[0]].alias(keys[0])), keys[0], limits)
+    if reached is not None:
+        # Versions with other keys stay stored where they are; NULL keys match nothing, so all of them close.
+        own = F.expr(reached.replace(quote(keys[0]), f"t{schema.names.index(keys[0])}"))
+        matched = matched.filter(~F.col("in_target") | own)
+        goes = f"{goes} AND ({reached})"
+    return Change(goes, matched.select(F.inline(versions)))
+
+
+def _touched_keys(target: DataFrame, touched: DataFrame, key: str, limits: Limits) -> str | None:
+    """A predicate of the touched versions by their first key, if few values of it are touched."""
+    field = find(target.schema, key)
+    if not limits.list_keys or not has_literal(field.dataType):
+        return None
+    values = distinct_values(touched, field, limits.literal_values + 1)
+    if len(values) > limits.literal_values:
+        return None
+    return f"{one_of(target, field, values)} OR {quote(key)} IS NULL"
 
 
 def _differs(

@@ -151,9 +151,22 @@ def anti_join(
     if spec.needs_window:
         known = known.filter(F.expr(_in_window(spec, target, window)))
     rows = bind(source, target.schema, spec.by_name)
+    known = _narrowed(known, rows, keys, spec, limits, null_safe=True)
     return Change(NOTHING, unmatched(rows, known, keys, null_safe=True, limits=limits))
 
 
+def _narrowed(
+    target: DataFrame, rows: DataFrame, keys: list[str], spec: TableSpec, limits: Limits, null_safe: bool
+) -> DataFrame:
+    """The target rows that can have a key of ``rows``, by a predicate that reaches the scan."""
+    reached = reachable(target, rows, keys, spec.partition_by, measure(rows, keys[0]), limits, counted=False)
+    if reached is None:
+        return target
+    if null_safe:
+        reached = " OR ".join([f"({reached})", *(f"{quote(key)} IS NULL" for key in keys)])
+    return target.filter(F.expr(reached))
+
+
 def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits) -> Change:
     """Update the marked columns of matched rows and insert unmatched source rows."""
     schema = target.schema
@@ -162,7 +175,8 @@ def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits)
     updated = [find(schema, name).name for name in spec.update_columns]
     rows = pick(source, schema, declared)
     if not updated:
-        new = unmatched(rows, target, keys, null_safe=False, limits=limits)
+        known = _narrowed(target, rows, keys, spec, limits, null_safe=False)
+        new = unmatched(rows, known, keys, null_safe=False, limits=limits)
         return Change(NOTHING, _widened(new, schema))
     size = measure(rows, keys[0])
     reached = reachable(target, rows, keys, spec.partition_by, size, limits)

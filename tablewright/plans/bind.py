@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import can_store, quote
+from ..functions.types import can_store, quote, strict_cast
 from ..spec import SpecError
 
 
@@ -21,7 +21,7 @@ def stored(source: T.StructField, target: T.StructField) -> Column:
         )
     value = F.col(quote(source.name))
     if source.dataType != target.dataType:
-        value = value.cast(target.dataType)
+        value = strict_cast(value, target.dataType)
     return value.alias(target.name)
 
 

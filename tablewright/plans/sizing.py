@@ -32,13 +32,17 @@ class Limits:
     within ``broadcast_rows`` and ``broadcast_bytes``; zero rows forbids it.
     Up to ``literal_values`` distinct keys may become a literal list. A key
     with more than ``hot_share`` of the rows is joined apart from the rest;
-    by default that is a quarter of one shuffle partition's fair share.
+    by default that is a quarter of one shuffle partition's fair share. With
+    ``list_keys`` a change names the few keys it reaches even where their range
+    is narrow: planning costs one more pass over the keys, but stored rows
+    between them are not written again, so stored tables are changed that way.
     """
 
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 64 << 20
     literal_values: int = 200
     hot_share: float | None = None
+    list_keys: bool = False
 
     def share(self, spark: SparkSession) -> float:
         if self.hot_share is not None:

@@ -43,20 +43,29 @@ def reachable(
     partition_by: Sequence[str],
     size: Size,
     limits: Limits,
+    counted: bool = True,
 ) -> str | None:
     """A predicate all target rows with a key of ``keyed`` satisfy.
 
     If the first partition column is a key, the partitions that ``keyed``
-    names, unless they are many. Otherwise the range of the first key, which
-    ``size`` has, if less than half of the target lies in it. ``None`` stands
-    for the whole target.
+    names, unless they are many; if ``keyed`` has few rows, the values of the
+    first key, too. Otherwise the range of the first key, which
+    ``size`` has, if less than half of the target lies in it (not ``counted``:
+    in any case). ``None`` stands for the whole target.
     """
     fields = {field.name: field for field in target.schema}
     first = next((f for f in fields if partition_by and f.lower() == partition_by[0].lower()), None)
-    if first in keys and has_literal(fields[first].dataType):
-        values = distinct_values(keyed, fields[first], limits.literal_values + 1)
-        if len(values) <= limits.literal_values:
-            return one_of(target, fields[first], values)
+    named = [first] if first in keys else []
+    if limits.list_keys and 0 < size.rows <= limits.literal_values and keys[0] not in named:
+        named.append(keys[0])  # few rows: scattered keys reach their own rows only
+    found = []
+    for name in named:
+        if has_literal(fields[name].dataType):
+            values = distinct_values(keyed, fields[name], limits.literal_values + 1)
+            if len(values) <= limits.literal_values:
+                found.append(one_of(target, fields[name], values))
+    if found:
+        return " AND ".join(found)
     key = fields[keys[0]]
     if not has_literal(key.dataType):
         return None
@@ -67,6 +76,7 @@ def reachable(
         f"{quote(key.name)} BETWEEN {sql_literal(size.low, key.dataType, zone)} "
         f"AND {sql_literal(size.high, key.dataType, zone)}"
     )
-    seen = target.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.expr(inside)).alias("inside"))
-    counted = seen.first()
-    return inside if counted["inside"] * 2 < counted["all"] else None
+    if not counted:
+        return inside
+    seen = target.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.expr(inside)).alias("inside")).first()
+    return inside if seen["inside"] * 2 < seen["all"] else None

@@ -2,9 +2,10 @@
 
 The header row names the columns; a column declared in the spec gets its type,
 any other is a string. Cells are read as text and cast, so a cell means the
-same whatever its neighbours are. Files without quoted line breaks are read in
-splits. With them, files that are one split anyway are read file by file, and
-larger ones are put together record by record across their splits.
+same whatever its neighbours are. Files in which every line is a record are read
+in splits; where records span lines, they are put together across the splits of
+their file, whatever these are. A quote that neither opens nor closes a cell is
+refused before that, so the rows never depend on how a file is split.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import is_text_type, parse_type, sized_text
+from ..functions.types import is_text_type, parse_type, sized_text, strict_cast
 from ..spec import SpecError, TableSpec
 
 # How seed files are written (fixed values).
@@ -38,14 +39,15 @@ def read_seed(
     names = _header(spark, path)
     texts = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in texts])
-    open_lines, split_files = _line_breaks(spark, path)
-    if open_lines and split_files:
-        ddl = ", ".join(f"{c} STRING" for c in texts)
-        cells = _records(spark, path).select(F.from_csv("record", ddl, _FORMAT).alias("r"))
-        cells = cells.select("r.*")
+    if _one_line_records(spark, path):
+        _same_headers(path, names, _first_lines(spark, path))
+        cells = spark.read.options(**_FORMAT).schema(schema).csv(path, header=True)
     else:
-        reader = spark.read.options(**_FORMAT).schema(schema)
-        cells = reader.csv(path, header=True, multiLine=open_lines)
+        ddl = ", ".join(f"{c} STRING" for c in texts)
+        records = _records(spark, path)
+        _same_headers(path, names, records.filter("is_header").select("record"))
+        rows = records.filter(~F.col("is_header"))
+        cells = rows.select(F.from_csv("record", ddl, _FORMAT).alias("r")).select("r.*")
     declared = {c.name.lower(): c.type for c in spec.columns}
     return cells.select(
         *[
@@ -60,7 +62,7 @@ def _typed(cell: Column, declared: str | None, on_bad_cell: str) -> Column:
         return sized_text(F.coalesce(cell, F.lit("")), declared)
     filled = F.when(cell != "", cell)
     dtype = parse_type(declared)
-    return filled.cast(dtype) if on_bad_cell == "raise" else filled.try_cast(dtype)
+    return strict_cast(filled, dtype) if on_bad_cell == "raise" else filled.try_cast(dtype)
 
 
 def _header(spark: SparkSession, path: str | list[str]) -> list[str]:
@@ -81,25 +83,46 @@ def _quotes_odd(line: Column) -> Column:
     return F.length(F.regexp_replace(line, '[^"]', "")) % 2
 
 
-def _line_breaks(spark: SparkSession, path: str | list[str]) -> tuple[bool, bool]:
-    """Does some record go on after a line break, and is some file several splits?
+# A quoted cell with its quotes, and one that is still open at the end of the line.
+_CLOSED = r'(?:^|(?<=,))"[^"]*+(?:""[^"]*+)*+"(?=,|$)'
+_OPEN = r'(?:^|(?<=,))"[^"]*+(?:""[^"]*+)*+$'
 
-    A line where a quoted cell stays open, or is closed again, has an odd
-    number of quote characters.
-    """
-    seen = (
-        spark.read.text(path)
-        .agg(
-            F.max(_quotes_odd(F.col("value")) == 1).alias("open_lines"),
-            F.max(F.col("_metadata.file_block_start") > 0).alias("split_files"),
-        )
-        .first()
+
+def _bare_quote(line: Column, inside: Column) -> Column:
+    """A quote is left when the quoted cells are taken out of a line that begins ``inside`` one or not."""
+    whole = F.when(inside, F.concat(F.lit('"'), line)).otherwise(line)
+    rest = F.regexp_replace(F.regexp_replace(whole, _CLOSED, ""), _OPEN, "")
+    return F.instr(rest, '"') > 0
+
+
+def _one_line_records(spark: SparkSession, path: str | list[str]) -> bool:
+    """Is every line a whole record?"""
+    rest = F.regexp_replace("value", _CLOSED, "")
+    return not spark.read.text(path).filter(F.instr(rest, '"') > 0).limit(1).count()
+
+
+def _first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The first line of each file that is not empty, in files of one-line records."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
     )
-    return bool(seen["open_lines"]), bool(seen["split_files"])
+    filled = lines.filter(F.trim("value") != "")
+    return filled.groupBy("file").agg(F.min_by("value", "at").alias("record")).select("record")
+
+
+def _same_headers(path: str | list[str], names: list[str], headers: DataFrame) -> None:
+    """Refuse files whose headers differ; few distinct ones are looked at."""
+    ddl = ", ".join(f"c{i} STRING" for i in range(len(names) + 1))
+    for row in headers.distinct().select(F.from_csv("record", ddl, _FORMAT).alias("r")).select("r.*").limit(100).collect():
+        found = [(cell or "").strip() for cell in row]
+        if found != [*names, ""]:
+            raise SeedError(f"files of {path} have different headers: {names} and {found}")
 
 
 def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Whole CSV records of files in which records may span lines.
+    """Whole CSV records ``(record, is_header)`` of files in which records may span lines.
 
     Whether a line starts a record follows from the number of quotes before
     it. That is counted inside each read block, and over the block totals of
@@ -151,15 +174,19 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     lines = lines.join(blocks, ["file", "block"])
     lines = lines.withColumn("starts", F.col("flips") == F.col("begins"))
+    # Up to the first bare quote of a file all states are right, so that quote is seen.
+    bare = lines.filter(_bare_quote(F.col("line"), ~F.col("starts"))).select("file", "line").first()
+    if bare is not None:
+        raise SeedError(f"a quote inside a cell is not doubled in {bare['file']}: {bare['line'][:80]}")
     began = F.max(F.when(F.col("starts"), F.col("at"))).over(in_block)
     lines = lines.withColumn("record_at", F.coalesce(began, F.col("open_since")))
-    lines = lines.filter(F.col("record_at") != F.col("header_at"))
+    lines = lines.withColumn("is_header", F.col("record_at") == F.col("header_at"))
     whole = F.col("starts") & (F.col("odd") == 0)
-    single = lines.filter(whole & (F.col("line") != "")).select(F.col("line").alias("record"))
+    single = lines.filter(whole & (F.col("line") != "")).select(F.col("line").alias("record"), "is_header")
     pieces = F.sort_array(F.collect_list(F.struct("block", "at", "line")))
     joined = (
         lines.filter(~whole)
-        .groupBy("file", "record_at")
+        .groupBy("file", "record_at", "is_header")
         .agg(F.array_join(F.transform(pieces, lambda piece: piece["line"]), "\n").alias("record"))
     )
-    return single.union(joined.select("record"))
+    return single.union(joined.select("record", "is_header"))

@@ -10,7 +10,7 @@ a time window, deleting a list of keys or partitions and closing versions thus
 cost as much as the rows they touch, not as much as the table; the predicates
 reach the parts' scans. A part without remaining rows is let go, one with more
 rows gone than left is rewritten, and when a table has gathered many parts the
-later ones are folded into one. So a table never takes much more than twice
+smaller ones are folded into one. So a table never takes much more than twice
 the space of its rows, and never reads from more than ``max_parts`` parts.
 
 One writer per table is assumed; a second one is noticed before it publishes.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
@@ -44,12 +45,21 @@ class PublishError(RuntimeError):
 
 @dataclass(frozen=True)
 class Part:
-    """A stored table, the predicates before it, its rows and those that are left."""
+    """A stored table, the predicates before it, its rows and those that are left.
+
+    ``only`` limits a part to some partitions of its table: open and closed
+    versions are parts of their own, though one job writes both.
+    """
 
     table: str
     keep: tuple[str, ...] = ()
     rows: int = 0
     left: int = 0
+    only: str = ""
+
+    @property
+    def conditions(self) -> tuple[str, ...]:
+        return (self.only, *self.keep) if self.only else self.keep
 
 
 @dataclass(frozen=True)
@@ -66,7 +76,7 @@ class State:
         return json.dumps(
             {
                 "version": self.version,
-                "parts": [[p.table, list(p.keep), p.rows, p.left] for p in self.parts],
+                "parts": [[p.table, list(p.keep), p.rows, p.left, p.only] for p in self.parts],
                 "partition_by": self.partition_by,
                 "cluster_by": self.cluster_by,
                 "retired": self.retired,
@@ -78,7 +88,7 @@ class State:
         raw = json.loads(text)
         return State(
             raw["version"],
-            tuple(Part(table, tuple(keep), rows, left) for table, keep, rows, left in raw["parts"]),
+            tuple(Part(table, tuple(keep), *rest) for table, keep, *rest in raw["parts"]),
             tuple(raw["partition_by"]),
             tuple(raw["cluster_by"]),
             tuple(raw["retired"]),
@@ -181,7 +191,7 @@ class TableStore:
             schema = self.read(full).schema
         schema = _described(schema, spec)
 
-        part = self._write(full, version, change.rows, partition_by, cluster_by, spec.is_scd2)
+        written = self._write(full, version, change.rows, partition_by, cluster_by, spec.is_scd2)
         if change.goes is NOTHING:
             kept = old_parts
         elif change.goes == EVERYTHING:
@@ -189,8 +199,8 @@ class TableStore:
         else:
             kept = self._without(old_parts, change.goes)
         kept = tuple(p for p in kept if p.left)
-        unused = [part.table] if kept and not part.rows else []
-        parts = kept if unused else (*kept, part)
+        unused = [written[0].table] if kept and not any(p.rows for p in written) else []
+        parts = kept if unused else (*kept, *written)
         state = State(version, parts, partition_by, cluster_by)
         self._publish(full, schema, before, state)
         self._drop(unused)
@@ -203,7 +213,7 @@ class TableStore:
         counts = []
         for i, p in enumerate(parts):
             going = self.spark.table(quote_table(p.table))
-            for condition in (*p.keep, goes):
+            for condition in (*p.conditions, goes):
                 going = going.filter(F.expr(condition))
             counts.append(going.agg(F.lit(i).alias("i"), F.count(F.lit(1)).alias("n")))
         gone = {row["i"]: row["n"] for row in reduce(DataFrame.union, counts).collect()}
@@ -216,11 +226,19 @@ class TableStore:
         return tuple(kept)
 
     def _tidy(self, full: str, state: State, scd2: bool) -> None:
-        """Rewrite parts that are mostly gone; fold the later parts when there are many."""
+        """Rewrite parts that are mostly gone; fold the smaller parts when there are many."""
         old = [p for p in state.parts if p.left * 2 < p.rows or len(p.keep) > self.max_masks]
-        if len(state.parts) - len(old) + bool(old) > self.max_parts:
-            largest = max(state.parts, key=lambda p: p.left)
-            old += [p for p in state.parts if p not in old and p is not largest]
+        count = len(state.parts) - len(old) + bool(old)
+        if count > self.max_parts:
+            # The smallest parts, and on while the next is no larger than those together: a row's
+            # part at least doubles with most folds it goes through, so it is seldom rewritten.
+            rest = sorted((p for p in state.parts if p not in old), key=lambda p: p.left)
+            enough, total = len(state.parts) - self.max_parts + 1, sum(p.left for p in old)
+            for part in rest:
+                if len(old) >= enough and part.left > total:
+                    break
+                old.append(part)
+                total += part.left
         if old:
             self._fold(full, old, scd2)
 
@@ -230,17 +248,17 @@ class TableStore:
         state = self.state(full)
         if state is None:
             raise PublishError(f"{full} was not published here")
-        self._fold(full, state.parts, scd2)
+        self._fold(full, state.parts, scd2, apart=False)
 
-    def _fold(self, full: str, old: Sequence[Part], scd2: bool) -> None:
-        """Put one new part in place of some."""
+    def _fold(self, full: str, old: Sequence[Part], scd2: bool, apart: bool = True) -> None:
+        """Put one new part in place of some; of versions, one for open and one for closed ones."""
         before = self.state(full)
         schema = self.read(full).schema
         rows = self.spark.sql(_select(schema.names, old))
         version = before.version + 1
-        part = self._write(full, version, rows, before.partition_by, before.cluster_by, scd2)
+        written = self._write(full, version, rows, before.partition_by, before.cluster_by, scd2, apart)
         kept = tuple(p for p in before.parts if p not in old)
-        state = replace(before, version=version, parts=(*kept, part))
+        state = replace(before, version=version, parts=(*kept, *written))
         self._publish(full, schema, before, state, same_rows=True)
 
     def create_view(self, name: str, query: str) -> None:
@@ -251,9 +269,19 @@ class TableStore:
         self.create_schema(name)
         full = self.full_name(name)
         before = self.state(full)
+        self.spark.sql(query).schema  # a query that cannot be analysed leaves everything as it is
+        aside = None
         if before is None and self.exists(full) and not self._is_view(full):
-            self.spark.sql(f"DROP TABLE {quote_table(full)}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {quote_table(full)} AS {query}")
+            aside = _part_name(full, 0)
+            self.spark.sql(f"ALTER TABLE {quote_table(full)} RENAME TO {quote_table(aside)}")
+        try:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {quote_table(full)} AS {query}")
+        except Exception:
+            if aside:
+                self.spark.sql(f"ALTER TABLE {quote_table(aside)} RENAME TO {quote_table(full)}")
+            raise
+        if aside:
+            self._drop([aside])
         if before is not None:
             self._drop([*(p.table for p in before.parts), *before.retired])
 
@@ -300,16 +328,22 @@ class TableStore:
         """Evaluate ``rows`` once and read them back from shared storage.
 
         For queries that a plan reads more than once: they may be costly, or
-        give other rows each time. Kept with the cluster's checkpoint files.
+        give other rows each time. ``unstage`` deletes the copy.
         """
-        folder = self.spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            folder = self.location or self.spark.conf.get("spark.sql.warehouse.dir")
-        path = f"{folder.rstrip('/')}/tablewright-stage/{uuid.uuid4().hex}"
+        path = f"{shared_folder(self.spark)}/tablewright-stage/{uuid.uuid4().hex}"
         plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
         plain.write.parquet(path)
         return self.spark.read.schema(plain.schema).parquet(path).toDF(*rows.columns)
 
+    def unstage(self, rows: DataFrame) -> None:
+        """Delete the copy that ``rows``, as ``stage`` returned it, are read from."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {file.rsplit("/", 1)[0] for file in rows.inputFiles()}:
+            if "/tablewright-stage/" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+
     # -- internals ---------------------------------------------------------
 
     def _is_view(self, full: str) -> bool:
@@ -323,7 +357,8 @@ class TableStore:
         partition_by: Sequence[str],
         cluster_by: Sequence[str],
         scd2: bool,
-    ) -> Part:
+        apart: bool = True,
+    ) -> tuple[Part, ...]:
         part = _part_name(full, version)
         if cluster_by:
             rows = _clustered(rows, cluster_by)
@@ -338,7 +373,18 @@ class TableStore:
         if layout:
             writer = writer.partitionBy(*layout)
         writer.saveAsTable(quote_table(part))
-        return self._part(part)
+        if apart and layout and layout[0] == IS_CURRENT:
+            return self._versions(part)
+        return (self._part(part),)
+
+    def _versions(self, table: str) -> tuple[Part, ...]:
+        """Closed versions and the others of a table as two parts, so that neither moves with the other."""
+        current = F.coalesce(F.col(quote(IS_CURRENT)), F.lit(True))
+        seen = self.spark.table(quote_table(table)).groupBy(current.alias("open")).count().collect()
+        counts = {row["open"]: row["count"] for row in seen}
+        only = {False: f"NOT coalesce({quote(IS_CURRENT)}, TRUE)", True: f"coalesce({quote(IS_CURRENT)}, TRUE)"}
+        found = tuple(Part(table, (), n, n, only[of]) for of, n in sorted(counts.items()))
+        return found or (Part(table, (), 0, 0, only[True]),)
 
     def _part(self, table: str) -> Part:
         # Answered from file footers.
@@ -361,14 +407,14 @@ class TableStore:
         kept = {p.table for p in state.parts}
         ended: tuple[str, ...] = ()
         if before is not None:
-            gone = tuple(p.table for p in before.parts if p.table not in kept)
+            gone = tuple(dict.fromkeys(p.table for p in before.parts if p.table not in kept))
             waiting = before.retired if same_rows else ()
             ended = () if same_rows else before.retired
             state = replace(state, retired=(*waiting, *gone))
         now = self.state(full)
         if (now.version if now else None) != (before.version if before else None):
             known = {p.table for p in before.parts} if before else set()
-            self._drop([p.table for p in state.parts if p.table not in known])
+            self._drop(sorted({p.table for p in state.parts} - known))
             raise PublishError(f"{full} was changed by another writer meanwhile")
         columns = ", ".join(
             quote(f.name)
@@ -387,6 +433,21 @@ class TableStore:
             self.spark.sql(f"DROP TABLE IF EXISTS {quote_table(table)}")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where the setting is missing, a local session gets a folder of its own; a
+    cluster session is refused, as its machines share no temporary folder.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise PublishError("spark.checkpoint.dir must name a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="checkpoints-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
 def _part_name(full: str, version: int) -> str:
     return f"{full}__p{version:06d}_{uuid.uuid4().hex[:8]}".lower()
 
@@ -395,7 +456,7 @@ def _select(names: Sequence[str], parts: Sequence[Part]) -> str:
     columns = ", ".join(quote(name) for name in names)
     selects = []
     for part in parts:
-        where = " AND ".join(f"({keep})" for keep in part.keep)
+        where = " AND ".join(f"({condition})" for condition in part.conditions)
         selects.append(
             f"SELECT {columns} FROM {quote_table(part.table)}" + (f" WHERE {where}" if where else "")
         )

@@ -152,3 +152,15 @@ def test_table_gates(spark, store):
             gate_table(spark, wrong)
     # A name is not a pattern.
     assert not gate_table(spark, f"{store.schema}.t*").first()["ready"]
+
+
+def test_custom_checks_are_exact(spark):
+    from tablewright.operators.checks import custom_check
+
+    df = spark.range(1)
+    half = custom_check(df, "half", "SELECT 0.5 AS n").first()
+    assert (half["bad_rows"], half["passed"]) == (1, False)
+    assert custom_check(df, "yes", "SELECT TRUE AS n", 1).first()["passed"]
+    assert not custom_check(df, "none", "SELECT 0 AS n WHERE FALSE").first()["passed"]
+    with pytest.raises(Exception, match="more than one row"):
+        custom_check(df, "two", "SELECT * FROM VALUES (0), (7)").collect()

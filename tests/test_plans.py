@@ -138,3 +138,37 @@ def test_rows_with_null_keys_are_spread(spark):
 def test_counts_combine_before_the_shuffle(spark):
     got = next_state(TableSpec("t", COUNT_COLUMNS), None, rows(spark, inputs.COUNTS_S))
     assert plan(got).count("partial_count(1)") == 1
+
+
+def test_values_that_do_not_fit_raise_whatever_the_session_says(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import types as T
+
+    from tablewright.plans.bind import bind
+
+    target = T.StructType([T.StructField("n", T.ByteType())])
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert [r.n for r in bind(spark.sql("SELECT * FROM VALUES (1), (NULL)"), target).collect()] == [1, None]
+        with pytest.raises(PySparkException, match="does not fit"):
+            bind(spark.sql("SELECT 300"), target).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_anti_join_prunes_its_target(spark, tmp_path):
+    from tablewright import ColumnSpec, TableSpec
+    from tablewright.operators.strategies import plan_change
+
+    path = str(tmp_path / "t")
+    days = "SELECT date_add(DATE'2024-01-01', CAST(id % 30 AS INT)) AS d, id AS k FROM range(300)"
+    spark.sql(days).write.partitionBy("d").parquet(path)
+    target = spark.read.parquet(path).select("d", "k")
+    source = spark.sql("SELECT DATE'2024-01-15' AS d, id AS k FROM range(500)")
+    columns = (ColumnSpec("d", "date", primary_key=True), ColumnSpec("k", "bigint", primary_key=True))
+    for strategy in ("anti_join", "merge"):
+        spec = TableSpec("t", columns, strategy=strategy, partition_by="d")
+        new = plan_change(spec, target, source).rows
+        text = new._jdf.queryExecution().executedPlan().toString()
+        assert "2024-01-15" in text[text.index("PartitionFilters") :].split("]")[0]
+        assert new.count() == 490

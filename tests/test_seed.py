@@ -147,3 +147,40 @@ def test_many_rows(spark, tmp_path):
     path = write(tmp_path, "value\n" + "".join(f"{i}\n" for i in range(501)))
     got = read_seed(spark, path, TableSpec("t", (ColumnSpec("value", "int"),)))
     assert got.selectExpr("count(*)", "sum(value)").first()[:] == (501, 501 * 250)
+
+
+@pytest.mark.parametrize("split", [None, 64, 1000])
+def test_a_bare_quote_is_refused_however_the_file_is_split(spark, tmp_path, split):
+    lines = [f"{i},plain" for i in range(60)]
+    for bad in ('7,5" pipe', '7,"a"b', '7,a"', '7,"a" '):
+        path = write(tmp_path, "a,b\n" + "\n".join([*lines[:20], bad, *lines[20:], bad]) + "\n", f"{split}{hash(bad)}.csv")
+        if split:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            with pytest.raises(SeedError, match="not doubled"):
+                read_seed(spark, path, TableSpec("t"))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    for tail in ("", '3,"x\ny"\n'):
+        one = write(tmp_path, "id,t\n1,2\n" + tail, "one.csv")
+        same = write(tmp_path, "id, t\n8,9\n", "same.csv")
+        assert read_seed(spark, [one, same], TableSpec("t")).count() == 2 + bool(tail)
+        for header in ("t,id", "id", "id,t,u"):
+            other = write(tmp_path, f"{header}\n8,9\n", "other.csv")
+            with pytest.raises(SeedError, match="different headers"):
+                read_seed(spark, [one, other], TableSpec("t"))
+
+
+def test_bad_cells_raise_whatever_the_session_says(spark, tmp_path):
+    path = write(tmp_path, "code,population\nNL,many\n")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException, match="does not fit"):
+            read_seed(spark, path, TableSpec("t", COUNTRIES)).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

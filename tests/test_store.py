@@ -431,3 +431,76 @@ def test_declared_lengths_are_enforced(spark, store):
     with pytest.raises(Exception, match="longer than"):
         run_query(store, append, "SELECT 'NL', 'abcde'")
     assert store.read(name).count() == 2
+
+
+def test_scattered_keys_write_their_own_rows_only(spark, store):
+    name = f"{store.schema}.wide"
+    columns = (ColumnSpec("id", "bigint", primary_key=True), ColumnSpec("v", "bigint", update_on_merge=True))
+    spec = TableSpec(name, columns, strategy="merge")
+    run_query(store, spec, "SELECT id, id AS v FROM range(100000)", full_refresh=True)
+    run_query(store, spec, "SELECT * FROM VALUES (0L, -1L), (50000L, -1L), (99999L, -1L) AS t(id, v)")
+    assert [(p.rows, p.left) for p in parts(store, name)] == [(100000, 99997), (3, 3)]
+    assert store.read(name).filter("v = -1").count() == 3 and store.read(name).count() == 100000
+
+
+def test_scd2_writes_only_what_changed(spark, store):
+    name = f"{store.schema}.dims"
+    columns = (ColumnSpec("id", "bigint", primary_key=True), ColumnSpec("seg", "string"))
+    spec = TableSpec(name, columns, strategy="scd2_by_column")
+    seg = "SELECT id, IF(id % 100 < {}, 'new{}', 'old') AS seg FROM range(1000)"
+    run_query(store, spec, seg.format(0, 0), full_refresh=True, now=NOW)
+    seen = {}
+    for month in range(7, 11):
+        run_query(store, spec, seg.format(1, month), now=datetime(2024, month, 1))
+        for p in parts(store, name):
+            if p.only.startswith("NOT"):
+                assert p.left == p.rows and not p.keep
+                seen.setdefault(p.table, p.rows)
+    # ten keys change each time: ten closed versions a run, each stored once
+    assert sorted(seen.values()) == [10] * 4
+    assert store.read(name).count() == 1040
+    assert sum(p.rows for p in parts(store, name)) <= 1000 + 4 * 20
+
+
+def test_appends_are_rewritten_seldom(spark, store, monkeypatch):
+    store.max_parts = 4
+    written = []
+    real = type(store)._write
+
+    def counted(self, *args):
+        found = real(self, *args)
+        written.extend(p.rows for p in found)
+        return found
+
+    monkeypatch.setattr(type(store), "_write", counted)
+    name = f"{store.schema}.log"
+    materialize(store, TableSpec(name), rows(spark, 0, 40))
+    for n in range(40, 72):
+        materialize(store, TableSpec(name, strategy="append"), rows(spark, n, n + 1))
+    assert collected(store.read(name)) == collected(rows(spark, 0, 72))
+    assert sum(written) < 40 + 32 * 6
+
+
+def test_a_view_that_cannot_be_made_leaves_the_table(spark, store):
+    name = f"{store.schema}.plain"
+    store.create_schema(name)
+    spark.range(3).write.saveAsTable(name)
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        run_query(store, TableSpec(name, kind="view"), "SELECT * FROM nowhere_at_all")
+    assert spark.table(name).count() == 3
+    with pytest.raises(SpecError):
+        run_query(store, TableSpec(name, kind="view"), "SELECT 1 AS x", args={"a": 1})
+    run_query(store, TableSpec(name, kind="view"), "SELECT 1 AS x")
+    assert spark.table(name).columns == ["x"]
+    assert [t.name for t in spark.catalog.listTables(store.schema)] == ["plain"]
+
+
+def test_staged_copies_go_after_the_commit(spark, store):
+    import glob
+
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(glob.glob(f"{folder}/tablewright-stage/*"))
+    name = f"{store.schema}.t"
+    materialize(store, TableSpec(name), rows(spark, 0, 10))
+    materialize(store, TableSpec(name, strategy="delete+insert", incremental_key="id"), rows(spark, 3, 8))
+    assert set(glob.glob(f"{folder}/tablewright-stage/*")) == before
