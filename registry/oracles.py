@@ -224,6 +224,10 @@ def all_oracles() -> dict[str, str]:
         "delete_insert_orders_shuffled": delete_orders,
         "delete_insert_few_keys": delete_status,
         "delete_insert_few_keys_published": delete_status,
+        "append_orders_published": _append(),
+        "truncate_insert_orders_published": rebuilt,
+        "delete_insert_orders_published": delete_orders,
+        "merge_orders_published": _merge_orders(),
         "merge_orders": _merge_orders(),
         "merge_orders_shuffled": _merge_orders(),
         "merge_hot_key": _merge_hot(),
@@ -292,6 +296,11 @@ def all_oracles() -> dict[str, str]:
         "check_suite": _check_suite(),
         "seed_customer": "SELECT * FROM customer",
         "seed_documents": "SELECT * FROM documents",
+        "seed_documents_split": "SELECT * FROM documents",
+        "seed_ragged_orders": (
+            "SELECT o_orderkey AS key, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus END AS status, "
+            "CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority ELSE '' END AS priority FROM orders"
+        ),
         "gate_query": (
             "SELECT COUNT(*) > 0 AS ready FROM events "
             "WHERE event_type = 'purchase' AND ts >= DATE '2024-01-10'"

@@ -266,7 +266,7 @@ def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seeded(
-    spark: SparkSession, sf_dir: str, table: str, columns: tuple[ColumnSpec, ...]
+    spark: SparkSession, sf_dir: str, table: str, columns: tuple[ColumnSpec, ...], name: str = ""
 ) -> DataFrame:
     """Write a whole table as CSV files, then load them as a seed."""
     store = new_store(spark)
@@ -279,7 +279,7 @@ def _seeded(
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(path)
-    return run_seed(store, TableSpec(fresh(store, f"seeded_{table}"), columns), path)
+    return run_seed(store, TableSpec(fresh(store, name or f"seeded_{table}"), columns), path)
 
 
 def seed_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +303,40 @@ def seed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def seed_documents_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with files of many splits; the table is written before the setting goes back."""
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(64 << 10))
+    try:
+        return _seeded(
+            spark, sf_dir, "documents", (column("doc_id", "bigint"), column("n_chars", "bigint")), "split_documents"
+        )
+    finally:
+        spark.conf.set(setting, before)
+
+
+def seed_ragged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as lines with too few cells, or one too many, in eight files."""
+    store = new_store(spark)
+    path = f"{store.location}/ragged-{uuid.uuid4().hex}"
+    lines = rows(
+        spark,
+        sf_dir,
+        """
+        SELECT o_orderkey % 8 AS file, o_orderkey AS at, CASE o_orderkey % 3
+            WHEN 0 THEN CAST(o_orderkey AS STRING)
+            WHEN 1 THEN concat_ws(',', o_orderkey, o_orderstatus)
+            ELSE concat_ws(',', o_orderkey, o_orderstatus, o_orderpriority, 'surplus') END AS value
+        FROM {orders}
+        UNION ALL SELECT id, -1, 'key,status,priority' FROM range(8)""",
+    )
+    sorted_lines = lines.repartition("file").sortWithinPartitions("file", "at")
+    sorted_lines.select("file", "value").write.partitionBy("file").text(path)
+    spec = TableSpec(fresh(store, "ragged_orders"), (column("key", "bigint"),))
+    return run_seed(store, spec, [f"{path}/file={i}" for i in range(8)])
+
+
 def gate_query_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "SELECT COUNT(*) > 0 FROM {events} WHERE event_type = :kind AND ts >= :start_date"
     args = {"kind": "purchase", **MID_JANUARY.params()}
@@ -379,6 +413,21 @@ def all_queries() -> dict[str, Query]:
             inputs.ORDERS_STATUS_T,
             inputs.ORDERS_STATUS_S,
         ),
+        "append_orders_published": published(
+            lambda name: orders_spec("append", name), "appended_orders", inputs.ORDERS_T, inputs.ORDERS_S
+        ),
+        "truncate_insert_orders_published": published(
+            lambda name: orders_spec("truncate+insert", name), "reloaded_orders", inputs.ORDERS_T, inputs.ORDERS_S
+        ),
+        "delete_insert_orders_published": published(
+            lambda name: orders_spec("delete+insert", name, **by_date),
+            "corrected_orders",
+            inputs.ORDERS_T,
+            inputs.ORDERS_LATER,
+        ),
+        "merge_orders_published": published(
+            lambda name: orders_spec("merge", name), "merged_orders", inputs.ORDERS_T, inputs.ORDERS_S
+        ),
         "merge_orders": pair(merge, inputs.ORDERS_T, inputs.ORDERS_S),
         "merge_orders_shuffled": pair(merge, inputs.ORDERS_T, inputs.ORDERS_S, limits=LARGE),
         "merge_hot_key": pair(hot, inputs.EVENTS_HOT_T, inputs.EVENTS_HOT_S),
@@ -472,6 +521,8 @@ def all_queries() -> dict[str, Query]:
         "check_suite": check_suite,
         "seed_customer": seed_customer,
         "seed_documents": seed_documents,
+        "seed_documents_split": seed_documents_split,
+        "seed_ragged_orders": seed_ragged_orders,
         "gate_query": gate_query_events,
         "gate_table": gate_table_events,
         "python_enrich_events": python_enrich_events,
