@@ -28,6 +28,8 @@ from .sizing import Limits, Size, hot_hashes, key_hash, measure
 from ..functions.types import quote
 
 _SPREAD = 1024
+# Parts of the target rows of a frequent key whose source row is too wide to broadcast.
+_SALTS = 32
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -114,7 +116,7 @@ def match_rows(
     t_hot = key_hash(sides.t_keys).isin(hot) & ~any_null(sides.t_keys)
     s_hot = key_hash(sides.s_keys).isin(hot) & ~any_null(sides.s_keys)
     cold = _shuffled(sides, ~t_hot, ~s_hot)
-    return cold.unionByName(_few_keys(sides, t_hot, s_hot))
+    return cold.unionByName(_few_keys(sides, t_hot, s_hot, limits))
 
 
 def _small_source(sides: _Sides) -> DataFrame:
@@ -167,8 +169,12 @@ def _null_spread(keys: Sequence[str], cols: Sequence[str]) -> Column:
     return F.when(any_null(keys), spread + 1).otherwise(F.lit(0).cast("long"))
 
 
-def _few_keys(sides: _Sides, t_hot: Column, s_hot: Column) -> DataFrame:
-    """Join for a bounded set of frequent keys: each side is folded to one row per key."""
+def _few_keys(sides: _Sides, t_hot: Column, s_hot: Column, limits: Limits) -> DataFrame:
+    """Join for a bounded set of frequent keys: each side is folded to one row per key.
+
+    The folded source rows are broadcast if their bytes were counted to fit.
+    Else the target's rows of a key are spread, and the key's one row repeated.
+    """
     target = sides.target.filter(t_hot)
     source = sides.source.filter(s_hot)
     others = [c for c in sides.s_cols if c not in sides.s_keys]
@@ -177,9 +183,19 @@ def _few_keys(sides: _Sides, t_hot: Column, s_hot: Column) -> DataFrame:
         F.first(F.struct(F.lit(True).alias("in_source"), *others)).alias("rest"),
     )
     folded = folded.select(*sides.s_keys, "copies", "rest.*")
-    updated = target.withColumn("in_target", F.lit(True)).join(
-        F.broadcast(folded), sides.on_keys(sides.t_keys, sides.s_keys), "left_outer"
-    )
+    marked = target.withColumn("in_target", F.lit(True))
+    if measure(folded).bytes <= limits.broadcast_bytes:
+        updated = marked.join(
+            F.broadcast(folded), sides.on_keys(sides.t_keys, sides.s_keys), "left_outer"
+        )
+    else:
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))
+        marked = marked.withColumn(
+            "t_spread", F.pmod(F.xxhash64(*[F.col(c) for c in sides.t_cols]), F.lit(_SALTS)).cast("long")
+        )
+        repeated = folded.withColumn("s_spread", F.explode(salts))
+        on = sides.on_keys([*sides.t_keys, "t_spread"], [*sides.s_keys, "s_spread"])
+        updated = marked.join(repeated, on, "left_outer")
     known = sides.key_frame(target, sides.t_keys).distinct()
     added = source.withColumn("in_source", F.lit(True)).join(
         F.broadcast(known), sides.on_keys(sides.s_keys, sides.k_cols), "left_anti"

@@ -172,3 +172,14 @@ def test_anti_join_prunes_its_target(spark, tmp_path):
         text = new._jdf.queryExecution().executedPlan().toString()
         assert "2024-01-15" in text[text.index("PartitionFilters") :].split("]")[0]
         assert new.count() == 490
+
+
+def test_wide_rows_of_frequent_keys_are_not_broadcast_unmeasured(spark):
+    target = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id AS v")
+    source = spark.range(500).selectExpr("IF(id = 0, 7, id + 2900) AS k", "repeat('x', 5000) AS wide")
+    got = {}
+    for most in (64 << 20, 1):
+        matched = match_rows(target, source, ["k"], Limits(broadcast_rows=0, hot_share=0.1, broadcast_bytes=most))
+        names = [c for c in matched.columns]
+        got[most] = sorted(map(str, matched.select(*names).collect()))
+    assert got[1] == got[64 << 20] and len(got[1]) > 3000
