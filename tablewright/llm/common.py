@@ -118,10 +118,11 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn) -> DataFrame
     """``(doc_id, text, label)`` of the rows that may be learnt from; null labels are none.
 
     Of several labels of one document the larger counts. Both sides are filtered
-    before they meet.
+    before they meet; texts are not sorted, and labels are hashed by partition at
+    every size.
     """
     known = labels.where(learn & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    return docs.select("doc_id", "text").where(learn).join(known, "doc_id")
+    return docs.select("doc_id", "text").where(learn).join(known.hint("shuffle_hash"), "doc_id")
 
 
 def bounded_sample(rows: DataFrame, most: int, count: int) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.llm.common import bounded_sample, logistic, stage
+from tablewright.llm.common import bounded_sample, logistic, stage, unstage
 
 TOKEN = re.compile(r"[^\W_]+")
 #: A word is offending if this share of its documents is toxic, if so many of 64 context bits are set, and
@@ -349,6 +349,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE, curve: int = CURVE) -> Field:
     chosen = [bounded_sample(rows.where(F.col("label") == label), sample, sizes.get(label, 0)) for label in (0, 1)]
     field = train(windows(chosen[0].unionByName(chosen[1]), offending_words(rows, sizes[1] / sum(sizes.values()))))
     seen = tagged(bounded_sample(rows, curve, sum(sizes.values())), field).select("evidence", "label").toPandas()
+    unstage(rows)
     if seen["label"].nunique() < 2:
         field.slope, field.offset = 3.0, -6.0
         return field
