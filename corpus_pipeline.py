@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import bpe, crf, mixing, nbsvm, simhash
-from tablewright.llm.common import held_out, labelled, stage, table
+from tablewright.llm.common import held_out, labelled, stage, table, unstage
 from tablewright.llm.queries import THRESHOLD
 
 
@@ -77,7 +77,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    source = docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        done = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        if docs is not source:
+            unstage(docs)
+        docs = done
     return docs
