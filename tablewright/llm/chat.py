@@ -127,8 +127,8 @@ def format_events(events: DataFrame) -> DataFrame:
 def turns_as_events(turns: DataFrame) -> DataFrame:
     """The event log of a table ``(conv_id, turn, role, text)``: each turn opened, then streamed to its end.
 
-    Repeated rows are messages of their own; turns of one number stand in the order
-    of role and text.
+    Repeated rows are messages of their own, as is a text said again at another turn;
+    turns of one number stand in the order of role and text.
     """
     text = F.coalesce("text", F.lit(""))
     once = turns.groupBy("conv_id", "turn", "role", text.alias("text")).agg(F.count("*").alias("n"))
@@ -138,7 +138,7 @@ def turns_as_events(turns: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("part"), F.lit("message").alias("kind"), F.substring("text", F.lit(1), half).alias("text")),
         F.struct(F.lit(1).alias("part"), F.lit("delta").alias("kind"), F.substring("text", half + 1, F.length("text")).alias("text")),
     )
-    name = F.struct(F.col("role"), F.hash("text").alias("text_hash"), F.xxhash64("text").alias("text_key"), F.col("copy"))
+    name = F.struct(F.col("turn"), F.col("role"), F.hash("text").alias("text_hash"), F.xxhash64("text").alias("text_key"), F.col("copy"))
     return numbered.select("conv_id", F.col("turn").alias("seq"), F.to_json(name).alias("message_id"), "role", F.explode(parts).alias("p")).select(
         "conv_id", "seq", "message_id", "p.part", "p.kind", "role", "p.text"
     )

@@ -52,5 +52,23 @@ def test_turns_come_back(spark):
         assert (r.n_turns, r.loss_chars, r.loss_sha256) == (len(mine), len(loss), hashlib.sha256(loss.encode()).hexdigest())
 
 
+def test_a_text_said_again_is_a_turn_of_its_own(spark):
+    said = {
+        1: [(0, "user", "ok"), (1, "assistant", "Sure."), (2, "user", "ok"), (3, "assistant", "Sure.")],
+        2: [(None, "user", "ok"), (0, "user", "ok"), (1, "assistant", None), (2, "user", "ok"), (3, "assistant", ""), (4, None, None), (5, None, "")],
+        3: [(0, "assistant", "Sure."), (0, "assistant", "Sure."), (1, "assistant", "Sure.")],
+    }
+    rows = [(conv, *turn, "k", "s") for conv, turns in said.items() for turn in turns]
+    events = chat.format_events(chat.turns_as_events(spark.createDataFrame(rows, TURN).repartition(5)))
+    got = {r.conv_id: r for r in events.join(chat.digests(events).drop("formatted"), "conv_id").collect()}
+    for conv, turns in said.items():
+        r, mine = got[conv], [(role or "", text or "") for _, role, text in turns]
+        assert chat.parse(r.formatted) == mine
+        loss = "".join(text for role, text in mine if role == "assistant")
+        assert (r.n_turns, r.loss_chars, r.loss_sha256) == (len(mine), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in mine).encode()).hexdigest()
+        assert r.formatted_chars == len(r.formatted)
+
+
 def test_empty_table(spark):
     assert chat.digests(chat.format_events(chat.turns_as_events(empty(spark, TURN)))).count() == 0
