@@ -5,14 +5,17 @@ dealt to cluster shards by their likeness to pivots; a node within ``MARGIN`` of
 its best pivot belongs to the other shard, too, so shards overlap. Shards are cut
 in chunks of bounded size. For each chunk a flat graph is built: of a node's
 nearest candidates those are kept that no nearer kept one leads to (robust
-pruning), links run both ways, and parts that nothing reaches are tied to the
-medoid. A node's adjacency lists of all its shards are united.
-
-Every node is also a query in its shards: a greedy search starts from the chunk's
-medoids, and once it stands within the wanted range, it expands every node in
-range until no new one turns up. Cosines are computed in double precision, for
-visited nodes only, and a hit counts in the node's own shard only, so it counts
-once. Of the links a group of hits sends a count per query and a spanning forest,
+pruning), links run both ways, and parts that nothing reaches are tied to the first
+entry. Entries cover the chunk: each node is linked with one that is so near that no
+query finds the node without having the entry within ``SLACK`` of its range. A node's
+adjacency lists of all its shards are united.
+
+Every node is also a query in its shards: it meets all entries of a chunk and
+expands those about its range and what turns up about its range from there, until
+nothing new does. So within a chunk no link is lost, however many groups of near
+copies it has; where nodes are far from each other, most are entries. Cosines are
+computed in double precision, and a hit counts in the node's own shard only, so it
+counts once. Of the links a group of hits sends a count per query and a spanning forest,
 never the pairs. Recall is audited against brute force over all nodes on a bounded
 sample of queries; if it is too low, the search is repeated with a wider overlap.
 
@@ -38,8 +41,8 @@ SHARD, BLOCK = 1024, 2048
 PIVOTS, MARGIN = 128, 0.12
 #: Candidates of a node, links it keeps, slack of the pruning.
 POOL, DEGREE, ALPHA = 40, 20, 1.2
-#: Medoids of a chunk, nodes that the greedy search expands, how far below the range it still expands.
-MEDOIDS, STEPS, SLACK = 16, 12, 0.1
+#: How far below its range, in cosine, a search still expands.
+SLACK = 0.1
 #: Queries whose recall is audited, and the recall wanted.
 AUDITED, RECALL = 256, 0.95
 PAIRS_AT_ONCE = 1 << 18
@@ -103,23 +106,30 @@ def _prune(vecs: np.ndarray) -> np.ndarray:
     return kept
 
 
-def _medoids(vecs: np.ndarray) -> np.ndarray:
-    seeds = np.unique(np.linspace(0, len(vecs) - 1, MEDOIDS).astype(int))
-    mine = (vecs @ vecs[seeds].T).argmax(axis=1)
-    found = [np.argmax(vecs @ vecs.mean(axis=0))]
-    for k in range(len(seeds)):
-        group = np.flatnonzero(mine == k)
-        if len(group):
-            found.append(group[np.argmax(vecs[group] @ vecs[group].mean(axis=0))])
-    return np.unique(found)
+def _cover(vecs: np.ndarray, least: float) -> np.ndarray:
+    """The entry of each node: angles from a query to a hit and on to its entry add up to ``SLACK`` below ``least`` at most."""
+    wide = np.arccos(np.clip([least, least - SLACK], -1, 1))
+    nearest = np.cos(max(0.0, wide[1] - wide[0] - 1e-6))
+    entry = np.full(len(vecs), -1)
+    for start in range(0, len(vecs), 256):
+        rows = start + np.flatnonzero(entry[start : start + 256] < 0)
+        near = vecs[rows] @ vecs.T >= nearest
+        for k, row in enumerate(rows):
+            if entry[row] < 0:
+                entry[near[k] & (entry < 0)] = row
+                entry[row] = row
+    return entry
 
 
-def build(vecs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(from, to, medoids) of the flat graph of a chunk; links run both ways."""
+def build(vecs: np.ndarray, least: float = 0.98) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(from, to, entries) of the flat graph of a chunk; links run both ways."""
     kept = _prune(vecs)
     source, slot = np.nonzero(kept >= 0)
     target = kept[source, slot]
-    entries = _medoids(vecs)
+    entry = _cover(vecs, least)
+    covered = np.flatnonzero(entry != np.arange(len(vecs)))
+    source, target = np.append(source, entry[covered]), np.append(target, covered)
+    entries = np.unique(entry)
     root = np.arange(len(vecs))
     while True:  # least node of each part, by halving
         low = root.copy()
@@ -139,7 +149,7 @@ def build(vecs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def search(queries: np.ndarray, vecs: np.ndarray, starts: np.ndarray, links: np.ndarray, entries: np.ndarray, least: float) -> np.ndarray:
-    """``hits[query, node]``: nodes with a cosine of at least ``least`` that the search visits.
+    """``hits[query, node]``: nodes with a cosine of at least ``least``.
 
     ``links[starts[v] : starts[v + 1]]`` are those of node v.
     """
@@ -169,14 +179,9 @@ def search(queries: np.ndarray, vecs: np.ndarray, starts: np.ndarray, links: np.
             pair = np.unique(q[new] * n + w[new])
             visit(pair // n, pair % n)
 
-    every = np.arange(m)
-    visit(np.repeat(every, len(entries)), np.tile(entries, m))
-    for _ in range(STEPS):
-        best = waiting.argmax(axis=1)
-        live = waiting[every, best] > -3
-        if not live.any():
-            break
-        expand(every[live], best[live])
+    for k in range(0, m, 256):
+        q, e = np.nonzero(queries[k : k + 256] @ vecs[entries].T >= least - SLACK)
+        visit(q + k, entries[e])
     while True:
         q, v = np.nonzero(waiting >= least - SLACK)
         if not len(q):
@@ -227,14 +232,14 @@ def members(nodes: DataFrame, margin: float) -> DataFrame:
     return dealt.join(blocks, _GROUP).withColumn("block", part).withColumn("blocks", F.col("blocks").cast("int"))
 
 
-def index(dealt: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """United adjacency lists ``(node, near)``, and the medoids ``(label, dim, shard, block, node)``."""
+def index(dealt: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """United adjacency lists ``(node, near)``, and the entries ``(label, dim, shard, block, node)``."""
     label = dealt.schema["label"].dataType.simpleString()
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node")
         nodes = frame["node"].to_numpy()
-        source, target, entries = build(np.stack([np.frombuffer(v, "<f8") for v in frame["vec"]]))
+        source, target, entries = build(np.stack([np.frombuffer(v, "<f8") for v in frame["vec"]]), least)
         order = np.lexsort((target, source))
         ends = np.searchsorted(source[order], np.arange(len(nodes) + 1))
         near = [np.unique(nodes[target[order[a:b]]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -253,7 +258,7 @@ def index(dealt: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def found(dealt: DataFrame, least: float) -> DataFrame:
     """``(a, b, links)``: with b null the number of links of node a in a chunk, else a link of a forest."""
-    united, entries = index(dealt)
+    united, entries = index(dealt, least)
     label = dealt.schema["label"].dataType.simpleString()
     both = dealt.join(united, "node").join(entries, [*_GROUP, "block", "node"], "left")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

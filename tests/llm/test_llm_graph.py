@@ -99,6 +99,36 @@ def test_graph_of_a_chunk_is_connected():
     assert len(reached) == len(vecs)
 
 
+def near_copies(groups, size, dim=64, seed=5):
+    """Groups whose members have cosines above 0.98 with each other."""
+    rng = np.random.default_rng(seed)
+    vecs = np.repeat(rng.normal(size=(groups, dim)), size, axis=0) + rng.normal(size=(groups * size, dim)) * 0.05
+    return (vecs / np.linalg.norm(vecs, axis=1, keepdims=True))[rng.permutation(groups * size)]
+
+
+@pytest.mark.parametrize("groups, size", [(80, 25), (20, 50), (40, 50), (20, 100)])
+def test_every_group_of_a_chunk_is_found(groups, size):
+    vecs = near_copies(groups, size)
+    asked = vecs + np.random.default_rng(6).normal(size=vecs.shape) * 0.005  # queries of another block
+    asked /= np.linalg.norm(asked, axis=1, keepdims=True)
+    source, target, entries = graph.build(vecs)
+    order = np.lexsort((target, source))
+    starts = np.searchsorted(source[order], np.arange(len(vecs) + 1))
+    for queries in (vecs, asked):
+        hits = graph.search(queries, vecs, starts, target[order], entries, 0.98)
+        assert hits.sum() >= len(vecs) * (size - 1)
+        assert (hits == (queries @ vecs.T >= 0.98)).all()
+
+
+def test_many_groups_of_near_copies(spark):
+    vecs = near_copies(40, 25)
+    group = (vecs @ vecs.T > 0.9).argmax(axis=1)  # the least member
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(vecs)]
+    assert got(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")) == sorted(
+        ((k, 24, int(low), bool(k == low)) for k, low in enumerate(group)), key=str
+    )
+
+
 def test_single_node_and_empty_table(spark):
     assert got(spark.createDataFrame([(1, [1.0, 0.0], 1)], SCHEMA)) == [(1, 0, 1, True)]
     assert got(empty(spark, SCHEMA)) == []
