@@ -16,8 +16,10 @@ nothing new does. So within a chunk no link is lost, however many groups of near
 copies it has; where nodes are far from each other, most are entries. Cosines are
 computed in double precision, and a hit counts in the node's own shard only, so it
 counts once. Of the links a group of hits sends a count per query and a spanning forest,
-never the pairs. Recall is audited against brute force over all nodes on a bounded
-sample of queries; if it is too low, the search is repeated with a wider overlap.
+never the pairs. Recall is audited against brute force over all nodes: the mean over
+sampled nodes that have a partner, whatever the size of their groups; nodes are drawn
+until ``AUDITED`` of these are found, ``DRAWN`` were looked at or none is left. If it is
+too low, the search is repeated with a wider overlap.
 
 Blocks of queries meet chunks of a shard, so a hot shard is many tasks of bounded
 memory; their number grows with the square of its blocks.
@@ -43,8 +45,8 @@ PIVOTS, MARGIN = 128, 0.12
 POOL, DEGREE, ALPHA = 40, 20, 1.2
 #: How far below its range, in cosine, a search still expands.
 SLACK = 0.1
-#: Queries whose recall is audited, and the recall wanted.
-AUDITED, RECALL = 256, 0.95
+#: Nodes with a partner whose recall is audited, nodes drawn for them at most (about), and the recall wanted.
+AUDITED, DRAWN, RECALL = 256, 4096, 0.95
 PAIRS_AT_ONCE = 1 << 18
 
 
@@ -314,31 +316,50 @@ def _forest(hits: np.ndarray, asked: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.array(kept, np.int64).reshape(-1, 2)
 
 
-def audit(nodes: DataFrame, totals: DataFrame, least: float, asked: int = AUDITED) -> float:
-    """Share of the links of a bounded sample of queries, counted over all nodes, that were found."""
-    sample = nodes.orderBy(F.xxhash64(F.lit("audit"), "node")).limit(asked).select("node", "label", "dim", "vec")
-    rows = [(r["node"], r["label"], r["dim"], np.frombuffer(r["vec"], "<f8")) for r in sample.collect()]
-    shared = nodes.sparkSession.sparkContext.broadcast(rows)
+def partnered(nodes: DataFrame, least: float) -> list[tuple[int, int]]:
+    """(node, links to others) of sampled nodes that brute force over all nodes shows to have a partner."""
+    count, known, drawn, many = nodes.count(), [], 0.0, AUDITED
+    while count and drawn < 1 and len(known) < AUDITED and many <= DRAWN:
+        upto = min(1.0, many / count)
+        part = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(1 << 40))
+        known += _brute(nodes, nodes.where((part >= int(drawn * (1 << 40))) & (part < int(upto * (1 << 40)))), least)
+        drawn, many = upto, many * 4
+    return known
+
+
+def _brute(nodes: DataFrame, sample: DataFrame, least: float) -> list[tuple[int, int]]:
+    by: dict = {}
+    for r in sample.select("node", "label", "dim", "vec").collect():
+        of = by.setdefault((r["label"], r["dim"]), ([], []))
+        of[0].append(r["node"])
+        of[1].append(r["vec"])
+    shared = nodes.sparkSession.sparkContext.broadcast(by)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        by: dict = {}
-        for node, label, dim, vec in shared.value:
-            by.setdefault((label, dim), ([], []))[0].append(node)
-            by[label, dim][1].append(vec)
+        asked = {of: (np.array(ids), np.stack([np.frombuffer(v, "<f8") for v in vecs])) for of, (ids, vecs) in shared.value.items()}
+        real = {of: np.zeros(len(ids), np.int64) for of, (ids, _) in asked.items()}
         for frame in frames:
             for of, group in frame.groupby(["label", "dim"]):
-                if of not in by:
+                if of not in asked:
                     continue
-                ids, vecs = np.array(by[of][0]), np.stack(by[of][1])
-                for start in range(0, len(group), 4096):
-                    part = group.iloc[start : start + 4096]
+                ids, vecs = asked[of]
+                for start in range(0, len(group), 1024):
+                    part = group.iloc[start : start + 1024]
                     near = np.stack([np.frombuffer(v, "<f8") for v in part["vec"]]) @ vecs.T >= least
                     near &= part["node"].to_numpy()[:, None] != ids[None, :]
-                    yield pd.DataFrame({"node": ids, "real": part["n"].to_numpy() @ near})
+                    real[of] += part["n"].to_numpy() @ near
+        for of, found_ in real.items():
+            some = found_ > 0
+            yield pd.DataFrame({"node": asked[of][0][some], "real": found_[some]})
+
+    real = nodes.select("label", "dim", "node", "vec", "n").mapInPandas(run, "node long, real long")
+    return [tuple(r) for r in real.groupBy("node").agg(F.sum("real")).collect()]
+
 
-    real = nodes.select("label", "dim", "node", "vec", "n").mapInPandas(run, "node long, real long").groupBy("node").agg(F.sum("real").alias("real"))
-    row = real.join(totals, "node", "left").agg(F.sum("real"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not row[0] else float(row[1] or 0) / float(row[0])
+def audit(asked: DataFrame, totals: DataFrame, many: int) -> float | None:
+    """Mean share of the links found of the ``many`` nodes of ``asked (node, real)``; none where there are none."""
+    share = F.least(F.lit(1.0), F.coalesce("links", F.lit(0)) / F.col("real"))
+    return asked.join(totals, "node", "left").agg(F.sum(share) / many).first()[0] if many else None
 
 
 def near_duplicates(
@@ -351,6 +372,8 @@ def near_duplicates(
     components link with nothing, nor do vectors of different lengths. Repeated rows
     link with each other and keep their number. A row with a null key gets the least
     key of the others it reaches, else null, and is kept only in the latter case.
+    Each row has the ``audited_recall`` of the run and the number of nodes it is the
+    mean of, ``audited_nodes``; it is null where no node drawn has a partner.
     """
     rows = stage(directions(vectors, key, vector, label), "graph-rows")
     nodes = stage(
@@ -360,18 +383,20 @@ def near_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "graph-nodes",
     )
+    sampled = partnered(nodes, least)
+    asked = vectors.sparkSession.createDataFrame(sampled, "node long, real long")
     margin = MARGIN
     while True:
         dealt = stage(members(nodes, margin), "graph-members")
         hits = stage(found(dealt, least), "graph-hits")
         totals = hits.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-        reached = audit(nodes, totals, least)
-        if reached >= recall or margin >= 0.4:
+        reached = audit(asked, totals, len(sampled))
+        if reached is None or reached >= recall or margin >= 0.4:
             break
         unstage(dealt)
         margin *= 2
-    if reached < min(recall, 0.9):
-        raise RuntimeError(f"the search found only {reached:.3f} of the audited links")
+    if reached is not None and reached < min(recall, 0.9):
+        raise RuntimeError(f"the search found only {reached:.3f} of the links of a node, over {len(sampled)} audited")
     groups = components(hits.where("b IS NOT NULL").select("a", "b"))
     rooted = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("component", "node"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -380,5 +405,6 @@ def near_duplicates(
     linked = rows.where("vec IS NOT NULL").join(per_node, ["label", "dim", "vec"]).select("key", "n_links", "component_id")
     alone = rows.where("vec IS NULL").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
     return linked.unionByName(alone).select(
-        F.col("key").alias(key), "n_links", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"), F.lit(reached).alias("audited_recall")
+        F.col("key").alias(key), "n_links", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.lit(reached).cast("double").alias("audited_recall"), F.lit(len(sampled)).cast("long").alias("audited_nodes"),
     )

@@ -81,6 +81,30 @@ def test_a_search_that_finds_little_is_repeated(spark, monkeypatch):
     assert len(seen) > 1
 
 
+def hot_and_pairs(hot, pairs, lone):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(1 + pairs + lone, 32))
+    vecs = np.repeat(base, [hot, *[2] * pairs, *[1] * lone], axis=0)
+    return [(k, v.tolist(), 1) for k, v in enumerate(vecs + rng.normal(size=vecs.shape) * 0.05)]
+
+
+VECTORS = "vec_id long, embedding array<double>, label int"
+
+
+def test_lost_pairs_show_beside_a_large_group(spark, monkeypatch):
+    real = graph.found
+    monkeypatch.setattr(graph, "found", lambda dealt, least: real(dealt, least).where("links > 1"))
+    with pytest.raises(RuntimeError, match="140 audited"):
+        graph.near_duplicates(spark.createDataFrame(hot_and_pairs(60, 40, 0), VECTORS))
+
+
+def test_nodes_are_drawn_until_enough_have_partners(spark, monkeypatch):
+    monkeypatch.setattr(graph, "AUDITED", 13)  # wanted and drawn at first
+    for pairs, audited in ((6, (1.0, 12)), (0, (None, 0))):
+        found = graph.near_duplicates(spark.createDataFrame(hot_and_pairs(1, pairs, 200), VECTORS))
+        assert {(r.audited_recall, r.audited_nodes) for r in found.collect()} == {audited}
+
+
 def test_graph_of_a_chunk_is_connected():
     rng = np.random.default_rng(1)
     vecs = np.concatenate([rng.normal(size=(40, 8)) * 0.01 + rng.normal(size=8) for _ in range(10)])
@@ -124,7 +148,7 @@ def test_many_groups_of_near_copies(spark):
     vecs = near_copies(40, 25)
     group = (vecs @ vecs.T > 0.9).argmax(axis=1)  # the least member
     rows = [(k, v.tolist(), 1) for k, v in enumerate(vecs)]
-    assert got(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")) == sorted(
+    assert got(spark.createDataFrame(rows, VECTORS)) == sorted(
         ((k, 24, int(low), bool(k == low)) for k, low in enumerate(group)), key=str
     )
 
