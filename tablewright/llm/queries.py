@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, crf, graph, mixing, nbsvm, sharding, simhash, topk, vbyte
+from tablewright.llm import bpe, chat, crf, graph, mixing, nbsvm, sharding, simhash, topk, vbyte, whitening
 from tablewright.llm.common import held_out, labelled, table
 
 #: Score from which a document counts as label 1.
@@ -88,6 +88,13 @@ def op10_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("key").alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error"
+    )
+
+
 QUERIES = {
     "op1_pruned_graph": op1_pruned_graph,
     "op2_mix_to_weights": op2_mix_to_weights,
@@ -99,6 +106,7 @@ QUERIES = {
     "op8_chat_events": op8_chat_events,
     "op9_crf_toxicity": op9_crf_toxicity,
     "op10_simhash_anchors": op10_simhash_anchors,
+    "op11_spectrum_whitening": op11_spectrum_whitening,
 }
 
 ORACLES: dict[str, str] = {

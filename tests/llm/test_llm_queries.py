@@ -19,6 +19,7 @@ COLUMNS = {
     "op8": (None, {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string", "formatted_chars": "bigint"}),
     "op9": ("documents", {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}),
     "op10": ("documents", {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}),
+    "op11": (None, {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"}),
 }
 
 
@@ -39,4 +40,4 @@ def test_columns_and_rows(spark, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_point.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 12)}
