@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, crf, graph, mixing, nbsvm, sharding, simhash, topk, vbyte, whitening
+from tablewright.llm import bpe, chat, crf, graph, mixing, nbsvm, sharding, simhash, topk, variants, vbyte, whitening
 from tablewright.llm.common import held_out, labelled, table
 
 #: Score from which a document counts as label 1.
@@ -95,6 +95,10 @@ def op11_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_bloom_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(variants.words(table(spark, sf_dir, "documents"), mistype=199))
+
+
 QUERIES = {
     "op1_pruned_graph": op1_pruned_graph,
     "op2_mix_to_weights": op2_mix_to_weights,
@@ -107,9 +111,11 @@ QUERIES = {
     "op9_crf_toxicity": op9_crf_toxicity,
     "op10_simhash_anchors": op10_simhash_anchors,
     "op11_spectrum_whitening": op11_spectrum_whitening,
+    "op13_bloom_variants": op13_bloom_variants,
 }
 
 ORACLES: dict[str, str] = {
     "op2_mix_to_weights": mixing.ORACLE,
     "op6_topk_histograms": topk.ORACLE,
+    "op13_bloom_variants": variants.ORACLE,
 }
