@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, crf, graph, mixing, nbsvm, sharding, simhash, topk, variants, vbyte, whitening
+from tablewright.llm import bpe, chat, crf, graph, mixing, nbsvm, pii, sharding, simhash, topk, variants, vbyte, whitening
 from tablewright.llm.common import held_out, labelled, table
 
 #: Score from which a document counts as label 1.
@@ -95,6 +95,17 @@ def op11_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["strict"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, F.lit(kind))) for kind in pii.KINDS]
+    counts = [(F.size(base) - rest).cast("long").alias(f"n_{kind}") for kind, rest in zip(pii.KINDS, counts, strict=True)]
+    return found.select(F.col("key").alias("doc_id"), *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op13_bloom_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(variants.words(table(spark, sf_dir, "documents"), mistype=199))
 
@@ -111,6 +122,7 @@ QUERIES = {
     "op9_crf_toxicity": op9_crf_toxicity,
     "op10_simhash_anchors": op10_simhash_anchors,
     "op11_spectrum_whitening": op11_spectrum_whitening,
+    "op12_boosted_pii": op12_boosted_pii,
     "op13_bloom_variants": op13_bloom_variants,
 }
 

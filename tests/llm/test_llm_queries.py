@@ -20,6 +20,7 @@ COLUMNS = {
     "op9": ("documents", {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}),
     "op10": ("documents", {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}),
     "op11": (None, {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"}),
+    "op12": ("documents", {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"}),
     "op13": (None, {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"}),
 }
 
@@ -41,4 +42,4 @@ def test_columns_and_rows(spark, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_point.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in (*range(1, 12), 13)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
