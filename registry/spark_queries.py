@@ -29,7 +29,7 @@ from tablewright import (
 
 from tablewright.sources.store import shared_folder
 
-from . import inputs
+from . import inputs, temporal
 from .inputs import rows, spark_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -526,4 +526,5 @@ def all_queries() -> dict[str, Query]:
         "gate_query": gate_query_events,
         "gate_table": gate_table_events,
         "python_enrich_events": python_enrich_events,
+        **temporal.QUERIES,
     }

@@ -4,6 +4,7 @@ from .assets import materialize, run_python, run_query, run_seed
 from .operators.checks import CheckFailed, require_passed, run_checks
 from .operators.gates import NotReady, gate_query, gate_table, require_ready
 from .operators.strategies import MissingTarget, next_state, plan_change
+from .operators.temporal import asof_join, overlap_join
 from .plans.change import Change
 from .plans.sizing import Limits
 from .sources.seed import SeedError, read_seed
@@ -27,10 +28,12 @@ __all__ = [
     "TableSpec",
     "TableStore",
     "TransformError",
+    "asof_join",
     "gate_query",
     "gate_table",
     "materialize",
     "next_state",
+    "overlap_join",
     "plan_change",
     "read_seed",
     "require_passed",

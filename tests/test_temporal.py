@@ -1,0 +1,129 @@
+"""As-of and overlap joins against loops over all rows."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablewright import asof_join, overlap_join
+from tablewright.operators import temporal
+from tablewright.spec import SpecError
+
+BASE = datetime(2024, 1, 1)
+
+
+def day(n):
+    return None if n is None else BASE + timedelta(hours=n)
+
+
+def brute_asof(left, right, until=False):
+    out = []
+    for i, k, t in left:
+        rows = [r for r in right if k is not None and t is not None and r[0] == k and r[1] is not None and r[1] <= t]
+        best = max(rows, key=lambda r: (r[1], r[2], r[3] is not None, r[3] or 0), default=None)
+        if best and until and best[2] is not None and best[2] <= t:
+            best = None
+        out.append((i, k, t, *(best[1:] if best else (None, None, None))))
+    return sorted(out, key=str)
+
+
+def asof(spark, left, right, **options):
+    a = spark.createDataFrame([(i, k, day(t)) for i, k, t in left], "id int, k string, t timestamp_ntz")
+    b = spark.createDataFrame([(k, day(s), day(u), v) for k, s, u, v in right], "k string, s timestamp_ntz, u timestamp_ntz, v int")
+    rows = asof_join(a, b, ["k"], "t", "s", **options).collect()
+    assert rows == [] or list(rows[0].asDict()) == ["id", "k", "t", "s", "u", "v"]
+    back = lambda x: None if x is None else int((x - BASE).total_seconds() // 3600)
+    return sorted(((r.id, r.k, back(r.t), back(r.s), back(r.u), r.v) for r in rows), key=str)
+
+
+def history(seed, keys=5, hot=0):
+    import random
+
+    draw = random.Random(seed)
+    right = []
+    for k in range(keys):
+        at = draw.randint(0, 50)
+        for v in range(draw.randint(0, 12)):
+            end = at + draw.randint(1, 60)
+            right.append((f"k{k}", at, end, v))
+            at = end + draw.choice([0, 0, 15])
+    left = [(i, f"k{draw.randint(0, keys)}", draw.randint(-20, 600)) for i in range(200)]
+    left += [(1000 + i, "k0", draw.randint(0, 600)) for i in range(hot)]
+    return left, right
+
+
+@pytest.mark.parametrize("width", [None, 3_600_000_000, 7 * 3_600_000_000, 10**15])
+def test_asof(spark, width):
+    left, right = history(1, hot=400)
+    assert asof(spark, left, right, width=width) == brute_asof(left, right)
+    assert asof(spark, left, right, until="u", width=width) == brute_asof(left, right, until=True)
+
+
+def test_asof_nulls_ties_and_repeats(spark):
+    left = [(1, "a", 10), (1, "a", 10), (2, None, 10), (3, "a", None), (4, "b", 5), (5, "a", -3)]
+    right = [("a", 10, 20, 1), ("a", 10, 20, 7), ("a", 10, 20, None), (None, 1, 2, 3), ("a", None, 2, 9), ("b", 6, 7, 1), ("a", 3, 4, 2), ("a", -3, 1, 5)]
+    assert asof(spark, left, right) == brute_asof(left, right)
+    assert asof(spark, left, []) == brute_asof(left, [])
+    assert asof(spark, [], right) == []
+
+
+def test_asof_open_end(spark):
+    assert asof(spark, [(1, "a", 10)], [("a", 0, None, 1)], until="u") == [(1, "a", 10, 0, None, 1)]
+
+
+def test_asof_splits_a_hot_key_and_joins_nothing_by_inequality(spark):
+    left, right = history(2)
+    a = spark.createDataFrame([(i, "k0", day(t)) for i, _, t in left], "id int, k string, t timestamp_ntz")
+    b = spark.createDataFrame([(k, day(s), day(u), v) for k, s, u, v in right], "k string, s timestamp_ntz, u timestamp_ntz, v int")
+    joined = asof_join(a, b, ["k"], "t", "s")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Cartesian" not in plan
+    assert "key#" in plan and plan.count("hashpartitioning(key") >= 2
+
+
+def test_asof_needs_distinct_names_and_equal_types(spark):
+    a = spark.createDataFrame([(1, 2)], "k int, t int")
+    with pytest.raises(SpecError, match="prefix"):
+        asof_join(a, a, ["k"], "t", "t")
+    assert asof_join(a, a, ["k"], "t", "t", prefix="r_").collect() == [(1, 2, 2)]
+    with pytest.raises(SpecError, match="types"):
+        asof_join(a, a.select(F.col("k").cast("string"), F.col("t").alias("s")), ["k"], "t", "s")
+
+
+def brute_overlap(left, right):
+    return sorted((i, j) for i, k, s, e in left for j, q, u, v in right if None not in (k, q, s, e, u, v) and k == q and s < e and u < v and s < v and u < e)
+
+
+def overlap(spark, left, right, **options):
+    a = spark.createDataFrame(left, "i int, k string, s long, e long")
+    b = spark.createDataFrame(right, "j int, k string, u long, v long")
+    return sorted((r.i, r.j) for r in overlap_join(a, b, ["k"], ("s", "e"), ("u", "v"), **options).collect())
+
+
+@pytest.mark.parametrize("options", [{}, {"width": 1}, {"width": 7}, {"bins": 10}])
+def test_overlap(spark, options, monkeypatch):
+    import random
+
+    monkeypatch.setattr(temporal, "FAN_OUT", 4)
+    draw = random.Random(3)
+    spans = lambda n: [(i, f"k{draw.randint(0, 2)}", s := draw.randint(-100, 300), s + draw.choice([0, -1, 1, 2, 9, 40, 1000])) for i in range(n)]
+    left, right = spans(120), spans(100)
+    left += [(500, None, 0, 9), (501, "k0", None, 9), (502, "k0", 0, None), (503, "k0", -(10**6), 10**6), (503, "k0", -(10**6), 10**6)]
+    assert overlap(spark, left, right, **options) == brute_overlap(left, right)
+
+
+def test_overlap_repeats_long_intervals_a_bounded_number_of_times(spark):
+    a = spark.createDataFrame([(1, "k", 0, 10**12), *[(i, "k", i * 1000, i * 1000 + 3) for i in range(2, 60)]], "i int, k string, s long, e long")
+    joined = overlap_join(a, a, ["k"], ("s", "e"), ("s", "e"), prefix="r_", width=4)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert joined.count() == 59 + 2 * 58
+    generated = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(sequence" in generated
+    # the widest level: 4 * 64 ** n holds the longest interval in 64 bins or fewer
+    assert 10**12 / (4 * temporal.FAN_OUT**6) <= temporal.FAN_OUT
+
+
+def test_overlap_of_nothing(spark):
+    assert overlap(spark, [], [(1, "k", 0, 5)]) == []
+    assert overlap(spark, [(1, "k", 5, 5)], [(1, "k", 0, 9)]) == []
