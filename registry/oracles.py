@@ -6,7 +6,7 @@ with NOT EXISTS in place of joins.
 
 from __future__ import annotations
 
-from . import inputs, temporal
+from . import inputs, streams, temporal
 from .inputs import plain_sql
 
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -310,5 +310,6 @@ def all_oracles() -> dict[str, str]:
             "WHERE event_date = DATE '2024-01-15' AND user_key IS NULL"
         ),
         "python_enrich_events": events,
+        **streams.ORACLES,
         **temporal.ORACLES,
     }

@@ -29,7 +29,7 @@ from tablewright import (
 
 from tablewright.sources.store import shared_folder
 
-from . import inputs, temporal
+from . import inputs, streams, temporal
 from .inputs import rows, spark_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -526,5 +526,6 @@ def all_queries() -> dict[str, Query]:
         "gate_query": gate_query_events,
         "gate_table": gate_table_events,
         "python_enrich_events": python_enrich_events,
+        **streams.QUERIES,
         **temporal.QUERIES,
     }

@@ -104,14 +104,22 @@ def materialize(
     full_refresh: bool = False,
     limits: Limits = Limits(),
     check: bool = True,
+    batch: tuple[str, int] | None = None,
+    stored: bool = False,
 ) -> DataFrame:
-    """Change the published table by ``rows``, check it and return it."""
+    """Change the published table by ``rows``, check it and return it.
+
+    ``batch`` names a stream and its batch: one that is in the table already
+    changes nothing. ``stored`` rows give the same rows each time they are read.
+    """
+    if batch is not None and store.has_batch(spec.name, batch):
+        return store.read(spec.name)
     target = store.target(spec.name)
     if target is None and not spec.bootstrap and not full_refresh:
         if spec.strategy != names.CREATE_REPLACE:
             raise MissingTarget(f"{spec.name} does not exist; run a full refresh or ddl first")
     fresh = full_refresh or target is None or spec.strategy == names.CREATE_REPLACE
-    staged = spec.cluster_by or (not fresh and spec.strategy in _READ_TWICE)
+    staged = not stored and (spec.cluster_by or (not fresh and spec.strategy in _READ_TWICE))
     if staged:
         rows = store.stage(rows)
     try:
@@ -120,7 +128,7 @@ def materialize(
         )
         if not fresh:
             change = Change(change.goes, _sized(spec, change.rows))
-        store.commit(spec, change, new_layout=fresh and change.goes == EVERYTHING)
+        store.commit(spec, change, new_layout=fresh and change.goes == EVERYTHING, batch=batch)
     finally:
         if staged:
             store.unstage(rows)

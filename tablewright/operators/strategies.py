@@ -17,7 +17,7 @@ from ..functions.literals import has_literal
 from ..functions.types import quote
 from ..plans.bind import bind, find, pick
 from ..plans.change import EVERYTHING, NOTHING, Change
-from ..plans.match import match_rows, unmatched
+from ..plans.match import any_null, match_rows, unmatched
 from ..plans.sizing import Limits, measure
 from ..plans.touched import distinct_values, one_of, reachable, session_zone
 from ..spec import RunWindow, SpecError, TableSpec
@@ -89,9 +89,24 @@ def next_state(
 
 def rebuilt(spec: TableSpec, source: DataFrame, now: datetime | None) -> DataFrame:
     """The table made anew from the query alone."""
+    if spec.newer_by:
+        return newest(source, [find(source.schema, key).name for key in spec.keys], find(source.schema, spec.newer_by).name)
     return scd2.rebuilt(spec, source, now) if spec.is_scd2 else source
 
 
+def newest(rows: DataFrame, keys: list[str], newer_by: str) -> DataFrame:
+    """Of the rows of each key the one with the largest ``newer_by``, then the largest other values.
+
+    Rows with a NULL key match nothing, so all of them stay.
+    """
+    by = [newer_by, *[c for c in rows.columns if c not in (*keys, newer_by)]]
+    folded = rows.filter(~any_null(keys)).groupBy(*[F.col(quote(k)) for k in keys]).agg(
+        F.max(F.struct(*[F.col(quote(c)).alias(f"c{i}") for i, c in enumerate(by)])).alias("newest")
+    )
+    values = {c: F.col(f"newest.c{i}") for i, c in enumerate(by)} | {k: F.col(quote(k)) for k in keys}
+    return folded.select(*[values[c].alias(c) for c in rows.columns]).union(rows.filter(any_null(keys)))
+
+
 def _in_window(spec: TableSpec, target: DataFrame, window: RunWindow) -> str:
     key = find(target.schema, spec.incremental_key)
     return window.predicate(key.name, key.dataType, spec.time_granularity, session_zone(target))
@@ -174,6 +189,8 @@ def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits)
     declared = [find(schema, name).name for name in spec.column_names]
     updated = [find(schema, name).name for name in spec.update_columns]
     rows = pick(source, schema, declared)
+    if spec.newer_by:
+        rows = newest(rows, keys, find(schema, spec.newer_by).name)
     if not updated:
         known = _narrowed(target, rows, keys, spec, limits, null_safe=False)
         new = unmatched(rows, known, keys, null_safe=False, limits=limits)
@@ -183,12 +200,16 @@ def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits)
     touched = target if reached is None else target.filter(F.expr(reached))
     matched = match_rows(touched, rows, keys, limits, size)
     both = F.col("in_target") & F.col("in_source")
+    if spec.newer_by:
+        at = find(schema, spec.newer_by).name
+        had, has = F.col(f"t{schema.names.index(at)}"), F.col(f"s{declared.index(at)}")
+        both = both & F.coalesce(has >= had, had.isNull())
     cols = []
     for i, field in enumerate(schema):
         old = F.col(f"t{i}")
         new = F.col(f"s{declared.index(field.name)}") if field.name in declared else F.lit(None)
         replaced = F.when(both, new) if field.name in updated else F.when(both, old)
-        value = replaced.when(F.col("in_target"), old).otherwise(new)
+        value = replaced.when(F.col("in_target"), old).otherwise(new)  # older source rows change nothing
         cols.append(value.cast(field.dataType).alias(field.name))
     return Change(reached or EVERYTHING, matched.select(*cols))
 

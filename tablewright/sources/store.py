@@ -71,6 +71,7 @@ class State:
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
     retired: tuple[str, ...] = ()
+    batches: tuple[tuple[str, int], ...] = ()  # of each stream, the last batch that is in the table
 
     def to_json(self) -> str:
         return json.dumps(
@@ -80,6 +81,7 @@ class State:
                 "partition_by": self.partition_by,
                 "cluster_by": self.cluster_by,
                 "retired": self.retired,
+                "batches": self.batches,
             }
         )
 
@@ -92,6 +94,7 @@ class State:
             tuple(raw["partition_by"]),
             tuple(raw["cluster_by"]),
             tuple(raw["retired"]),
+            tuple((stream, batch) for stream, batch in raw.get("batches", ())),
         )
 
 
@@ -170,8 +173,18 @@ class TableStore:
         """Make the table consist of ``rows``, with their schema."""
         self.commit(spec, Change(EVERYTHING, rows), new_layout=True)
 
-    def commit(self, spec: TableSpec, change: Change, new_layout: bool = False) -> None:
-        """Write the rows of ``change`` and publish the next state of the table."""
+    def has_batch(self, name: str, batch: tuple[str, int]) -> bool:
+        """Whether a stream's batch, or a later one, is in the published table."""
+        state = self.state(name)
+        return state is not None and dict(state.batches).get(batch[0], -1) >= batch[1]
+
+    def commit(
+        self, spec: TableSpec, change: Change, new_layout: bool = False, batch: tuple[str, int] | None = None
+    ) -> None:
+        """Write the rows of ``change`` and publish the next state of the table.
+
+        The ``batch`` of a stream is published in the same statement as its rows.
+        """
         self.create_schema(spec.name)
         full = self.full_name(spec.name)
         before = self.state(full)
@@ -201,7 +214,8 @@ class TableStore:
         kept = tuple(p for p in kept if p.left)
         unused = [written[0].table] if kept and not any(p.rows for p in written) else []
         parts = kept if unused else (*kept, *written)
-        state = State(version, parts, partition_by, cluster_by)
+        batches = {**dict(before.batches if before else ()), **dict([batch] if batch else [])}
+        state = State(version, parts, partition_by, cluster_by, batches=tuple(sorted(batches.items())))
         self._publish(full, schema, before, state)
         self._drop(unused)
         self._tidy(full, state, spec.is_scd2)

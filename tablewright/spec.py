@@ -170,7 +170,9 @@ class TableSpec:
     ``by_name`` binds source columns by name instead of position, ``null_safe``
     lets a change from or to NULL open a new version, ``clip`` drops source
     rows outside the run window, ``bootstrap`` lets an incremental strategy
-    create the table on its first run.
+    create the table on its first run. With ``newer_by`` a merge takes, of several
+    source rows of a key, the one with the largest value of that column, and
+    replaces a matched row only if the source's is not older.
     """
 
     name: str
@@ -186,6 +188,7 @@ class TableSpec:
     null_safe: bool = False
     clip: bool = False
     bootstrap: bool = False
+    newer_by: str | None = None
     keys: tuple[str, ...] = field(init=False)
 
     def __post_init__(self) -> None:
@@ -230,6 +233,10 @@ class TableSpec:
                 raise SpecError(f"{self.strategy} needs time_granularity with incremental_key")
             if self.time_granularity and self.time_granularity not in GRANULARITIES:
                 raise SpecError("time_granularity must be 'date' or 'timestamp'")
+        if self.newer_by is not None:
+            named = [c.name.lower() for c in self.columns if c.update_on_merge]
+            if self.strategy != MERGE or self.newer_by.lower() not in named:
+                raise SpecError("newer_by names an update_on_merge column of a merge")
         if self.is_scd2:
             self._check_scd2()
 
