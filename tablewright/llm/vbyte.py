@@ -16,6 +16,7 @@ their own attempt: a task that runs twice leaves a file that no manifest names.
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import unicodedata
 import uuid
@@ -25,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,8 @@ MAGIC = b"TWV1"
 FRAME_TOKENS, FRAME_DOCS = 1 << 20, 4096
 #: Words whose ids a Python worker keeps; it starts anew beyond.
 KEPT_WORDS = 1_000_000
+#: Letters of the texts that are encoded together, about; a longer text is alone.
+LETTERS = 8 << 20
 
 #: By control byte: bytes of each of its four ranks.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
@@ -68,12 +72,22 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return ranks & MASKS[lengths]
 
 
+#: Of Latin-1, the ASCII signs but the apostrophe, which begins endings, and all else that is no letter, number or space.
+SIGNS = "!-&(-/:-@\\[-`{-~"
+OTHERS = "\x00-\x08\x0e-\x1f'\x7f-\x84\x86-\x9f¡-©«-±´¶-¸»¿×÷"
+#: A whole run of such signs: a piece of its own for the tokenizer, whatever stands around.
+SIGN_RUN = re.compile(f"[{SIGNS}](?<![{SIGNS}{OTHERS}][{SIGNS}])[{SIGNS}]*+(?![{OTHERS}])")
+
+
 class _Encoder:
     """A tokenizer of the library, with the ids of common words kept as raw bytes.
 
     ASCII white space parts words for it whatever stands around, so a text's ids
-    are those of its words in order. As it lowers letters and parts a full stop or
-    comma from a letter before it, words that differ in those are encoded once.
+    are those of its words in order. It lowers letters and parts runs of signs from
+    letters and numbers. In texts of Latin-1 letters, whose lowering is plain and which
+    are composed already, both are done before texts are split, so that one word serves
+    all its forms. In others, words that differ in letters' case or in a full stop or
+    comma behind them are encoded once.
     """
 
     def __init__(self, path: str):
@@ -84,8 +98,13 @@ class _Encoder:
         self.tool.no_truncation()
         self.words: dict[bytes, bytes] = {}
         self.code = "H" if self.tool.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
+        self.layout = "<u2" if self.code == "H" else "<u4"
+        vocabulary = self.tool.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _learn(self, words: list[bytes]) -> None:
+        """Words as they stand in any text."""
         known, cores = self.words, {}
         for word in words:
             core = word if b"<" in word else word.lower()  # special tokens keep their case
@@ -93,37 +112,82 @@ class _Encoder:
             if core[-1:] in (b".", b",") and _ends_in_letter(core[:-1].decode()):
                 core, tail = core[:-1], core[-1:]
             cores[word] = core, tail
-        new = list({x for pair in cores.values() for x in pair if x not in known})
-        raw = {}
-        alone = []
-        letters = [word for word in new if word.decode().isalpha()]
-        for group in (letters[k : k + 500] for k in range(0, len(letters), 500)):
-            # words of letters are one piece each: many of them make one text
-            found = self.tool.encode(b" ".join(group).decode(), add_special_tokens=False)
-            starts = [k for k, (x, y) in enumerate(zip([None, *found.word_ids], found.word_ids)) if x != y]
-            if len(starts) != len(group):
-                alone += group
-                continue
-            ids = array(self.code, found.ids)
-            for word, a, b in zip(group, starts, [*starts[1:], len(ids)], strict=True):
-                raw[word] = ids[a:b].tobytes()
-        alone += [word for word in new if not word.decode().isalpha()]
-        found = self.tool.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False)
-        raw |= {word: array(self.code, x.ids).tobytes() for word, x in zip(alone, found, strict=True)}
+        raw = self._ids(list({x for pair in cores.values() for x in pair if x not in known}))
         for word, (core, tail) in cores.items():
             known[word] = (raw.get(core) or known.get(core, b"")) + ((raw.get(tail) or known.get(tail, b"")) if tail else b"")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Raw ids of each text, little-endian, of 16 bits if the vocabulary allows."""
-        split = [text.encode().split() for text in texts]
+    def _ids(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Raw ids of each word."""
+        raw, letters, alone = {}, [], []
+        for word in words:
+            plain = word.decode()
+            (letters if plain.isalpha() else alone).append((word, plain))
+        # words of letters are one piece each, whose last token alone ends a word: many of them make one text
+        groups = [letters[k : k + 200] for k in range(0, len(letters), 200)]
+        joined = self.tool.encode_batch_fast([" ".join([plain for _, plain in group]) for group in groups], add_special_tokens=False)
+        for group, found in zip(groups, joined, strict=True):
+            ids = np.array(found.ids, self.layout)
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * ids.itemsize).tolist()
+            if len(ends) != len(group):
+                alone += group
+                continue
+            ids = ids.tobytes()
+            raw.update(zip([word for word, _ in group], [ids[a:b] for a, b in zip([0, *ends], ends)]))
+        found = self.tool.encode_batch_fast([plain for _, plain in alone], add_special_tokens=False)
+        return raw | {word: array(self.code, x.ids).tobytes() for (word, _), x in zip(alone, found, strict=True)}
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, of 16 bits if the vocabulary allows, and how many each text has.
+
+        Words are numbered first, so that each distinct one is looked up once for all texts.
+        """
         known = self.words
         if len(known) > KEPT_WORDS:
             known.clear()
-        new = list(set().union(*split).difference(known))
+        plainly = [_parts_plainly(text) for text in texts]
+        parted = [SIGN_RUN.sub(r" \g<0> ", text.lower()) if plain else text for text, plain in zip(texts, plainly, strict=True)]
+        split = pc.ascii_split_whitespace(pa.array(parted, pa.large_string()))
+        numbered = split.flatten().dictionary_encode()
+        distinct = _values(numbered.dictionary)
+        raw = list(map(known.get, distinct))
+        new = [word for word, ids in zip(distinct, raw, strict=True) if ids is None]
         for start in range(0, len(new), 50_000):
-            self._learn(new[start : start + 50_000])
-        find = known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+            part = new[start : start + 50_000]
+            if all(plainly):
+                known.update(self._ids(part))
+            else:
+                self._learn(part)
+        if new:
+            raw = [known[word] for word in distinct]
+        ids = np.frombuffer(b"".join(raw), self.layout)
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // ids.itemsize
+        begins = np.cumsum(sizes) - sizes
+        at = numbered.indices.to_numpy()
+        each = sizes[at]
+        ends = np.cumsum(each)
+        found = ids[np.repeat(begins[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)]
+        words = np.diff(split.offsets.to_numpy())
+        upto = np.concatenate([[0], ends])[np.cumsum(words)]
+        return found, np.diff(upto, prepend=0)
+
+
+def _values(strings: pa.Array) -> list[bytes]:
+    """The UTF-8 bytes of large strings without nulls."""
+    _, offsets, data = strings.buffers()
+    at = np.frombuffer(offsets, np.int64)[strings.offset : strings.offset + len(strings) + 1].tolist()
+    whole = data.to_pybytes() if data else b""
+    return [whole[a:b] for a, b in zip(at, at[1:])]
+
+
+def _parts_plainly(text: str) -> bool:
+    """Whether it has Latin-1 letters only, and nothing that could be a special token."""
+    if "<|" in text:
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def _ends_in_letter(word: str) -> bool:
@@ -138,23 +202,31 @@ def _encoder(path: str) -> _Encoder:
 
 def id_type(path: str) -> str:
     """How raw ids of a tokenizer file are laid out."""
-    return "<u2" if _encoder(path).code == "H" else "<u4"
+    return _encoder(path).layout
 
 
 def token_ids(docs: DataFrame, path: str, key: str, text: str, end: int) -> DataFrame:
     """``(key, ids)``: raw ids of each document, ``end`` appended."""
     kind = docs.schema[key].dataType.simpleString()
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    last = np.array([end], id_type(path)).tobytes()
+    last = np.array(end, id_type(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _encoder(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
-                ids = tool.encode([x.as_py() or "" for x in part.column(1)])
-                raw = pa.array([x + last for x in ids], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), raw], names=["key", "ids"])
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            upto = np.cumsum([len(x) for x in texts], dtype=np.int64)
+            start = 0
+            while start < len(texts):
+                before = upto[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(upto, before + LETTERS, side="right")))
+                ids, counts = tool.encode(texts[start:stop])
+                ends = np.cumsum(counts)
+                raw = np.insert(ids, ends, last)
+                places = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]) * raw.itemsize
+                found = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), found.cast(pa.binary())], names=["key", "ids"])
+                start = stop
 
     return source.mapInArrow(run, f"key {kind}, ids binary")
 
@@ -288,7 +360,7 @@ def _framed(
 ) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Keys, lengths and ranks of the frames of a partition."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(layout).itemsize
+        sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(layout).itemsize
         start = 0
         while start < batch.num_rows:
             sums = np.cumsum(sizes[start : start + FRAME_DOCS])
