@@ -301,6 +301,10 @@ def all_oracles() -> dict[str, str]:
             "SELECT o_orderkey AS key, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE o_orderstatus END AS status, "
             "CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority ELSE '' END AS priority FROM orders"
         ),
+        "seed_carriage_returns": (
+            "SELECT o_orderkey AS key, 'a' || chr(13) || o_orderstatus AS status, o_orderpriority || chr(13) || chr(13) AS priority, "
+            "CASE WHEN o_orderkey % 100 = 1 THEN 'two' || chr(10) || 'lines' ELSE '' END AS note FROM orders"
+        ),
         "gate_query": (
             "SELECT COUNT(*) > 0 AS ready FROM events "
             "WHERE event_type = 'purchase' AND ts >= DATE '2024-01-10'"

@@ -337,6 +337,26 @@ def seed_ragged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_seed(store, spec, [f"{path}/file={i}" for i in range(8)])
 
 
+def seed_carriage_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders with carriage returns inside cells, half of the lines ended by one as well, a few records over two lines."""
+    store = new_store(spark)
+    path = f"{store.location}/returns-{uuid.uuid4().hex}"
+    lines = rows(
+        spark,
+        sf_dir,
+        r"""
+        SELECT o_orderkey % 4 AS file, o_orderkey AS at,
+            concat(CAST(o_orderkey AS STRING), ',a', chr(13), o_orderstatus, ',', chr(34), o_orderpriority, chr(13), chr(13), chr(34),
+                   CASE WHEN o_orderkey % 100 = 1 THEN concat(',', chr(34), 'two', chr(10), 'lines', chr(34)) ELSE ',' END,
+                   CASE WHEN o_orderkey % 2 = 0 THEN chr(13) ELSE '' END) AS value
+        FROM {orders}
+        UNION ALL SELECT id, -1, 'key,status,priority,note' FROM range(4)""",
+    )
+    lines.repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    spec = TableSpec(fresh(store, "returned_orders"), (column("key", "bigint"),))
+    return run_seed(store, spec, [f"{path}/file={i}" for i in range(4)])
+
+
 def gate_query_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "SELECT COUNT(*) > 0 FROM {events} WHERE event_type = :kind AND ts >= :start_date"
     args = {"kind": "purchase", **MID_JANUARY.params()}
@@ -523,6 +543,7 @@ def all_queries() -> dict[str, Query]:
         "seed_documents": seed_documents,
         "seed_documents_split": seed_documents_split,
         "seed_ragged_orders": seed_ragged_orders,
+        "seed_carriage_returns": seed_carriage_returns,
         "gate_query": gate_query_events,
         "gate_table": gate_table_events,
         "python_enrich_events": python_enrich_events,

@@ -6,10 +6,16 @@ same whatever its neighbours are. Files in which every line is a record are read
 in splits; where records span lines, they are put together across the splits of
 their file, whatever these are. A quote that neither opens nor closes a cell is
 refused before that, so the rows never depend on how a file is split.
+
+Lines end at a line feed, and a carriage return right before it belongs to the end.
+Any other carriage return is part of its cell, whatever else the file holds.
 """
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +25,7 @@ from ..spec import SpecError, TableSpec
 
 # How seed files are written (fixed values).
 _FORMAT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+_LINE = "\n"
 
 
 class SeedError(ValueError):
@@ -41,7 +48,7 @@ def read_seed(
     schema = T.StructType([T.StructField(c, T.StringType()) for c in texts])
     if _one_line_records(spark, path):
         _same_headers(path, names, _first_lines(spark, path))
-        cells = spark.read.options(**_FORMAT).schema(schema).csv(path, header=True)
+        cells = spark.read.options(**_FORMAT).schema(schema).csv(path, header=True, lineSep=_LINE)
     else:
         ddl = ", ".join(f"{c} STRING" for c in texts)
         records = _records(spark, path)
@@ -65,13 +72,30 @@ def _typed(cell: Column, declared: str | None, on_bad_cell: str) -> Column:
     return strict_cast(filled, dtype) if on_bad_cell == "raise" else filled.try_cast(dtype)
 
 
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(line, file, block, at)``: lines without their ends, ordered within a file by ``block`` and ``at``."""
+    return spark.read.text(path, lineSep=_LINE).select(
+        _without_return(F.col("value")).alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+
+
+def _without_return(line: Column) -> Column:
+    return F.regexp_replace(line, r"\r\z", "")
+
+
 def _header(spark: SparkSession, path: str | list[str]) -> list[str]:
     # Reads no further than the first record.
-    raw = spark.read.options(**_FORMAT).csv(path, header=False, multiLine=True)
-    first = raw.first() if raw.columns else None
+    start = _lines(spark, path).filter((F.col("block") == 0) & (F.trim("line") != "")).select("line").first()
+    if start is None or start[0].count('"') % 2:  # the header spans lines, or comes late
+        start = _records(spark, path).filter("is_header").select("record").first()
+    # The module would split at carriage returns.
+    first = start and next(csv.reader(io.StringIO(start[0].replace("\r", "\0"), newline="")), None)
     if first is None:
         raise SeedError(f"seed file {path} is empty, it needs a header row")
-    names = [(name or "").strip() for name in first]
+    names = [name.replace("\0", "\r").strip() for name in first]
     if not all(names):
         raise SeedError(f"seed file {path} has a column without a name")
     if len({name.lower() for name in names}) != len(names):
@@ -96,20 +120,16 @@ def _bare_quote(line: Column, inside: Column) -> Column:
 
 
 def _one_line_records(spark: SparkSession, path: str | list[str]) -> bool:
-    """Is every line a whole record?"""
+    """Is every line a whole record, ended by a line feed alone?"""
+    lines = spark.read.text(path, lineSep=_LINE)
     rest = F.regexp_replace("value", _CLOSED, "")
-    return not spark.read.text(path).filter(F.instr(rest, '"') > 0).limit(1).count()
+    return not lines.filter((F.instr(rest, '"') > 0) | F.col("value").endswith("\r")).limit(1).count()
 
 
 def _first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The first line of each file that is not empty, in files of one-line records."""
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-    )
-    filled = lines.filter(F.trim("value") != "")
-    return filled.groupBy("file").agg(F.min_by("value", "at").alias("record")).select("record")
+    filled = _lines(spark, path).filter(F.trim("line") != "")
+    return filled.groupBy("file").agg(F.min_by("line", F.struct("block", "at")).alias("record")).select("record")
 
 
 def _same_headers(path: str | list[str], names: list[str], headers: DataFrame) -> None:
@@ -129,12 +149,7 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     each file, so no task sees more lines than a block has. Only the lines of
     records with several lines are then shuffled together.
     """
-    lines = spark.read.text(path, lineSep="\n").select(
-        F.regexp_replace("value", "\r$", "").alias("line"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"),
-    )
+    lines = _lines(spark, path)
     in_block = Window.partitionBy("file", "block").orderBy("at")
     lines = lines.withColumn("odd", _quotes_odd(F.col("line")))
     lines = lines.withColumn("flips", (F.sum("odd").over(in_block) - F.col("odd")) % 2)

@@ -184,3 +184,34 @@ def test_bad_cells_raise_whatever_the_session_says(spark, tmp_path):
             read_seed(spark, path, TableSpec("t", COUNTRIES)).collect()
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+RETURNS = "id,t\n1,a\rb\n2,\"c\rd\"\r\n3,e\r\r\n4,\r"
+
+
+@pytest.mark.parametrize("split", [None, 9])
+@pytest.mark.parametrize("more", ["", '\n5,"two\r\nlines"\n', "\n6,x\n"])
+def test_carriage_returns_belong_to_cells(spark, tmp_path, more, split):
+    """The same rows alone, beside records of several lines, and in any splits."""
+    path = write(tmp_path, RETURNS + more)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        if split:
+            spark.conf.set(setting, str(split))
+        got = collected(read_seed(spark, path, TableSpec("t")))
+    finally:
+        spark.conf.set(setting, before)
+    want = [("1", "a\rb"), ("2", "c\rd"), ("3", "e\r"), ("4", "")]
+    want += {"": [], '\n5,"two\r\nlines"\n': [("5", "two\nlines")], "\n6,x\n": [("6", "x")]}[more]
+    assert got == Counter(want)
+
+
+def test_returns_without_line_feeds_make_one_line(spark, tmp_path):
+    got = read_seed(spark, write(tmp_path, "a,b\r1,2\r"), TableSpec("t"))
+    assert got.columns == ["a", "b\r1", "2"] and got.collect() == []
+
+
+def test_plain_lines_with_inner_returns(spark, tmp_path):
+    path = write(tmp_path, "id,t\n1,a\rb\n2,\rc\n3,\"x\ry\"\n")
+    assert collected(read_seed(spark, path, TableSpec("t"))) == Counter([("1", "a\rb"), ("2", "\rc"), ("3", "x\ry")])
