@@ -126,9 +126,14 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn) -> DataFrame
 
 
 def bounded_sample(rows: DataFrame, most: int, count: int) -> DataFrame:
-    """About ``most`` of ``count`` rows, chosen by the hash of their key; all if there are no more."""
+    """About ``most`` of ``count`` rows ``(doc_id, text, label)``, chosen by the hash of id and text; all if there are no more.
+
+    Equal rows count once, so a row repeated any number of times is one of the sample
+    or none; they are folded in each task before they meet.
+    """
     share = min(1.0, most / max(count, 1))
-    return rows.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    drawn = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 40)) < int(share * (1 << 40))
+    return rows.select("doc_id", "text", "label").where(drawn).distinct()
 
 
 def logistic(raw, label, rounds: int = 50) -> tuple[float, float]:

@@ -34,6 +34,8 @@ SAMPLE = 10_000
 SMOOTHING, BOUND, PASSES = 1.0, 1.0, 12
 #: Words that a Python worker keeps; it starts anew beyond.
 KEPT_WORDS = 500_000
+#: Letters of a word; longer ones are cut into pieces, of which each counts as a word.
+LONGEST = 64
 
 _LETTERS, _DIGITS, _MARKS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"([\W_])\1{2,}")
 
@@ -48,7 +50,7 @@ def _case(letters: re.Match) -> str:
 def shape(word: str) -> str:
     """Letters by case, digits as 0, of other characters at most three alike in a row."""
     word = _DIGITS.sub("0", _LETTERS.sub(_case, word))
-    return _MARKS.sub(r"\1\1\1", word)[:12]
+    return _MARKS.sub(r"\1\1\1", word)
 
 
 class _Words(dict):
@@ -56,9 +58,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> int:
         place = xxhash.xxh32_intdigest(word.lower()) % WORDS
-        code = place << 32 | xxhash.xxh32_intdigest(shape(word[:200]))
-        if len(word) <= 64:
-            self[word] = code
+        code = self[word] = place << 32 | xxhash.xxh32_intdigest(shape(word))
         return code
 
 
@@ -70,6 +70,8 @@ def features(text: str | None) -> np.ndarray:
     if len(_words) > KEPT_WORDS:
         _words.clear()
     words = (text or "").split()
+    if max(map(len, words), default=0) > LONGEST:
+        words = [word[k : k + LONGEST] for word in words for k in range(0, len(word), LONGEST)]
     codes = np.fromiter(map(_words.__getitem__, words), np.int64, len(words))
     shapes = codes & 0xFFFFFFFF
     same = codes[1:] == codes[:-1]
@@ -137,7 +139,7 @@ def descend(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, width
 
 
 def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from ``(doc_id, text, label)``; ratios from all rows, weights from about ``sample`` of them.
+    """A model from ``(doc_id, text, label)``; ratios from all rows, weights from about ``sample`` different ones of them.
 
     Without rows of both labels the model gives every text the share of ones, or
     0.5 if there are no rows.
@@ -154,7 +156,11 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
             found = [features(x.as_py()).astype("<u4").tobytes() for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1)], names=["places", "label"])
 
-    chosen = bounded_sample(rows, sample, int(ones[-1] + zeros[-1])).select("text", "label")
+    sizes = [float(zeros[-1]), float(ones[-1])]
+    # A rare label has a tenth of the sample, or all its rows; the curve takes that back.
+    wanted = [max(sample * size / sum(sizes), min(size, sample / 10)) for size in sizes]
+    parts = [bounded_sample(rows.where(F.col("label") == label), wanted[label], sizes[label]) for label in (0, 1)]
+    chosen = parts[0].unionByName(parts[1]).select("text", "label")
     got = sorted(map(tuple, chosen.mapInArrow(run, "places binary, label int").collect()))
     scaled = []
     for places, _ in got:
@@ -162,8 +168,6 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
         values = ratios[at]
         scaled.append((at, values / (np.linalg.norm(values) or 1.0)))
     labels = np.array([1.0 if label else -1.0 for _, label in got])
-    if len(set(labels)) < 2:
-        return Model(np.zeros(1), np.zeros(1), 1.0, 0.0, float(ones[-1] / (ones[-1] + zeros[-1])))
     margins = np.zeros(len(scaled))
     fold = np.random.default_rng(0).integers(0, 2, len(scaled))
     for part in (0, 1):
@@ -175,6 +179,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> Model:
             margins[i] = weights[scaled[i][0]] @ scaled[i][1] + weights[-1]
     weights = descend(scaled, labels, PLACES)
     slope, offset = logistic(margins, labels > 0)
+    drawn = [(labels < 0).sum(), (labels > 0).sum()]
+    offset += float(np.log(sizes[1] / drawn[1]) - np.log(sizes[0] / drawn[0]))
     return Model(np.append(weights[:-1] * ratios, weights[-1]), ratios**2, slope, offset)
 
 

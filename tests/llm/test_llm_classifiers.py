@@ -4,11 +4,12 @@ import itertools
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 from conftest import MEDIUM
 from llm_frames import DOC, ROWS, crowded, documents, empty
 
 from tablewright.llm import crf, nbsvm
-from tablewright.llm.common import held_out, labelled, table
+from tablewright.llm.common import bounded_sample, held_out, labelled, table
 from tablewright.llm.queries import QUERIES
 
 LABELS = "doc_id long, quality int, toxic int, label string"
@@ -137,3 +138,25 @@ def test_labels_that_count(spark):
     got = sorted((r.doc_id, r.label) for r in labelled(docs, labels, "quality", ~held_out("doc_id", 5, 0)).collect())
     assert got == [(k, 1) for k in (1, 3) if zlib.crc32(str(k).encode()) % 5]
     assert re.fullmatch("doc_id|text|label", "label")
+
+
+def test_samples_are_bounded_and_hold_a_rare_label(spark):
+    """One id holds a third of the rows, and one row in 10,000 has the rare label."""
+    docs = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 10_000 == 1, F.concat(F.lit("vile broken text "), "id")).when(F.col("id") % 3 == 0, "all the same").otherwise(F.concat(F.lit("fine words "), "id")).alias("text"),
+        (F.col("id") % 10_000 == 1).cast("int").alias("label"),
+    )
+    for most in (500, 2000):
+        assert bounded_sample(docs, most, 30_000).count() < 1.2 * most
+    model = nbsvm.fit(docs, sample=500)
+    scores = [model.score(nbsvm.features(t)) for t in ("vile broken text 9", "fine words 8")]
+    assert scores[0] > 10 * scores[1] and scores[1] < 0.01
+
+
+def test_all_of_a_long_word_counts():
+    """Texts without spaces: what stands behind the first letters has features, too."""
+    head, tails = "字" * 300, ("詞" * 40 + "好", "詞" * 40 + "x1!")
+    first, second = (set(nbsvm.features(head + t).tolist()) for t in tails)
+    assert first != second and first & second
+    assert len(nbsvm.features("".join(chr(0x4E00 + k) for k in range(2000)))) > 20

@@ -48,6 +48,35 @@ def test_stages_on_the_small_tables(spark):
     assert len(corpus_pipeline.run(spark, SMALL).collect()) == len(done)
 
 
+def crowded_rows(spark):
+    """The odd rows with columns of all names that stages use inside."""
+    from pyspark.sql import functions as F
+
+    names = ("evidence", "spans", "score", "file", "row", "doc", "name", "c1", "__score", "__of", "__draw", "__doc", "__copy", "size", "fp")
+    return documents(spark).select("*", *[F.concat(F.lit(name), F.coalesce("doc_id", F.lit(-1))).alias(name) for name in names])
+
+
+def test_rows_come_out_as_they_went_in(spark, tmp_path):
+    path = str(tmp_path / "labels.parquet")
+    spark.createDataFrame([(1, 1, 0), (9, 0, 1), (8, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(path)
+    docs = crowded_rows(spark)
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        after = stage(step(spark, docs, str(tmp_path)), "t")
+        assert after.schema.simpleString() == docs.schema.simpleString(), name
+        assert {tuple(r) for r in after.collect()} <= {tuple(r) for r in docs.collect()}, name
+        docs = after
+
+
+def test_survivor_of_rows_of_one_id_and_text_is_defined(spark):
+    """Which row stays does not hang on the order of rows."""
+    rows = [(k % 50, "the same words stand here and there", "en", f"s{k}", k) for k in range(100)]
+    first = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), SMALL).collect()
+    again = corpus_pipeline.one_of_each_group(spark, documents(spark, rows[::-1]).repartition(7), SMALL).collect()
+    assert first == again and len(first) == 1 and first[0].doc_id == 0
+    alike = corpus_pipeline.one_of_each_group(spark, documents(spark, rows[:1] * 9), SMALL).collect()
+    assert [tuple(r) for r in alike] == rows[:1]
+
+
 def test_odd_rows_and_empty_tables(spark, tmp_path):
     path = str(tmp_path / "labels.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(path)
