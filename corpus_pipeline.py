@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import bpe, crf, mixing, nbsvm, simhash
@@ -25,7 +26,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     documents stay.
     """
     model = nbsvm.fit(labelled(docs, table(spark, sf_dir, "labels"), "quality", ~held_out("doc_id", 5, 0)))
-    return nbsvm.score(docs, model, into="__score").where(F.col("__score") >= THRESHOLD).select(*docs.columns)
+    return _where(docs, lambda plain, text: nbsvm.score(plain, model, text, "score"), F.col("score") >= THRESHOLD)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,22 +36,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     all documents stay.
     """
     field = crf.fit(labelled(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out("doc_id", 4, 2)))
-    return crf.score(docs, field, into="__score").where(F.col("__score") < THRESHOLD).select(*docs.columns)
+    return _where(docs, lambda plain, text: crf.score(plain, field, text, "score"), F.col("score") < THRESHOLD)
+
+
+def _where(docs: DataFrame, scored: Callable[[DataFrame, str], DataFrame], condition: Column) -> DataFrame:
+    """The rows of ``docs`` that meet a condition on their score, under plain names meanwhile, so that none can clash."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    kept = scored(plain, f"c{docs.columns.index('text')}").where(condition)
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of linked fingerprints: that of the least id, null last.
 
-    Of rows of one id the least hash of the text decides; repeated rows count once.
+    Of rows of one id the least hash of the text decides, then that of the whole row;
+    of rows alike in all that, the first of its file. Survivors are found on narrow
+    rows; texts move once, to meet them by file and place.
     """
-    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"))
-    groups = simhash.near_duplicates(docs.select(name.alias("name"), "text"), key="name")
-    first = groups.select("component_id").distinct().select(
-        F.col("component_id.doc_id").alias("__id"), F.col("component_id.hash").alias("__hash")
+    try:
+        docs.select("_metadata.row_index").schema
+    except AnalysisException:  # not read from files
+        docs = stage(docs, "pipeline-rows")
+    rows = docs.select(F.struct("*").alias("doc"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    whole = F.xxhash64(*[F.col(f"doc.`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    name = F.struct(
+        F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("doc_id"), F.xxhash64("doc.text").alias("hash"), whole.alias("whole"), "file", "row"
     )
-    own = docs.withColumn("__of", F.xxhash64("text"))
-    kept = own.join(first, own["doc_id"].eqNullSafe(first["__id"]) & (own["__of"] == first["__hash"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__of"]).select(*docs.columns)
+    groups = simhash.near_duplicates(rows.select(name.alias("name"), F.col("doc.text").alias("text")), key="name")
+    first = groups.where(F.col("name") == F.col("component_id")).select("name.file", "name.row")
+    return rows.join(first, ["file", "row"], "left_semi").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
