@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from . import spec as names
 from .functions.types import is_sized_text, quote, sized_text
-from .operators.checks import require_passed, run_checks
+from .operators.checks import Watch, require_passed, run_checks
 from .operators.strategies import MissingTarget, plan_change
 from .plans.bind import find
 from .plans.change import EVERYTHING, Change
@@ -123,18 +123,39 @@ def materialize(
     if staged:
         rows = store.stage(rows)
     try:
+        filed = None if fresh or spec.strategy not in _READ_TWICE else store.filed(spec.name)
         change = plan_change(
-            spec, target, rows, window=window, now=now, full_refresh=full_refresh, limits=replace(limits, list_keys=True)
+            spec,
+            target,
+            rows,
+            window=window,
+            now=now,
+            full_refresh=full_refresh,
+            limits=replace(limits, list_keys=True, filed=filed),
         )
         if not fresh:
             change = Change(change.goes, _sized(spec, change.rows))
-        store.commit(spec, change, new_layout=fresh and change.goes == EVERYTHING, batch=batch)
+        watch = _watch(store, spec, check and change.goes == EVERYTHING)
+        store.commit(spec, change, new_layout=fresh and change.goes == EVERYTHING, batch=batch, watch=watch)
     finally:
         if staged:
             store.unstage(rows)
+    return _checked(store, spec, check, watch)
+
+
+def _watch(store: TableStore, spec: TableSpec, wanted: bool) -> Watch | None:
+    """Counts the row checks of a table that is written whole."""
+    if not wanted:
+        return None
+    before = store.state(spec.name)
+    return Watch(spec, [*spec.partition_by, *(before.partition_by if before else ())])
+
+
+def _checked(store: TableStore, spec: TableSpec, check: bool, watch: Watch | None) -> DataFrame:
+    """The published table, whose checks passed; those not counted by the write are counted now."""
     table = store.read(spec.name)
     if check and (spec.custom_checks or any(c.checks for c in spec.columns)):
-        require_passed(run_checks(table, spec))
+        require_passed(run_checks(table, spec, watch.counts if watch else None))
     return table
 
 
@@ -170,8 +191,6 @@ def run_seed(
 ) -> DataFrame:
     """Replace a table by the rows of a seed file."""
     rows = read_seed(store.spark, path, spec, on_bad_cell)
-    store.replace(spec, rows)
-    table = store.read(spec.name)
-    if check and (spec.custom_checks or any(c.checks for c in spec.columns)):
-        require_passed(run_checks(table, spec))
-    return table
+    watch = _watch(store, spec, check)
+    store.replace(spec, rows, watch)
+    return _checked(store, spec, check, watch)

@@ -1,13 +1,16 @@
 """Column quality checks: how many rows break each rule.
 
 A table's checks share one aggregation pass, save ``unique``, which needs one
-shuffle of per-key counts for each column. NULLs pass every check but
+shuffle of per-key counts for each column. A table that is written whole has its
+row checks counted by the write itself (``Watch``). NULLs pass every check but
 ``not_null``. A check passes when no row breaks it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,11 +51,56 @@ def repeated(df: DataFrame, column: str) -> DataFrame:
     return per_value.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("bad_rows"))
 
 
-def run_checks(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """All checks of a table as rows ``(column, check, bad_rows, passed)``."""
+class Watch:
+    """Counts a table's row checks while its rows are written, without another pass over them.
+
+    ``apart`` names columns that the table may hold otherwise than the rows do, as the
+    partition columns, whose empty strings are stored as NULL; theirs are not counted.
+    """
+
+    def __init__(self, spec: TableSpec, apart: Sequence[str] = ()) -> None:
+        left = {name.lower() for name in apart}
+        self._checks = [
+            (i, c.name, check)
+            for i, (c, check) in enumerate((c, check) for c in spec.columns for check in c.checks)
+            if check.kind != "unique" and c.name.lower() not in left
+        ]
+        self._seen: Observation | None = None
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        """``rows`` as they are. To be written next: the counts are of the write's last stage, whose tasks count once."""
+        if not self._checks:
+            return rows
+        self._seen = Observation()
+        return rows.observe(
+            self._seen, *[F.count_if(bad_row(name, check)).alias(f"c{i}") for i, name, check in self._checks]
+        )
+
+    @property
+    def counts(self) -> dict[int, int]:
+        """Bad rows by the number of the check, once the rows were written."""
+        if self._seen is None:
+            return {}
+        seen = self._seen.get
+        return {i: seen[f"c{i}"] for i, _, _ in self._checks}
+
+
+def run_checks(df: DataFrame, spec: TableSpec, counted: Mapping[int, int] | None = None) -> DataFrame:
+    """All checks of a table as rows ``(column, check, bad_rows, passed)``.
+
+    ``counted`` has the bad rows of those that were counted already, as ``Watch.counts``.
+    """
     wanted = [(c.name, check) for c in spec.columns for check in c.checks]
-    rows_checks = [(name, check) for name, check in wanted if check.kind != "unique"]
+    known = [(*wanted[i], bad) for i, bad in (counted or {}).items()]
+    rows_checks = [
+        (name, check)
+        for i, (name, check) in enumerate(wanted)
+        if check.kind != "unique" and i not in (counted or {})
+    ]
     frames = []
+    if known:
+        listed = [(name, check.kind, bad) for name, check, bad in known]
+        frames.append(df.sparkSession.createDataFrame(listed, "column string, check string, bad_rows long"))
     if rows_checks:
         counts = [
             F.struct(

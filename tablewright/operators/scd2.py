@@ -2,7 +2,7 @@
 
 Each key has at most one open version. A run closes versions that changed or
 vanished and opens new ones; closed versions are not read, and if few keys are
-touched only their versions are written.
+touched only their versions are written, else those in the files that hold them.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..plans.bind import find, stored
 from ..plans.change import Change
 from ..plans.match import match_rows
 from ..plans.sizing import Limits
-from ..plans.touched import distinct_values, one_of
+from ..plans.touched import FILE, distinct_values, file_names, in_files, one_of
 from ..spec import IS_CURRENT, OPEN_END, SCD2_BY_COLUMN, VALID_FROM, VALID_UNTIL, SpecError, TableSpec
 
 
@@ -112,28 +112,44 @@ def change(
         .when(F.coalesce(changed, F.lit(False)), F.array(closed(superseded), version(new)))
         .otherwise(F.array(version(t_of)))
     )
-    current = target.filter(F.col(quote(IS_CURRENT)))
+    given = target if limits.filed is None else limits.filed
+    current = given.filter(F.col(quote(IS_CURRENT)))
     matched = match_rows(current, rows, keys, limits)
-    goes = quote(IS_CURRENT)
+    key, file = f"t{schema.names.index(keys[0])}", f"t{len(schema)}"
     touched = F.col("in_target") & (~F.col("in_source") | F.coalesce(changed, F.lit(False)))
-    reached = _touched_keys(target, matched.filter(touched).select(t_of[keys[0]].alias(keys[0])), keys[0], limits)
-    if reached is not None:
-        # Versions with other keys stay stored where they are; NULL keys match nothing, so all of them close.
-        own = F.expr(reached.replace(quote(keys[0]), f"t{schema.names.index(keys[0])}"))
+    goes, own = _touched(target, matched.filter(touched), keys[0], key, file, limits)
+    if own is not None:
         matched = matched.filter(~F.col("in_target") | own)
-        goes = f"{goes} AND ({reached})"
     return Change(goes, matched.select(F.inline(versions)))
 
 
-def _touched_keys(target: DataFrame, touched: DataFrame, key: str, limits: Limits) -> str | None:
-    """A predicate of the touched versions by their first key, if few values of it are touched."""
-    field = find(target.schema, key)
-    if not limits.list_keys or not has_literal(field.dataType):
-        return None
-    values = distinct_values(touched, field, limits.literal_values + 1)
-    if len(values) > limits.literal_values:
-        return None
-    return f"{one_of(target, field, values)} OR {quote(key)} IS NULL"
+def _touched(
+    target: DataFrame, touched: DataFrame, key: str, t_key: str, t_file: str, limits: Limits
+) -> tuple[str, Column | None]:
+    """The stored versions to write again, and the same of a match; with ``None`` all open ones.
+
+    Versions with the touched values of the first key, if these are few; else those of the files
+    with a touched version, if the target's files are known and not too many of them are touched.
+    NULL keys match nothing, so all of them close.
+    """
+    current, field = quote(IS_CURRENT), find(target.schema, key)
+    if not limits.list_keys:
+        return current, None
+    stored = [] if limits.filed is None else [F.col(t_file)]
+    rows = touched.select(F.col(t_key).alias(key), *stored).persist()
+    try:
+        if has_literal(field.dataType):
+            values = distinct_values(rows, field, limits.literal_values + 1)
+            if len(values) <= limits.literal_values:
+                reached = f"{one_of(target, field, values)} OR {quote(key)} IS NULL"
+                return f"{current} AND ({reached})", F.expr(reached.replace(quote(key), t_key))
+        if stored:
+            names = file_names(rows, t_file, limits)
+            if names is not None:
+                return f"{current} AND {in_files(names)}", F.col(t_file).isin(names)
+    finally:
+        rows.unpersist()
+    return current, None
 
 
 def _differs(

@@ -19,7 +19,7 @@ from ..plans.bind import bind, find, pick
 from ..plans.change import EVERYTHING, NOTHING, Change
 from ..plans.match import any_null, match_rows, unmatched
 from ..plans.sizing import Limits, measure
-from ..plans.touched import distinct_values, one_of, reachable, session_zone
+from ..plans.touched import distinct_values, one_of, reachable, rewritten, session_zone
 from ..spec import RunWindow, SpecError, TableSpec
 from . import scd2
 
@@ -129,8 +129,8 @@ def delete_insert(
     """Replace all rows whose key occurs in the source; NULL keys never do.
 
     Few distinct keys become a literal list, which reaches the target's scan
-    and leaves stored rows where they are. Beyond that the rows that stay are
-    found with an anti join and written again.
+    and leaves stored rows where they are. Beyond that the rows that stay in the
+    touched part or files are found with an anti join and written again.
     """
     key = find(target.schema, spec.incremental_key)
     rows = bind(source, target.schema, spec.by_name)
@@ -141,8 +141,7 @@ def delete_insert(
         return Change(NOTHING, rows)
     if size.rows <= limits.literal_values and has_literal(key.dataType):
         return Change(one_of(target, key, distinct_values(keys, key, size.rows)), rows)
-    reached = reachable(target, keys, [key.name], spec.partition_by, size, limits)
-    touched = target if reached is None else target.filter(F.expr(reached))
+    reached, touched = rewritten(target, keys, [key.name], spec.partition_by, size, limits)
     kept = unmatched(
         touched, keys, [key.name], False, limits=limits, known_is_smaller=True, size=size
     )
@@ -196,8 +195,7 @@ def merge(spec: TableSpec, target: DataFrame, source: DataFrame, limits: Limits)
         new = unmatched(rows, known, keys, null_safe=False, limits=limits)
         return Change(NOTHING, _widened(new, schema))
     size = measure(rows, keys[0])
-    reached = reachable(target, rows, keys, spec.partition_by, size, limits)
-    touched = target if reached is None else target.filter(F.expr(reached))
+    reached, touched = rewritten(target, rows, keys, spec.partition_by, size, limits)
     matched = match_rows(touched, rows, keys, limits, size)
     both = F.col("in_target") & F.col("in_source")
     if spec.newer_by:

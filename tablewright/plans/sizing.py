@@ -36,6 +36,9 @@ class Limits:
     ``list_keys`` a change names the few keys it reaches even where their range
     is narrow: planning costs one more pass over the keys, but stored rows
     between them are not written again, so stored tables are changed that way.
+    ``filed`` holds a stored target's rows with the file of each (see
+    ``touched.FILE``): a change of more keys then rewrites the files that hold them,
+    unless these are more than ``files``.
     """
 
     broadcast_rows: int = 1_000_000
@@ -43,6 +46,8 @@ class Limits:
     literal_values: int = 200
     hot_share: float | None = None
     list_keys: bool = False
+    filed: DataFrame | None = None
+    files: int = 500
 
     def share(self, spark: SparkSession) -> float:
         if self.hot_share is not None:

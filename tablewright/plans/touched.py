@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.literals import exact, has_literal, sql_literal
+from ..functions.literals import exact, has_literal, sql_literal, text_literal
 from ..functions.types import quote
 from .sizing import Limits, Size
 
+#: Column of ``Limits.filed``: the name of the file a stored row lies in.
+FILE = "__file"
+
 
 def session_zone(df: DataFrame) -> str:
     return df.sparkSession.conf.get("spark.sql.session.timeZone")
@@ -80,3 +83,41 @@ def reachable(
         return inside
     seen = target.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.expr(inside)).alias("inside")).first()
     return inside if seen["inside"] * 2 < seen["all"] else None
+
+
+def file_names(rows: DataFrame, file: str, limits: Limits) -> list[str] | None:
+    """The distinct file names of ``rows``; ``None`` if they are more than ``limits.files``."""
+    found = rows.select(file).distinct().limit(limits.files + 1).collect()
+    return sorted(row[0] for row in found) if len(found) <= limits.files else None
+
+
+def in_files(names: Sequence[str]) -> str:
+    """A predicate of the stored rows of these files; it reaches the listing of a part's files."""
+    return f"_metadata.file_name IN ({', '.join(text_literal(name) for name in names)})" if names else "FALSE"
+
+
+def rewritten(
+    target: DataFrame,
+    keyed: DataFrame,
+    keys: Sequence[str],
+    partition_by: Sequence[str],
+    size: Size,
+    limits: Limits,
+) -> tuple[str | None, DataFrame]:
+    """What a change of the keys of ``keyed`` replaces: a predicate (``None``: all) and the rows.
+
+    Few keys are listed. The files that hold more are found by a semi join that
+    reads the target's keys only; it needs keys that can be broadcast.
+    """
+    reached = reachable(target, keyed, keys, partition_by, size, limits)
+    touched = target if reached is None else target.filter(F.expr(reached))
+    if limits.filed is None or size.rows <= limits.literal_values or not size.fits_broadcast(limits):
+        return reached, touched
+    within = limits.filed if reached is None else limits.filed.filter(F.expr(reached))
+    names = [f"k{i}" for i in range(len(keys))]
+    stored = within.select(*[F.col(quote(key)).alias(name) for key, name in zip(keys, names)], FILE)
+    wanted = keyed.select(*[F.col(quote(key)).alias(name) for key, name in zip(keys, names)]).distinct()
+    files = file_names(stored.join(F.broadcast(wanted), names, "left_semi"), FILE, limits)
+    if files is None:
+        return reached, touched
+    return in_files(files), limits.filed.filter(F.col(FILE).isin(files)).drop(FILE)

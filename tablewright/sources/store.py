@@ -29,10 +29,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ..functions.literals import text_literal
 from ..functions.types import quote, quote_table
 from ..plans.change import EVERYTHING, NOTHING, Change, keep_unless
+from ..plans.curve import curve
+from ..plans.touched import FILE
+from ..operators.checks import Watch
 from ..spec import IS_CURRENT, TableSpec
 
 _STATE = "tablewright.state"
@@ -149,6 +153,21 @@ class TableStore:
             self.adopt(name)
         return self.read(name)
 
+    def filed(self, name: str) -> DataFrame | None:
+        """The table's rows with the name of the file each is stored in, as ``touched.FILE``.
+
+        ``None`` where files are not known: other views, and tables taken over
+        that are no files to Spark or hide the files' names by a column of theirs.
+        """
+        state = self.state(name)
+        columns = self.read(name).columns
+        if state is None or not state.parts or {"_metadata", FILE} & {c.lower() for c in columns}:
+            return None
+        try:
+            return self.spark.sql(_select(columns, state.parts, f"_metadata.file_name AS {FILE}"))
+        except AnalysisException:
+            return None
+
     # -- changing tables ---------------------------------------------------
 
     def create_schema(self, name: str) -> None:
@@ -169,9 +188,9 @@ class TableStore:
         self.commit(spec, Change(EVERYTHING, empty))
         return True
 
-    def replace(self, spec: TableSpec, rows: DataFrame) -> None:
+    def replace(self, spec: TableSpec, rows: DataFrame, watch: Watch | None = None) -> None:
         """Make the table consist of ``rows``, with their schema."""
-        self.commit(spec, Change(EVERYTHING, rows), new_layout=True)
+        self.commit(spec, Change(EVERYTHING, rows), new_layout=True, watch=watch)
 
     def has_batch(self, name: str, batch: tuple[str, int]) -> bool:
         """Whether a stream's batch, or a later one, is in the published table."""
@@ -179,11 +198,17 @@ class TableStore:
         return state is not None and dict(state.batches).get(batch[0], -1) >= batch[1]
 
     def commit(
-        self, spec: TableSpec, change: Change, new_layout: bool = False, batch: tuple[str, int] | None = None
+        self,
+        spec: TableSpec,
+        change: Change,
+        new_layout: bool = False,
+        batch: tuple[str, int] | None = None,
+        watch: Watch | None = None,
     ) -> None:
         """Write the rows of ``change`` and publish the next state of the table.
 
         The ``batch`` of a stream is published in the same statement as its rows.
+        ``watch`` counts checks of the rows while they are written.
         """
         self.create_schema(spec.name)
         full = self.full_name(spec.name)
@@ -204,7 +229,7 @@ class TableStore:
             schema = self.read(full).schema
         schema = _described(schema, spec)
 
-        written = self._write(full, version, change.rows, partition_by, cluster_by, spec.is_scd2)
+        written = self._write(full, version, change.rows, partition_by, cluster_by, spec.is_scd2, watch=watch)
         if change.goes is NOTHING:
             kept = old_parts
         elif change.goes == EVERYTHING:
@@ -372,6 +397,7 @@ class TableStore:
         cluster_by: Sequence[str],
         scd2: bool,
         apart: bool = True,
+        watch: Watch | None = None,
     ) -> tuple[Part, ...]:
         part = _part_name(full, version)
         if cluster_by:
@@ -383,6 +409,8 @@ class TableStore:
         if partition_by:
             # One shuffle towards few files; partitions that are large are split.
             rows = rows.hint("rebalance", *[F.col(quote(c)) for c in layout])
+        if watch is not None:
+            rows = watch(rows)
         writer = rows.write.format("parquet")
         if layout:
             writer = writer.partitionBy(*layout)
@@ -466,8 +494,8 @@ def _part_name(full: str, version: int) -> str:
     return f"{full}__p{version:06d}_{uuid.uuid4().hex[:8]}".lower()
 
 
-def _select(names: Sequence[str], parts: Sequence[Part]) -> str:
-    columns = ", ".join(quote(name) for name in names)
+def _select(names: Sequence[str], parts: Sequence[Part], *more: str) -> str:
+    columns = ", ".join([*(quote(name) for name in names), *more])
     selects = []
     for part in parts:
         where = " AND ".join(f"({condition})" for condition in part.conditions)
@@ -496,7 +524,8 @@ def _described(schema: T.StructType, spec: TableSpec) -> T.StructType:
 def _clustered(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Range-sorted rows, so that files cover narrow value ranges.
 
-    Rows of one frequent value are spread too: ranges are cut within it by the
+    Several columns are laid along a curve, so that a filter on any of them reads
+    few files. Rows of one frequent value are spread too: ranges are cut within it by the
     row's hash and, for copies of a row, by the partition it was read in.
     """
     names = rows.columns
@@ -506,6 +535,10 @@ def _clustered(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.spark_partition_id().alias("__read"),
     )
     by = [F.col(quote(c)) for c in columns]
+    place = curve(rows, [rows.select(c).columns[0] for c in by]) if len(by) > 1 else None
+    if place is not None:
+        spread = spread.withColumn("__place", place)
+        by.insert(0, F.col("__place"))
     ranged = spread.repartitionByRange(*by, F.col("__row"), F.col("__read"))
     return ranged.sortWithinPartitions(*by).select(*[F.col(quote(c)) for c in names])
 

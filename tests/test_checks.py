@@ -5,6 +5,8 @@ from collections import Counter
 import pytest
 
 from frames import collected, spark_frame
+from tablewright import assets
+from tablewright.operators import checks
 from tablewright import (
     Check,
     CheckFailed,
@@ -164,3 +166,47 @@ def test_custom_checks_are_exact(spark):
     assert not custom_check(df, "none", "SELECT 0 AS n WHERE FALSE").first()["passed"]
     with pytest.raises(Exception, match="more than one row"):
         custom_check(df, "two", "SELECT * FROM VALUES (0), (7)").collect()
+
+
+WATCHED = (
+    ColumnSpec("k", "bigint", checks=(Check("unique"), Check("not_null"), Check("max", 90))),
+    ColumnSpec("p", "string", checks=(Check("not_null"),)),
+    ColumnSpec("v", "string", checks=(Check("accepted_values", ["a", "b"]), Check("pattern", "^[ab]"))),
+)
+
+
+def watched_rows(spark):
+    return spark.range(200).selectExpr(
+        "IF(id % 50 = 0, NULL, id % 100) AS k", "IF(id % 40 = 0, '', 'x') AS p", "IF(id % 20 = 0, 'c', 'a') AS v"
+    )
+
+
+@pytest.mark.parametrize("layout", [{}, {"partition_by": "p"}, {"cluster_by": "k"}, {"cluster_by": ("k", "v")}])
+@pytest.mark.parametrize("strategy", ["create+replace", "truncate+insert"])
+def test_checks_counted_by_the_write_equal_those_of_a_scan(spark, store, monkeypatch, layout, strategy):
+    spec = TableSpec(f"{store.schema}.t", WATCHED, strategy=strategy, bootstrap=True, custom_checks=(), **layout)
+    seen = []
+    monkeypatch.setattr(assets, "require_passed", lambda results: seen.append(results))
+    for rows in (watched_rows(spark), watched_rows(spark).limit(0), watched_rows(spark)):
+        table = assets.materialize(store, spec, rows)
+        scanned = checks.run_checks(table, spec)
+        assert sorted(seen[-1].collect()) == sorted(scanned.collect())
+        # The table is scanned for `unique` and for what its partition columns may hold otherwise.
+        assert scans(seen[-1]) == (2 if "partition_by" in layout else 1) and scans(scanned) == 2
+
+
+def test_a_failed_watched_check_names_its_rows(spark, store):
+    spec = TableSpec(f"{store.schema}.t", WATCHED[2:])
+    with pytest.raises(checks.CheckFailed, match="v accepted_values: 10 rows; v pattern: 10 rows"):
+        assets.materialize(store, spec, watched_rows(spark))
+
+
+def test_a_partial_change_is_checked_over_the_whole_table(spark, store):
+    spec = TableSpec(f"{store.schema}.t", WATCHED[2:], strategy="append", bootstrap=True)
+    assets.materialize(store, spec, watched_rows(spark), check=False)
+    with pytest.raises(checks.CheckFailed, match="v accepted_values: 10 rows"):
+        assets.materialize(store, spec, watched_rows(spark).filter("v = 'a'"))
+
+
+def scans(df):
+    return df._jdf.queryExecution().analyzed().toString().count("Relation ")

@@ -504,3 +504,113 @@ def test_staged_copies_go_after_the_commit(spark, store):
     materialize(store, TableSpec(name), rows(spark, 0, 10))
     materialize(store, TableSpec(name, strategy="delete+insert", incremental_key="id"), rows(spark, 3, 8))
     assert set(glob.glob(f"{folder}/tablewright-stage/*")) == before
+
+
+def scattered(spark, store, name, spec, count=200_000, files=40):
+    """A table whose files cover narrow ranges of ``id``; it has ``files`` of them."""
+    stored = spark.range(count).selectExpr("id", "DATE'2024-01-01' AS day", "CAST(id AS INT) AS n")
+    materialize(store, spec, stored.repartitionByRange(files, "id"), full_refresh=True, now=NOW)
+    return count // files
+
+
+def keys_in_three_files(spark, each):
+    """402 keys, in the first, a middle and the last of the 40 files."""
+    return spark.sql(
+        f"SELECT f * {each} + i * 7 AS id, DATE'2024-01-02' AS day, -1 AS n FROM "
+        "(SELECT explode(array(0, 17, 39)) AS f), (SELECT id AS i FROM range(134))"
+    ).selectExpr("CAST(id AS BIGINT) AS id", "day", "n")
+
+
+@pytest.mark.parametrize("strategy", ["merge", "delete+insert"])
+def test_many_scattered_keys_rewrite_the_files_that_hold_them(spark, store, many_partitions, strategy):
+    name = f"{store.schema}.t"
+    spec = TableSpec(name, KEYS, strategy=strategy, incremental_key="id" if strategy != "merge" else None, bootstrap=True)
+    each = scattered(spark, store, name, spec)
+    source = keys_in_three_files(spark, each)
+    before = store.filed(name)
+    touched = before.join(before.join(source, "id", "left_semi").select("__file").distinct(), "__file").count()
+    got = materialize(store, spec, source)
+    base, new = parts(store, name)
+    assert new.rows == touched < 6 * each and base.left == 200_000 - touched
+    assert got.count() == 200_000 and got.select("id").distinct().count() == 200_000
+    assert got.filter("n = -1").count() == 402 and got.join(source, "id", "left_semi").filter("n <> -1").count() == 0
+    assert "_metadata.file_name" in base.keep[0]
+    # The old files are not even listed for a read.
+    assert len(set(spark.table(base.table).filter(base.keep[0]).select("_metadata.file_name").distinct().collect())) <= 37
+    # Again on a table of two parts, one of them masked; new keys touch no file.
+    more = spark.sql("SELECT 200000 + id AS id, DATE'2024-01-02' AS day, -2 AS n FROM range(300)").union(
+        source.filter(f"id < {each}").selectExpr("id", "day", "-3")
+    )
+    got = materialize(store, spec, more)
+    assert got.count() == 200_300
+    assert Counter({r["n"]: r["count"] for r in got.filter("n < 0").groupBy("n").count().collect()}) == Counter({-1: 268, -2: 300, -3: 134})
+
+
+def test_many_changed_versions_rewrite_the_files_that_hold_them(spark, store, many_partitions):
+    name = f"{store.schema}.t"
+    spec = TableSpec(name, KEYS, strategy="scd2_by_column", bootstrap=True)
+    each = scattered(spark, store, name, spec)
+    source = (
+        store.read(name)
+        .selectExpr("id", "day", f"CASE WHEN id % {each} < 134 AND floor(id / {each}) IN (0, 17, 39) THEN -1 ELSE n END AS n")
+        .filter("id <> 3")
+        .union(spark.sql("SELECT CAST(NULL AS BIGINT), DATE'2024-01-02', 5"))
+    )
+    got = materialize(store, spec, source, now=datetime(2024, 6, 2))
+    assert got.filter("_is_current").count() == 200_000 and got.filter("n = -1 AND _is_current").count() == 401
+    closed = got.filter("NOT _is_current")
+    assert closed.count() == 402 and closed.filter("id = 3").count() == 1
+    base, *written = parts(store, name)
+    assert sum(p.rows for p in written) < 6 * each and base.left > 200_000 - 6 * each
+    # The open version with a NULL key closes, beside many others.
+    got = materialize(store, spec, source.filter("id IS NOT NULL AND id % 500 > 0"), now=datetime(2024, 6, 3))
+    assert got.filter("_is_current AND id IS NULL").count() == 0
+    assert got.filter("_is_current").count() == 200_000 - 1 - 400
+
+
+def files_read(table, column, value):
+    """Of how many files the filter ``column = value`` needs, by their least and greatest values."""
+    ends = table.groupBy("_metadata.file_name").agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    kept = ends.agg(F.count_if(F.lit(value).between(F.col("low"), F.col("high"))), F.count("*")).first()
+    return tuple(kept)
+
+
+@pytest.mark.parametrize(
+    "second, value",
+    [
+        ("(id * 104729) % 50000", 31234),
+        ("date_add(DATE'2000-01-01', CAST((id * 104729) % 50000 AS INT))", "2050-03-01"),
+        ("concat('Customer#', lpad((id * 104729) % 50000, 9, '0'))", "Customer#000031234"),
+        ("CAST((id * 104729) % 50000 AS DECIMAL(20, 2)) / 7", 1234.5),
+        ("IF(id % 10 = 0, NULL, TIMESTAMP_NTZ'2024-01-01 00:00:00' + INTERVAL '1' SECOND * ((id * 104729) % 50000))", "2024-01-01 09:00:00"),
+    ],
+)
+def test_several_cluster_columns_each_skip_files(spark, store, many_partitions, second, value):
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        name = f"{store.schema}.t"
+        source = spark.range(0, 100000, 1, 8).selectExpr("(id * 7919) % 100000 AS v", f"{second} AS w", "id")
+        got = materialize(store, TableSpec(name, cluster_by=("v", "w")), source)
+        assert got.count() == 100000 and got.agg(F.countDistinct("id")).first()[0] == 100000
+        table = spark.table(parts(store, name)[0].table)
+        value = F.lit(value).cast(table.schema["w"].dataType)
+        for column, at in (("v", F.lit(31234)), ("w", value)):
+            needed, files = files_read(table, column, at)
+            assert files >= 40 and needed <= files * 0.4, (column, needed, files)
+        # Along the first column alone the second would need them all.
+        materialize(store, TableSpec(name, cluster_by="v"), source)
+        needed, files = files_read(spark.table(parts(store, name)[0].table), "w", value)
+        assert needed >= files * 0.8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_cluster_columns_with_nulls_ties_and_no_rows(spark, store):
+    name = f"{store.schema}.t"
+    rows = spark.range(300).selectExpr(
+        "IF(id % 3 = 0, NULL, id % 2) AS a", "CAST(NULL AS STRING) AS b", "'same' AS c",
+        "CASE id % 4 WHEN 0 THEN DOUBLE('NaN') WHEN 1 THEN DOUBLE('-Infinity') WHEN 2 THEN NULL ELSE 1 END AS d", "id % 2 = 0 AS e", "array(id) AS f",
+    )
+    for layout in (("a", "b", "c", "d", "e"), ("a", "f")):
+        assert collected(materialize(store, TableSpec(name, cluster_by=layout), rows).select("a", "b", "c", "e")) == collected(rows.select("a", "b", "c", "e"))
+        assert materialize(store, TableSpec(name, cluster_by=layout), rows.limit(0)).count() == 0
