@@ -21,6 +21,11 @@ SELECT o_orderkey * 2 AS o_orderkey, o_custkey, 'U' AS o_orderstatus,
        o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
 FROM {orders}"""
 
+# Keys scattered over all orders, too many to list.
+ORDERS_URGENT = """
+SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+FROM {orders} WHERE o_orderpriority = '1-URGENT'"""
+
 # Most dates occur among the orders, the last 400 days are new.
 ORDERS_LATER = """
 SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1 AS o_totalprice,

@@ -6,7 +6,7 @@ with NOT EXISTS in place of joins.
 
 from __future__ import annotations
 
-from . import inputs, streams, temporal
+from . import inputs, streams, temporal, totals
 from .inputs import plain_sql
 
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -53,11 +53,11 @@ def _updated(name: str, key: str) -> str:
     return f"CASE WHEN s.{key} IS NULL THEN t.{name} ELSE s.{name} END"
 
 
-def _merge_orders() -> str:
+def _merge_orders(source: str = inputs.ORDERS_S) -> str:
     columns = {name: f"t.{name}" for name in _ORDERS.split(", ")}
     for name in ("o_orderstatus", "o_totalprice"):
         columns[name] = _updated(name, "o_orderkey")
-    return _merge(inputs.ORDERS_T, inputs.ORDERS_S, ["o_orderkey"], columns, list(columns))
+    return _merge(inputs.ORDERS_T, source, ["o_orderkey"], columns, list(columns))
 
 
 def _merge_insert_only() -> str:
@@ -228,6 +228,8 @@ def all_oracles() -> dict[str, str]:
         "truncate_insert_orders_published": rebuilt,
         "delete_insert_orders_published": delete_orders,
         "merge_orders_published": _merge_orders(),
+        "merge_urgent_orders_published": _merge_orders(inputs.ORDERS_URGENT),
+        "delete_insert_urgent_orders_published": _delete_insert(inputs.ORDERS_T, inputs.ORDERS_URGENT, "o_orderkey"),
         "merge_orders": _merge_orders(),
         "merge_orders_shuffled": _merge_orders(),
         "merge_hot_key": _merge_hot(),
@@ -294,6 +296,7 @@ def all_oracles() -> dict[str, str]:
             "WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)"
         ),
         "check_suite": _check_suite(),
+        "check_suite_written": _check_suite(),
         "seed_customer": "SELECT * FROM customer",
         "seed_documents": "SELECT * FROM documents",
         "seed_documents_split": "SELECT * FROM documents",
@@ -316,4 +319,5 @@ def all_oracles() -> dict[str, str]:
         "python_enrich_events": events,
         **streams.ORACLES,
         **temporal.ORACLES,
+        **totals.ORACLES,
     }

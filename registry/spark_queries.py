@@ -16,7 +16,7 @@ from tablewright import (
     Limits,
     RunWindow,
     TableSpec,
-    TableStore,
+    Watch,
     gate_query,
     gate_table,
     materialize,
@@ -27,15 +27,13 @@ from tablewright import (
     run_seed,
 )
 
-from tablewright.sources.store import shared_folder
-
-from . import inputs, streams, temporal
+from . import inputs, streams, temporal, totals
 from .inputs import rows, spark_sql
+from .tables import fresh, new_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 NOW = datetime(2024, 6, 1)
-SCHEMA = "tablewright_registry"
 YEAR_1998 = RunWindow("1998-01-01", "1998-12-31")
 MID_JANUARY = RunWindow("2024-01-10", "2024-01-20")
 # Forces the form for sources that are too large to broadcast.
@@ -73,18 +71,6 @@ DIM_COLUMNS = (
 DIM_DATED_COLUMNS = (*DIM_COLUMNS, column("updated_at", "timestamp_ntz"))
 
 
-def new_store(spark: SparkSession) -> TableStore:
-    return TableStore(spark, location=f"{shared_folder(spark)}/{SCHEMA}-{uuid.uuid4().hex}")
-
-
-def fresh(store: TableStore, table: str) -> str:
-    """A table name of the registry that no table has yet."""
-    name = f"{SCHEMA}.{table}"
-    if store.state(name) is not None:
-        store.drop(name)
-    return name
-
-
 def pair(
     spec: TableSpec, target: str, source: str, window: RunWindow | None = None, **options
 ) -> Query:
@@ -247,9 +233,9 @@ def check_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_checks(rows(spark, sf_dir, "SELECT * FROM {lineitem}"), spec)
 
 
-def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spec = TableSpec(
-        "lineitem",
+def _suite(name: str, sf_dir: str) -> TableSpec:
+    return TableSpec(
+        name,
         (
             column("l_orderkey", checks=(Check("not_null"), Check("unique"), Check("non_negative"))),
             column("l_linenumber", checks=(Check("positive"), Check("unique"))),
@@ -262,7 +248,19 @@ def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
             CustomCheck("any_rows", spark_sql("SELECT COUNT(*) > 0 FROM {lineitem}", sf_dir), 1),
         ),
     )
-    return run_checks(rows(spark, sf_dir, "SELECT * FROM {lineitem}"), spec)
+
+
+def check_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_checks(rows(spark, sf_dir, "SELECT * FROM {lineitem}"), _suite("lineitem", sf_dir))
+
+
+def check_suite_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, the row checks counted while the table is written."""
+    store = new_store(spark)
+    spec = _suite(fresh(store, "checked_lines"), sf_dir)
+    watch = Watch(spec)
+    store.replace(spec, rows(spark, sf_dir, "SELECT * FROM {lineitem}"), watch)
+    return run_checks(store.read(spec.name), spec, watch.counts)
 
 
 def _seeded(
@@ -448,6 +446,18 @@ def all_queries() -> dict[str, Query]:
         "merge_orders_published": published(
             lambda name: orders_spec("merge", name), "merged_orders", inputs.ORDERS_T, inputs.ORDERS_S
         ),
+        "merge_urgent_orders_published": published(
+            lambda name: orders_spec("merge", name, cluster_by="o_orderkey"),
+            "urgent_orders",
+            inputs.ORDERS_T,
+            inputs.ORDERS_URGENT,
+        ),
+        "delete_insert_urgent_orders_published": published(
+            lambda name: orders_spec("delete+insert", name, incremental_key="o_orderkey", cluster_by="o_orderkey"),
+            "replaced_urgent_orders",
+            inputs.ORDERS_T,
+            inputs.ORDERS_URGENT,
+        ),
         "merge_orders": pair(merge, inputs.ORDERS_T, inputs.ORDERS_S),
         "merge_orders_shuffled": pair(merge, inputs.ORDERS_T, inputs.ORDERS_S, limits=LARGE),
         "merge_hot_key": pair(hot, inputs.EVENTS_HOT_T, inputs.EVENTS_HOT_S),
@@ -539,6 +549,7 @@ def all_queries() -> dict[str, Query]:
         "check_pattern": one_check("part", "p_brand", Check("pattern", r"^Brand#\d$")),
         "check_custom": check_custom,
         "check_suite": check_suite,
+        "check_suite_written": check_suite_written,
         "seed_customer": seed_customer,
         "seed_documents": seed_documents,
         "seed_documents_split": seed_documents_split,
@@ -549,4 +560,5 @@ def all_queries() -> dict[str, Query]:
         "python_enrich_events": python_enrich_events,
         **streams.QUERIES,
         **temporal.QUERIES,
+        **totals.QUERIES,
     }

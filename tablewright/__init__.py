@@ -1,8 +1,9 @@
 """Keep analytical tables up to date, and check them, with Spark."""
 
-from .assets import materialize, run_python, run_query, run_seed
-from .operators.checks import CheckFailed, require_passed, run_checks
+from .assets import materialize, run_python, run_query, run_rollup, run_seed
+from .operators.checks import CheckFailed, Watch, require_passed, run_checks
 from .operators.gates import NotReady, gate_query, gate_table, require_ready
+from .operators.rollup import Measure, cube, grouping_sets, rollup
 from .operators.strategies import MissingTarget, next_state, plan_change
 from .operators.temporal import asof_join, overlap_join
 from .plans.change import Change
@@ -19,6 +20,7 @@ __all__ = [
     "ColumnSpec",
     "CustomCheck",
     "Limits",
+    "Measure",
     "MissingTarget",
     "NotReady",
     "PublishError",
@@ -28,9 +30,12 @@ __all__ = [
     "TableSpec",
     "TableStore",
     "TransformError",
+    "Watch",
     "asof_join",
+    "cube",
     "gate_query",
     "gate_table",
+    "grouping_sets",
     "materialize",
     "next_state",
     "overlap_join",
@@ -38,8 +43,10 @@ __all__ = [
     "read_seed",
     "require_passed",
     "require_ready",
+    "rollup",
     "run_checks",
     "run_python",
     "run_query",
+    "run_rollup",
     "run_seed",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime
 from typing import Any
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from . import spec as names
 from .functions.types import is_sized_text, quote, sized_text
 from .operators.checks import Watch, require_passed, run_checks
+from .operators.rollup import Measure, refresh, rollup
 from .operators.strategies import MissingTarget, plan_change
 from .plans.bind import find
 from .plans.change import EVERYTHING, Change
@@ -194,3 +196,39 @@ def run_seed(
     watch = _watch(store, spec, check)
     store.replace(spec, rows, watch)
     return _checked(store, spec, check, watch)
+
+
+def run_rollup(
+    store: TableStore,
+    spec: TableSpec,
+    facts: DataFrame,
+    by: Sequence[str],
+    measures: Sequence[Measure],
+    changed: DataFrame | None = None,
+    limits: Limits = Limits(),
+    check: bool = True,
+) -> DataFrame:
+    """Publish the rollup of ``facts``; with ``changed`` leaf groups, only these and what contains them.
+
+    A table that does not exist yet is made whole.
+    """
+    target = store.target(spec.name)
+    staged: list[DataFrame] = []
+
+    def stage(rows: DataFrame) -> DataFrame:
+        staged.append(store.stage(rows))
+        return staged[-1]
+
+    whole = target is None or changed is None
+    try:
+        if whole:
+            change = Change(EVERYTHING, rollup(facts, by, measures))
+        else:
+            known = replace(limits, list_keys=True, filed=store.filed(spec.name))
+            change = refresh(target, facts, changed, by, measures, known, stage)
+        watch = _watch(store, spec, check and change.goes == EVERYTHING)
+        store.commit(spec, change, new_layout=whole, watch=watch)
+    finally:
+        for rows in staged:
+            store.unstage(rows)
+    return _checked(store, spec, check, watch)

@@ -7,6 +7,7 @@ counting jobs while planning (see ``plans.sizing``).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -134,14 +135,22 @@ def delete_insert(
     """
     key = find(target.schema, spec.incremental_key)
     rows = bind(source, target.schema, spec.by_name)
+    return replace_keys(target, rows.select(quote(key.name)), rows, spec.partition_by, limits)
+
+
+def replace_keys(
+    target: DataFrame, keys: DataFrame, rows: DataFrame, partition_by: Sequence[str], limits: Limits
+) -> Change:
+    """``rows`` in place of the target's rows that have a key of ``keys``, which has the key's column only."""
+    key = target.schema[keys.columns[0]]
     name = F.col(quote(key.name))
-    keys = rows.select(name).filter(name.isNotNull()).distinct()
+    keys = keys.filter(name.isNotNull()).distinct()
     size = measure(keys, key.name)
     if not size.rows:
         return Change(NOTHING, rows)
     if size.rows <= limits.literal_values and has_literal(key.dataType):
         return Change(one_of(target, key, distinct_values(keys, key, size.rows)), rows)
-    reached, touched = rewritten(target, keys, [key.name], spec.partition_by, size, limits)
+    reached, touched = rewritten(target, keys, [key.name], partition_by, size, limits)
     kept = unmatched(
         touched, keys, [key.name], False, limits=limits, known_is_smaller=True, size=size
     )
