@@ -6,7 +6,7 @@ with NOT EXISTS in place of joins.
 
 from __future__ import annotations
 
-from . import inputs, streams, temporal, totals
+from . import inputs, journeys, streams, temporal, totals
 from .inputs import plain_sql
 
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -317,6 +317,7 @@ def all_oracles() -> dict[str, str]:
             "WHERE event_date = DATE '2024-01-15' AND user_key IS NULL"
         ),
         "python_enrich_events": events,
+        **journeys.ORACLES,
         **streams.ORACLES,
         **temporal.ORACLES,
         **totals.ORACLES,

@@ -27,7 +27,7 @@ from tablewright import (
     run_seed,
 )
 
-from . import inputs, streams, temporal, totals
+from . import inputs, journeys, streams, temporal, totals
 from .inputs import rows, spark_sql
 from .tables import fresh, new_store
 
@@ -559,6 +559,7 @@ def all_queries() -> dict[str, Query]:
         "gate_table": gate_table_events,
         "python_enrich_events": python_enrich_events,
         **streams.QUERIES,
+        **journeys.QUERIES,
         **temporal.QUERIES,
         **totals.QUERIES,
     }

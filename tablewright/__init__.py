@@ -2,8 +2,10 @@
 
 from .assets import materialize, run_python, run_query, run_rollup, run_seed
 from .operators.checks import CheckFailed, Watch, require_passed, run_checks
+from .operators.funnels import funnels
 from .operators.gates import NotReady, gate_query, gate_table, require_ready
 from .operators.rollup import Measure, cube, grouping_sets, rollup
+from .operators.sketches import Sketch, estimates, merge_sketches, sketch
 from .operators.strategies import MissingTarget, next_state, plan_change
 from .operators.temporal import asof_join, overlap_join
 from .plans.change import Change
@@ -26,6 +28,7 @@ __all__ = [
     "PublishError",
     "RunWindow",
     "SeedError",
+    "Sketch",
     "SpecError",
     "TableSpec",
     "TableStore",
@@ -33,10 +36,13 @@ __all__ = [
     "Watch",
     "asof_join",
     "cube",
+    "estimates",
+    "funnels",
     "gate_query",
     "gate_table",
     "grouping_sets",
     "materialize",
+    "merge_sketches",
     "next_state",
     "overlap_join",
     "plan_change",
@@ -49,4 +55,5 @@ __all__ = [
     "run_query",
     "run_rollup",
     "run_seed",
+    "sketch",
 ]
