@@ -1,25 +1,27 @@
 """Near-duplicate embeddings by a robust-pruned flat graph.
 
 Equal directions of one label are folded into one node. The nodes of a label are
-dealt to cluster shards by their likeness to pivots; a node within ``MARGIN`` of
-its best pivot belongs to the other shard, too, so shards overlap. Shards are cut
-in chunks of bounded size. For each chunk a flat graph is built: of a node's
-nearest candidates those are kept that no nearer kept one leads to (robust
-pruning), links run both ways, and parts that nothing reaches are tied to the first
-entry. Entries cover the chunk: each node is linked with one that is so near that no
-query finds the node without having the entry within ``SLACK`` of its range. A node's
-adjacency lists of all its shards are united.
-
-Every node is also a query in its shards: it meets all entries of a chunk and
-expands those about its range and what turns up about its range from there, until
-nothing new does. So within a chunk no link is lost, however many groups of near
-copies it has; where nodes are far from each other, most are entries. Cosines are
-computed in double precision, and a hit counts in the node's own shard only, so it
-counts once. Of the links a group of hits sends a count per query and a spanning forest,
-never the pairs. Recall is audited against brute force over all nodes: the mean over
-sampled nodes that have a partner, whatever the size of their groups; nodes are drawn
-until ``AUDITED`` of these are found, ``DRAWN`` were looked at or none is left. If it is
-too low, the search is repeated with a wider overlap.
+dealt to cluster shards by their likeness to pivots, whose number grows with the nodes, up to
+twice the square root of all; a node within ``MARGIN`` of its best pivot belongs to the
+other shard, too, so shards overlap. Shards are cut in chunks of bounded size. For each chunk
+a flat graph is built: of a node's nearest candidates those are kept that no nearer kept one
+leads to (robust pruning), and in the same way a few of its nearest hubs. Hubs are a
+sixteenth of the nodes and the medoids, both of clusters and of the parts that nothing
+else reaches (groups of near copies, whose lists hold each other only). Links run both
+ways, and a node's adjacency lists of all its shards are united.
+
+Every node is a query in its own shard, against all that overlap into it, so each link counts
+once at either end. A query meets the medoids of a chunk's clusters, about the square
+root of its nodes, and walks on greedily: it expands the best of a list of ``LIST`` candidates until
+all of the list are expanded, then all that lies about its range, until nothing new
+does. So it compares itself with a part of a chunk that hardly grows with the chunk, besides
+its hits. Cosines are computed in double precision. Of the links a group of
+hits sends a count per query and a spanning forest, never the pairs.
+
+Recall is audited against brute force over all nodes: the mean over sampled nodes that have
+a partner, whatever the size of their groups; nodes are drawn until ``AUDITED`` of these are
+found, ``DRAWN`` were looked at or none is left. If none was found, nodes that the
+search has linked are audited. If recall is too low, the search is repeated with a wider overlap.
 
 Blocks of queries meet chunks of a shard, so a hot shard is many tasks of bounded
 memory; their number grows with the square of its blocks.
@@ -39,15 +41,21 @@ from tablewright.llm.common import components, stage, unstage
 
 #: Nodes of a shard, about, and at most of a chunk or block of queries (about).
 SHARD, BLOCK = 1024, 2048
-#: Pivots, taken from the nodes by hash; overlap of shards in cosine.
+#: Least bound of the pivots, taken from the nodes by hash; overlap of shards in cosine.
 PIVOTS, MARGIN = 128, 0.12
 #: Candidates of a node, links it keeps, slack of the pruning.
-POOL, DEGREE, ALPHA = 40, 20, 1.2
+POOL, DEGREE, ALPHA = 24, 12, 1.2
+#: One node in so many is a hub; hubs that a node looks at, and that it keeps.
+HUB, HUBS_SEEN, HUBS = 16, 12, 4
+#: Candidates on a query's list, of which so many are expanded at once.
+LIST, AT_ONCE = 24, 4
 #: How far below its range, in cosine, a search still expands.
 SLACK = 0.1
 #: Nodes with a partner whose recall is audited, nodes drawn for them at most (about), and the recall wanted.
 AUDITED, DRAWN, RECALL = 256, 4096, 0.95
-PAIRS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 16
+QUERIES_AT_ONCE = 512
+LIKENESS_AT_ONCE = 1 << 22
 
 
 def directions(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
@@ -79,60 +87,57 @@ def directions(vectors: DataFrame, key: str, vector: str, label: str) -> DataFra
 # --- one chunk --------------------------------------------------------------------
 
 
-def _prune(vecs: np.ndarray) -> np.ndarray:
-    """The kept links ``[node, DEGREE]`` of each node, -1 where there are fewer."""
-    n = len(vecs)
-    pool = min(POOL, n - 1)
-    kept = np.full((n, DEGREE), -1, np.int64)
+def _prune(vecs: np.ndarray, among: np.ndarray, pool: int, degree: int, alpha: float) -> np.ndarray:
+    """The kept links ``[node, degree]`` of each node to nodes of ``among``, -1 where there are fewer."""
+    n, others = len(vecs), vecs[among]
+    pool = min(pool, len(among) - 1)
+    kept = np.full((n, degree), -1, np.int64)
     if pool < 1:
         return kept
+    place = np.full(n, -1)
+    place[among] = np.arange(len(among))
     for start in range(0, n, 256):
         rows = np.arange(start, min(n, start + 256))
-        likeness = vecs[rows] @ vecs.T
-        likeness[np.arange(len(rows)), rows] = -2
+        each = np.arange(len(rows))
+        likeness = vecs[rows] @ others.T
+        self_ = np.flatnonzero(place[rows] >= 0)
+        likeness[self_, place[rows][self_]] = -2
         near = np.argpartition(-likeness, pool - 1, axis=1)[:, :pool]
         order = np.argsort(-np.take_along_axis(likeness, near, 1), axis=1, kind="stable")
         near = np.take_along_axis(near, order, 1)
         apart = np.sqrt(np.maximum(2 - 2 * np.take_along_axis(likeness, near, 1), 0))
+        between = alpha * np.sqrt(np.maximum(2 - 2 * others[near] @ others[near].transpose(0, 2, 1), 0))
         open_ = np.ones(near.shape, bool)
-        for k in range(DEGREE):
+        for k in range(degree):
             first = open_.argmax(axis=1)
-            any_ = open_[np.arange(len(rows)), first]
+            any_ = open_[each, first]
             if not any_.any():
                 break
-            chosen = near[np.arange(len(rows)), first]
-            kept[rows[any_], k] = chosen[any_]
-            between = np.einsum("nd,npd->np", vecs[chosen], vecs[near])
-            open_ &= ALPHA * np.sqrt(np.maximum(2 - 2 * between, 0)) > apart
-            open_[np.arange(len(rows)), first] = False
+            kept[rows[any_], k] = among[near[each, first][any_]]
+            open_ &= between[each, first] > apart
+            open_[each, first] = False
     return kept
 
 
-def _cover(vecs: np.ndarray, least: float) -> np.ndarray:
-    """The entry of each node: angles from a query to a hit and on to its entry add up to ``SLACK`` below ``least`` at most."""
-    wide = np.arccos(np.clip([least, least - SLACK], -1, 1))
-    nearest = np.cos(max(0.0, wide[1] - wide[0] - 1e-6))
-    entry = np.full(len(vecs), -1)
-    for start in range(0, len(vecs), 256):
-        rows = start + np.flatnonzero(entry[start : start + 256] < 0)
-        near = vecs[rows] @ vecs.T >= nearest
-        for k, row in enumerate(rows):
-            if entry[row] < 0:
-                entry[near[k] & (entry < 0)] = row
-                entry[row] = row
-    return entry
+def _links(kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    source, slot = np.nonzero(kept >= 0)
+    return source, kept[source, slot]
+
+
+def _medoids(vecs: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Of each group the node most like its mean."""
+    _, group = np.unique(group, return_inverse=True)
+    sums = np.zeros((group.max() + 1, vecs.shape[1]))
+    np.add.at(sums, group, vecs)
+    order = np.lexsort((-np.einsum("nd,nd->n", vecs, sums[group]), group))
+    return order[np.searchsorted(group[order], np.arange(len(sums)))]
 
 
-def build(vecs: np.ndarray, least: float = 0.98) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def build(vecs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(from, to, entries) of the flat graph of a chunk; links run both ways."""
-    kept = _prune(vecs)
-    source, slot = np.nonzero(kept >= 0)
-    target = kept[source, slot]
-    entry = _cover(vecs, least)
-    covered = np.flatnonzero(entry != np.arange(len(vecs)))
-    source, target = np.append(source, entry[covered]), np.append(target, covered)
-    entries = np.unique(entry)
-    root = np.arange(len(vecs))
+    n = len(vecs)
+    source, target = _links(_prune(vecs, np.arange(n), POOL, DEGREE, ALPHA))
+    root = np.arange(n)
     while True:  # least node of each part, by halving
         low = root.copy()
         np.minimum.at(low, source, root[target])
@@ -141,54 +146,104 @@ def build(vecs: np.ndarray, least: float = 0.98) -> tuple[np.ndarray, np.ndarray
         if (low == root).all():
             break
         root = low
-    main = entries[0]
-    lost = [part for part in np.unique(root) if part != root[main]]
-    if lost:
-        likeness = vecs @ vecs[main]
-        ties = np.array([group[np.argmax(likeness[group])] for group in (np.flatnonzero(root == part) for part in lost)])
-        source, target = np.append(source, ties), np.append(target, np.full(len(ties), main))
+    seeds = vecs[np.linspace(0, n - 1, int(np.ceil(np.sqrt(n)))).astype(int)]
+    entries = _medoids(vecs, (vecs @ seeds.T).argmax(axis=1))
+    islands = _medoids(vecs, root)
+    hubs = np.unique(np.concatenate([np.arange(0, n, HUB), entries, islands]))
+    parts = [(source, target), _links(_prune(vecs, hubs, HUBS_SEEN, HUBS, 1.0))]
+    # the entries reach every part: medoids of parts are tied to their nearest entries
+    likeness = vecs[islands] @ vecs[entries].T
+    nearest = np.argsort(-likeness, axis=1, kind="stable")[:, :HUBS]
+    parts.append((np.repeat(islands, nearest.shape[1]), entries[nearest].ravel()))
+    parts.append((np.full(len(entries), entries[0]), entries))
+    source, target = (np.concatenate(ends) for ends in zip(*parts, strict=True))
     return np.append(source, target), np.append(target, source), entries
 
 
 def search(queries: np.ndarray, vecs: np.ndarray, starts: np.ndarray, links: np.ndarray, entries: np.ndarray, least: float) -> np.ndarray:
-    """``hits[query, node]``: nodes with a cosine of at least ``least``.
+    """``hits[query, node]``: nodes found with a cosine of at least ``least``.
 
     ``links[starts[v] : starts[v + 1]]`` are those of node v.
     """
+    walks = [
+        _walk(queries[k : k + QUERIES_AT_ONCE], vecs, starts, links, entries, least)[0] for k in range(0, len(queries), QUERIES_AT_ONCE)
+    ]
+    return np.concatenate(walks)
+
+
+def _walk(
+    queries: np.ndarray, vecs: np.ndarray, starts: np.ndarray, links: np.ndarray, entries: np.ndarray, least: float
+) -> tuple[np.ndarray, int]:
+    """The hits, and how many cosines were computed."""
     m, n = len(queries), len(vecs)
-    seen = np.zeros((m, n), bool)
-    waiting = np.full((m, n), -3.0)  # cosines of visited nodes not yet expanded
-    hits = np.zeros((m, n), bool)
-
-    def visit(query: np.ndarray, node: np.ndarray) -> None:
-        for k in range(0, len(query), PAIRS_AT_ONCE):
-            q, v = query[k : k + PAIRS_AT_ONCE], node[k : k + PAIRS_AT_ONCE]
-            cosine = np.einsum("id,id->i", queries[q], vecs[v])
-            seen[q, v] = True
-            waiting[q, v] = cosine
-            hits[q, v] = cosine >= least
-
-    def expand(query: np.ndarray, node: np.ndarray) -> None:
-        waiting[query, node] = -3.0
+    hits, seen, expanded = (np.zeros((m, n), bool) for _ in range(3))
+    wide = max(LIST, AT_ONCE)
+    compared = m * len(entries)
+
+    def expand(query: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What is new beside these nodes: (query, node, cosine)."""
+        nonlocal compared
+        expanded[query, node] = True
+        news = []
         step = max(1, PAIRS_AT_ONCE * 4 // max(1, int(np.diff(starts).max(initial=1))))
         for k in range(0, len(query), step):
             q, v = query[k : k + step], node[k : k + step]
             many = starts[v + 1] - starts[v]
             q = np.repeat(q, many)
-            at = np.arange(len(q)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[v], many)
-            w = links[at]
+            w = links[np.arange(len(q)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(starts[v], many)]
             new = ~seen[q, w]
             pair = np.unique(q[new] * n + w[new])
-            visit(pair // n, pair % n)
-
-    for k in range(0, m, 256):
-        q, e = np.nonzero(queries[k : k + 256] @ vecs[entries].T >= least - SLACK)
-        visit(q + k, entries[e])
-    while True:
-        q, v = np.nonzero(waiting >= least - SLACK)
+            seen[pair // n, pair % n] = True
+            news.append(pair)
+        pair = np.concatenate(news) if news else np.zeros(0, np.int64)
+        q, w = pair // n, pair % n
+        cosine = np.empty(len(pair))
+        for k in range(0, len(pair), PAIRS_AT_ONCE):
+            of = slice(k, k + PAIRS_AT_ONCE)
+            cosine[of] = np.einsum("id,id->i", queries[q[of]], vecs[w[of]])
+        compared += len(pair)
+        hit = cosine >= least
+        hits[q[hit], w[hit]] = True
+        order = np.argsort(q, kind="stable")
+        return q[order], w[order], cosine[order]
+
+    cosine = queries @ vecs[entries].T
+    seen[:, entries] = True
+    q, e = np.nonzero(cosine >= least)
+    hits[q, entries[e]] = True
+    q, e = np.nonzero(cosine >= least - SLACK)
+    about = [(q, entries[e])]
+    first = np.argsort(-cosine, axis=1, kind="stable")[:, :wide]
+    fill = ((0, 0), (0, wide - first.shape[1]))
+    best = np.pad(np.take_along_axis(cosine, first, 1), fill, constant_values=-3.0)
+    listed = np.pad(entries[first], fill, constant_values=-1)
+    done = best < -2
+    while not done.all():
+        of = np.argpartition(np.where(done, 3.0, -best), AT_ONCE - 1, axis=1)[:, :AT_ONCE]
+        row, slot = np.nonzero(~np.take_along_axis(done, of, 1))
+        slot = of[row, slot]
+        done[row, slot] = True
+        q, v, cosine = expand(row, listed[row, slot])
+        near = cosine >= least - SLACK
+        about.append((q[near], v[near]))
+        better = cosine > best.min(axis=1)[q]
+        q, v, cosine = q[better], v[better], cosine[better]
         if not len(q):
-            return hits
-        expand(q, v)
+            continue
+        many = np.bincount(q, minlength=m)
+        at = np.arange(len(q)) - (np.cumsum(many) - many)[q]
+        more, value = np.full((m, many.max()), -1), np.full((m, many.max()), -3.0)
+        more[q, at], value[q, at] = v, cosine
+        listed, best, done = np.append(listed, more, 1), np.append(best, value, 1), np.append(done, value < -2, 1)
+        top = np.argpartition(-best, wide - 1, axis=1)[:, :wide]
+        listed, best, done = (np.take_along_axis(x, top, 1) for x in (listed, best, done))
+    q, v = (np.concatenate(ends) for ends in zip(*about, strict=True))
+    while len(q):
+        left = ~expanded[q, v]
+        q, v, cosine = expand(q[left], v[left])
+        near = cosine >= least - SLACK
+        q, v = q[near], v[near]
+    return hits, compared
 
 
 # --- shards -------------------------------------------------------------------------
@@ -198,14 +253,18 @@ _GROUP = ["label", "dim", "shard"]
 
 
 def members(nodes: DataFrame, margin: float) -> DataFrame:
-    """``(label, dim, shard, chunk, block, node, vec, n, own)`` for each shard of each node."""
+    """``(label, dim, shard, node, vec, n, own, block, blocks, asks)`` for each shard of each node.
+
+    A shard is ``blocks`` chunks of nodes and ``asks`` blocks of queries.
+    """
     spark = nodes.sparkSession
     sizes = nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
-    chosen = nodes.select("dim", "vec").orderBy(F.xxhash64("vec"), "vec").limit(PIVOTS).collect()
+    many = max(PIVOTS, 2 * int(np.ceil(np.sqrt(nodes.count()))))
+    chosen = nodes.select("dim", "vec").orderBy(F.xxhash64("vec"), "vec").limit(many).collect()
     pivots: dict[int, np.ndarray] = {}
     for dim in {row["dim"] for row in chosen}:
         pivots[dim] = np.stack([np.frombuffer(row["vec"], "<f8") for row in chosen if row["dim"] == dim])
-    shared = spark.sparkContext.broadcast(pivots)  # PIVOTS vectors
+    shared = spark.sparkContext.broadcast(pivots)  # as many vectors as the square root of all, twice
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -215,8 +274,9 @@ def members(nodes: DataFrame, margin: float) -> DataFrame:
                 if len(use) < 2:
                     yield group.assign(shard=0, own=True).drop(columns="shards")
                     continue
-                for start in range(0, len(group), 4096):
-                    part = group.iloc[start : start + 4096]
+                step = max(1, LIKENESS_AT_ONCE // len(use))
+                for start in range(0, len(group), step):
+                    part = group.iloc[start : start + step]
                     likeness = np.stack([np.frombuffer(v, "<f8") for v in part["vec"]]) @ use.T
                     best = likeness.argmax(axis=1)
                     row, shard = np.nonzero(likeness >= likeness.max(axis=1, keepdims=True) - margin)
@@ -229,19 +289,20 @@ def members(nodes: DataFrame, margin: float) -> DataFrame:
         .mapInPandas(run, f"label {label}, dim int, node long, vec binary, n long, shard int, own boolean"),
         "graph-shards",
     )
-    blocks = dealt.groupBy(*_GROUP).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    part = F.pmod(F.xxhash64("node"), "blocks").cast("int")
-    return dealt.join(blocks, _GROUP).withColumn("block", part).withColumn("blocks", F.col("blocks").cast("int"))
+    blocks = dealt.groupBy(*_GROUP).agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.greatest(F.lit(1), F.ceil(F.count_if("own") / BLOCK)).cast("int").alias("asks")
+    )
+    return dealt.join(blocks, _GROUP).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
 
 
-def index(dealt: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+def index(dealt: DataFrame) -> tuple[DataFrame, DataFrame]:
     """United adjacency lists ``(node, near)``, and the entries ``(label, dim, shard, block, node)``."""
     label = dealt.schema["label"].dataType.simpleString()
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node")
         nodes = frame["node"].to_numpy()
-        source, target, entries = build(np.stack([np.frombuffer(v, "<f8") for v in frame["vec"]]), least)
+        source, target, entries = build(np.stack([np.frombuffer(v, "<f8") for v in frame["vec"]]))
         order = np.lexsort((target, source))
         ends = np.searchsorted(source[order], np.arange(len(nodes) + 1))
         near = [np.unique(nodes[target[order[a:b]]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -260,12 +321,15 @@ def index(dealt: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
 
 def found(dealt: DataFrame, least: float) -> DataFrame:
     """``(a, b, links)``: with b null the number of links of node a in a chunk, else a link of a forest."""
-    united, entries = index(dealt, least)
-    label = dealt.schema["label"].dataType.simpleString()
+    united, entries = index(dealt)
     both = dealt.join(united, "node").join(entries, [*_GROUP, "block", "node"], "left")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asked = dealt.select(*_GROUP, F.col("block").alias("asked"), every.alias("block"), "node", "vec", "n", "own", F.lit(None).cast("array<long>").alias("near"), F.lit(None).cast("boolean").alias("entry"))
-    there = both.select(*_GROUP, every.alias("asked"), "block", "node", "vec", "n", "own", "near", F.coalesce("entry", F.lit(False)).alias("entry"))
+    asks = F.pmod(F.xxhash64(F.lit("asked"), "node"), "asks").cast("int").alias("asked")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    asked = dealt.where("own").select(
+        *_GROUP, asks, every, "node", "vec", F.lit(None).cast("long").alias("n"), F.lit(None).cast("array<long>").alias("near"), F.lit(None).cast("boolean").alias("entry")
+    )
+    meets = F.explode(F.sequence(F.lit(0), F.col("asks") - 1)).alias("asked")
+    there = both.select(*_GROUP, meets, "block", "node", "vec", "n", "near", F.coalesce("entry", F.lit(False)).alias("entry"))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         asks = frame["entry"].isna().to_numpy()
@@ -274,7 +338,7 @@ def found(dealt: DataFrame, least: float) -> DataFrame:
             return pd.DataFrame({"a": [], "b": [], "links": []})
         left = np.stack([np.frombuffer(v, "<f8") for v in queries["vec"]])
         right = np.stack([np.frombuffer(v, "<f8") for v in nodes["vec"]])
-        ids, own = nodes["node"].to_numpy(np.int64), nodes["own"].to_numpy(bool)
+        ids = nodes["node"].to_numpy(np.int64)
         lists = [np.asarray(x, np.int64) for x in nodes["near"]]
         flat = np.concatenate(lists)
         at = np.searchsorted(ids, flat)
@@ -283,7 +347,7 @@ def found(dealt: DataFrame, least: float) -> DataFrame:
         starts = np.searchsorted(source, np.arange(len(ids) + 1))
         hits = search(left, right, starts, at[here], np.flatnonzero(nodes["entry"].to_numpy(bool)), least)
         asked_ids = queries["node"].to_numpy(np.int64)
-        hits &= own[None, :] & (asked_ids[:, None] != ids[None, :])
+        hits &= asked_ids[:, None] != ids[None, :]
         links = hits.astype(np.int64) @ nodes["n"].to_numpy(np.int64)
         some = np.flatnonzero(links)
         tied = _forest(hits, asked_ids, ids)
@@ -373,7 +437,8 @@ def near_duplicates(
     link with each other and keep their number. A row with a null key gets the least
     key of the others it reaches, else null, and is kept only in the latter case.
     Each row has the ``audited_recall`` of the run and the number of nodes it is the
-    mean of, ``audited_nodes``; it is null where no node drawn has a partner.
+    mean of, ``audited_nodes``; it is null where no node drawn has a partner and the
+    search found no link.
     """
     rows = stage(directions(vectors, key, vector, label), "graph-rows")
     nodes = stage(
@@ -390,6 +455,10 @@ def near_duplicates(
         dealt = stage(members(nodes, margin), "graph-members")
         hits = stage(found(dealt, least), "graph-hits")
         totals = hits.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+        if not sampled:  # none was drawn that has a partner: some that the search found
+            linked = nodes.join(totals.select("node").orderBy(F.xxhash64("node"), "node").limit(AUDITED), "node")
+            sampled = _brute(nodes, linked, least)
+            asked = vectors.sparkSession.createDataFrame(sampled, "node long, real long")
         reached = audit(asked, totals, len(sampled))
         if reached is None or reached >= recall or margin >= 0.4:
             break

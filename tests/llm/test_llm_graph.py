@@ -156,3 +156,70 @@ def test_many_groups_of_near_copies(spark):
 def test_single_node_and_empty_table(spark):
     assert got(spark.createDataFrame([(1, [1.0, 0.0], 1)], SCHEMA)) == [(1, 0, 1, True)]
     assert got(empty(spark, SCHEMA)) == []
+
+
+def walked(vecs, queries):
+    source, target, entries = graph.build(vecs)
+    order = np.lexsort((target, source))
+    starts = np.searchsorted(source[order], np.arange(len(vecs) + 1))
+    hits, compared = graph._walk(queries, vecs, starts, target[order], entries, 0.98)
+    return hits, compared / len(queries), len(entries)
+
+
+def scattered(n, dim=64, seed=8):
+    """Vectors far from each other, but every fourth one near the one before."""
+    rng = np.random.default_rng(seed)
+    vecs = rng.normal(size=(n, dim))
+    vecs[1::4] = vecs[::4] + rng.normal(size=vecs[1::4].shape) * 0.16
+    return (vecs / np.linalg.norm(vecs, axis=1, keepdims=True))[rng.permutation(n)]
+
+
+def test_a_walk_compares_few_of_many():
+    counts = {}
+    for n in (1024, 8192):
+        vecs = scattered(n)
+        queries = vecs[:256]
+        hits, counts[n], entries = walked(vecs, queries)
+        assert entries <= np.sqrt(n) + 1
+        real = queries @ vecs.T >= 0.98
+        assert not (hits & ~real).any()
+        partners, found = real.sum(axis=1) - 1, hits.sum(axis=1) - 1
+        assert (found[partners > 0] / partners[partners > 0]).mean() >= 0.97
+    assert counts[1024] < 0.6 * 1024
+    assert counts[8192] < 0.12 * 8192 and counts[8192] < 2 * counts[1024]
+
+
+def test_small_groups_beside_a_large_one(spark):
+    rng = np.random.default_rng(9)
+    sizes = [3000, *[2] * 150, *[5] * 60, *[25] * 20, *[60] * 8, *[100] * 5, *[1] * 1200]
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    vecs = rng.normal(size=(len(sizes), 48))[group] + rng.normal(size=(len(group), 48)) * 0.06
+    of = rng.permutation(len(group))
+    rows = graph.near_duplicates(spark.createDataFrame([(int(k), vecs[r].tolist(), 1) for k, r in enumerate(of)], VECTORS))
+    found = {r.vec_id: r for r in rows.collect()}
+    unit = (vecs / np.linalg.norm(vecs, axis=1, keepdims=True))[of]
+    real = (unit @ unit.T >= 0.98).sum(axis=1) - 1
+    got_ = np.array([found[k].n_links for k in range(len(of))])
+    assert (got_ <= real).all()
+    for size in sorted(set(sizes) - {1}):
+        some = (np.array(sizes)[group[of]] == size) & (real > 0)
+        assert (got_[some] / real[some]).mean() >= 0.95, size
+    low = {g: int(np.flatnonzero(group[of] == g).min()) for g in np.unique(group)}
+    whole = np.mean([found[k].component_id == low[g] for k, g in enumerate(group[of])])
+    assert whole >= 0.98
+
+
+def test_links_are_audited_where_no_node_drawn_has_a_partner(spark, monkeypatch):
+    monkeypatch.setattr(graph, "DRAWN", 0)
+    for pairs, audited in ((6, (1.0, 12)), (0, (None, 0))):
+        found = graph.near_duplicates(spark.createDataFrame(hot_and_pairs(1, pairs, 200), VECTORS))
+        assert {(r.audited_recall, r.audited_nodes) for r in found.collect()} == {audited}
+
+
+def test_more_pivots_than_the_least(spark, monkeypatch):
+    monkeypatch.setattr(graph, "SHARD", 8)
+    monkeypatch.setattr(graph, "PIVOTS", 2)
+    monkeypatch.setattr(graph, "LIKENESS_AT_ONCE", 100)
+    rows = clustered(12, 600, 100)
+    found, real = got(spark.createDataFrame(rows, SCHEMA)), brute(rows)
+    assert 0.95 * sum(r[1] for r in real) <= sum(r[1] for r in found) <= sum(r[1] for r in real)
