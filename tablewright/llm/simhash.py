@@ -44,6 +44,8 @@ SEGMENTS = (23, 23, 18)
 GOLAY = 0b101011100011
 #: Fixed value: generator polynomial of the Hamming code of 15 bits, x^4 + x + 1.
 HAMMING = 0b10011
+#: Parts that the members of a group are dealt to.
+PARTS = 256
 #: Rows of a block of an anchor.
 BLOCK = 4096
 #: Shingles whose bits are counted at once.
@@ -248,7 +250,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", mo
     marked = stage(fingerprints(docs.select(F.col(key).alias("key"), F.col(text).alias("text"))), "simhash-fingerprints")
     distinct = marked.groupBy("fp").agg(F.min("key").alias("least"))
     groups = components(links(distinct.select("fp"), most)).select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    rooted = distinct.join(groups, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    low = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.join(low, "root").select("fp", "component_id")
+    # The least key of a group is told to its parts, then to their members: a group of any size is many keys.
+    part = F.pmod(F.xxhash64("fp"), F.lit(PARTS)).cast("int").alias("part")
+    members = distinct.join(groups, "fp").select("fp", "least", "root", part)
+    parts = members.groupBy("root", "part").agg(F.min("least").alias("least"))
+    low = parts.groupBy("root").agg(F.min("least").alias("component_id"))
+    told = members.join(parts.select("root", "part").join(low, "root"), ["root", "part"]).select("fp", "component_id")
+    alone = distinct.join(groups, "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
+    known = told.unionByName(alone)
     return marked.join(known, "fp").select(F.col("key").alias(key), "fp", "component_id")

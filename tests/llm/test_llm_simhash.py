@@ -93,3 +93,20 @@ def test_chains_and_groups_against_brute_force(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert got(empty(spark, DOC)) == []
+
+
+def test_a_large_group_is_told_in_parts(spark, monkeypatch):
+    """Members of one group, some with null keys, get its least key whatever their part; those of none keep their own."""
+    rng = random.Random(11)
+    chain = [" ".join(f"w{rng.randint(0, 3000)}" for _ in range(300))]
+    for _ in range(120):  # each text differs from the one before by a few words
+        words = chain[-1].split()
+        for _ in range(3):
+            words[rng.randrange(len(words))] = f"v{rng.randint(0, 3000)}"
+        chain.append(" ".join(words))
+    rows = [(None if k % 10 == 3 else 500 - k, t, "en", "a", 1) for k, t in enumerate(chain)]
+    rows += [(1000 + k, " ".join(f"u{rng.randint(0, 9)}{k}" for _ in range(50)), "en", "a", 1) for k in range(30)]
+    rows += [(2000 + k, chain[0], "en", "a", 1) for k in range(40)]
+    for parts in (1, 256):
+        monkeypatch.setattr(simhash, "PARTS", parts)
+        assert ordered(got(spark.createDataFrame(rows, DOC))) == ordered(brute(rows))
