@@ -29,7 +29,7 @@ from tablewright import (
 
 from . import inputs, journeys, streams, temporal, totals
 from .inputs import rows, spark_sql
-from .tables import fresh, new_store
+from .tables import SCHEMA, fresh, new_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
