@@ -194,7 +194,10 @@ def run_seed(
     """Replace a table by the rows of a seed file."""
     rows = read_seed(store.spark, path, spec, on_bad_cell)
     watch = _watch(store, spec, check)
-    store.replace(spec, rows, watch)
+    try:
+        store.replace(spec, rows, watch)
+    finally:
+        store.unstage(rows)
     return _checked(store, spec, check, watch)
 
 

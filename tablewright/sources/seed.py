@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.types import is_text_type, parse_type, sized_text, strict_cast
 from ..spec import SpecError, TableSpec
+from .store import shared_folder
 
 # How seed files are written (fixed values).
 _FORMAT = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
@@ -189,13 +191,19 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     lines = lines.join(blocks, ["file", "block"])
     lines = lines.withColumn("starts", F.col("flips") == F.col("begins"))
+    began = F.max(F.when(F.col("starts"), F.col("at"))).over(in_block)
+    lines = lines.withColumn("record_at", F.coalesce(began, F.col("open_since")))
+    lines = lines.withColumn("is_header", F.col("record_at") == F.col("header_at"))
+    # The quote check, the headers and the rows read the lines as they are now: they are read,
+    # counted and joined once, and kept in the shared folder (``TableStore.unstage`` deletes them).
+    kept = lines.select("file", "block", "at", "line", "odd", "starts", "record_at", "is_header")
+    path = f"{shared_folder(spark)}/tablewright-stage/{uuid.uuid4().hex}"
+    kept.write.parquet(path)
+    lines = spark.read.schema(kept.schema).parquet(path)
     # Up to the first bare quote of a file all states are right, so that quote is seen.
     bare = lines.filter(_bare_quote(F.col("line"), ~F.col("starts"))).select("file", "line").first()
     if bare is not None:
         raise SeedError(f"a quote inside a cell is not doubled in {bare['file']}: {bare['line'][:80]}")
-    began = F.max(F.when(F.col("starts"), F.col("at"))).over(in_block)
-    lines = lines.withColumn("record_at", F.coalesce(began, F.col("open_since")))
-    lines = lines.withColumn("is_header", F.col("record_at") == F.col("header_at"))
     whole = F.col("starts") & (F.col("odd") == 0)
     single = lines.filter(whole & (F.col("line") != "")).select(F.col("line").alias("record"), "is_header")
     pieces = F.sort_array(F.collect_list(F.struct("block", "at", "line")))

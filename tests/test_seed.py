@@ -215,3 +215,11 @@ def test_returns_without_line_feeds_make_one_line(spark, tmp_path):
 def test_plain_lines_with_inner_returns(spark, tmp_path):
     path = write(tmp_path, "id,t\n1,a\rb\n2,\rc\n3,\"x\ry\"\n")
     assert collected(read_seed(spark, path, TableSpec("t"))) == Counter([("1", "a\rb"), ("2", "\rc"), ("3", "x\ry")])
+
+
+def test_lines_across_rows_are_counted_once(spark, tmp_path):
+    path = write(tmp_path, 'a,b\n1,"x\ny"\n2,"p,""q""\n\nr"\n3,z\n')
+    got = read_seed(spark, path, TableSpec("t", (ColumnSpec("a", "int"),)))
+    assert collected(got) == Counter([(1, "x\ny"), (2, 'p,"q"\n\nr'), (3, "z")])
+    # the quote check and the header check read the same counted lines as the rows do
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
