@@ -38,8 +38,11 @@ def delivered(spark: SparkSession, sf_dir: str, template: str, deliveries: int)
     """A stream that reads one delivery per batch, in order, and a new folder for its checkpoint."""
     folder = f"{shared_folder(spark)}/{SCHEMA}-{uuid.uuid4().hex}"
     source = rows(spark, sf_dir, template)
+    # the source is read once, by all tasks; a delivery's file reads its own part only
+    source.write.partitionBy("delivery").parquet(f"{folder}/dealt")
+    dealt = spark.read.parquet(f"{folder}/dealt")
     for number in range(deliveries):  # one file each; their times order the stream
-        source.filter(F.col("delivery") == number).drop("delivery").coalesce(1).write.mode("append").parquet(f"{folder}/files")
+        dealt.filter(F.col("delivery") == number).drop("delivery").coalesce(1).write.mode("append").parquet(f"{folder}/files")
     stream = spark.readStream.schema(source.drop("delivery").schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/files")
     return stream, f"{folder}/checkpoint"
 
