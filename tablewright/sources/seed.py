@@ -147,22 +147,22 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Whole CSV records ``(record, is_header)`` of files in which records may span lines.
 
     Whether a line starts a record follows from the number of quotes before
-    it. That is counted inside each read block, and over the block totals of
-    each file, so no task sees more lines than a block has. Only the lines of
-    records with several lines are then shuffled together.
+    it. That is counted inside each read block, in the task that reads it and
+    in read order, and over the block totals of each file, so no line is
+    shuffled for it. Only the lines of records with several lines are then
+    shuffled together.
     """
-    lines = _lines(spark, path)
-    in_block = Window.partitionBy("file", "block").orderBy("at")
-    lines = lines.withColumn("odd", _quotes_odd(F.col("line")))
-    lines = lines.withColumn("flips", (F.sum("odd").over(in_block) - F.col("odd")) % 2)
+    lines = _lines(spark, path).withColumn("odd", _quotes_odd(F.col("line")))
+    lines = lines.withColumn("filled", F.col("line") != "")
+    small = lines.drop("line")
+    counted = small.mapInArrow(_quote_states, _with_states(small.schema))
 
     # Per block, for both cases: it begins outside (0) or inside (1) of a quoted cell.
-    filled = F.col("line") != ""
-    blocks = lines.groupBy("file", "block").agg(
+    blocks = counted.groupBy("file", "block").agg(
         F.sum("odd").alias("quotes"),
         *[F.max(F.when(F.col("flips") == i, F.col("at"))).alias(f"last_{i}") for i in (0, 1)],
         *[
-            F.min(F.when((F.col("flips") == i) & filled, F.col("at"))).alias(f"first_{i}")
+            F.min(F.when((F.col("flips") == i) & F.col("filled"), F.col("at"))).alias(f"first_{i}")
             for i in (0, 1)
         ],
     )
@@ -189,9 +189,11 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         F.first("first", ignorenulls=True).over(throughout).alias("header_at"),
     )
 
-    lines = lines.join(blocks, ["file", "block"])
+    # One row per read block, so the lines keep their tasks and their order.
+    lines = lines.mapInArrow(_quote_states, _with_states(lines.schema))
+    lines = lines.join(F.broadcast(blocks), ["file", "block"])
     lines = lines.withColumn("starts", F.col("flips") == F.col("begins"))
-    began = F.max(F.when(F.col("starts"), F.col("at"))).over(in_block)
+    began = F.when(F.col("begins") == 0, F.col("began_0")).otherwise(F.col("began_1"))
     lines = lines.withColumn("record_at", F.coalesce(began, F.col("open_since")))
     lines = lines.withColumn("is_header", F.col("record_at") == F.col("header_at"))
     # The quote check, the headers and the rows read the lines as they are now: they are read,
@@ -213,3 +215,59 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .agg(F.array_join(F.transform(pieces, lambda piece: piece["line"]), "\n").alias("record"))
     )
     return single.union(joined.select("record", "is_header"))
+
+
+def _with_states(schema: T.StructType) -> T.StructType:
+    return T.StructType(
+        [*schema.fields, *[T.StructField(c, T.LongType()) for c in ("flips", "began_0", "began_1")]]
+    )
+
+
+def _quote_states(batches):
+    """The lines of one task, in read order, with ``flips`` (quotes before the line in its block, mod 2)
+    and ``began_0``/``began_1`` (the last line up to it whose ``flips`` is 0/1, in its block; else null).
+
+    A task reads whole blocks, one after the other, each in order; ``at`` grows along them.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    carried = None  # file, block, quotes, last_0, last_1 and at of the last line so far
+    for batch in batches:
+        n = batch.num_rows
+        if n == 0:
+            continue
+        file, block = batch.column("file"), batch.column("block").to_numpy()
+        at, odd = batch.column("at").to_numpy(), batch.column("odd").to_numpy().astype(np.int64)
+        if (n > 1 and not (np.diff(at) > 0).all()) or (carried and at[0] <= carried[5]):
+            raise RuntimeError("the lines of a task are not in read order")
+        new = np.ones(n, dtype=bool)
+        if n > 1:
+            new[1:] = pc.not_equal(file.slice(1), file.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            new[1:] |= block[1:] != block[:-1]
+        goes_on = carried is not None and carried[0] == file[0].as_py() and carried[1] == block[0]
+        group = np.cumsum(new) - 1
+        heads = np.flatnonzero(new)
+        seen = np.cumsum(odd) - odd
+        count = seen - seen[heads][group]
+        first = group == 0
+        if goes_on:
+            count[first] += carried[2]
+        flips = count % 2
+        began = []
+        for i in (0, 1):
+            last = np.maximum.accumulate(np.where(flips == i, at, -1))
+            last = np.where(last >= at[heads][group], last, -1)
+            if goes_on:
+                last[first & (last < 0)] = carried[3 + i]
+            began.append(last)
+        carried = (file[n - 1].as_py(), block[-1], int(count[-1] + odd[-1]), int(began[0][-1]), int(began[1][-1]), at[-1])
+        yield pa.RecordBatch.from_arrays(
+            [
+                *batch.columns,
+                pa.array(flips, type=pa.int64()),
+                *[pa.array(b, type=pa.int64(), mask=b < 0) for b in began],
+            ],
+            names=[*batch.schema.names, "flips", "began_0", "began_1"],
+        )

@@ -3,6 +3,7 @@
 import csv
 import io
 import random
+import re
 from collections import Counter
 from datetime import date
 from decimal import Decimal
@@ -223,3 +224,26 @@ def test_lines_across_rows_are_counted_once(spark, tmp_path):
     assert collected(got) == Counter([(1, "x\ny"), (2, 'p,"q"\n\nr'), (3, "z")])
     # the quote check and the header check read the same counted lines as the rows do
     assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_counted_where_they_are_read(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    body = "".join(f'{i},"a\n""{i}""\n\nb",{i}\n' for i in range(60))
+    path = write(tmp_path, "id,text,n\n" + body)
+    plans = []
+    real = DataFrameWriter.parquet
+
+    def seen(self, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return real(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50")
+    try:
+        got = collected(read_seed(spark, path, TableSpec("t", (ColumnSpec("id", "int"),))))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == Counter((i, f'a\n"{i}"\n\nb', str(i)) for i in range(60))
+    # no window over the lines of a block: they are not shuffled to be counted
+    assert plans and not any(re.search(r"\], \[file#\d+L?, block#\d+L?\], \[", plan) for plan in plans)
