@@ -1,15 +1,16 @@
 """Exact search for the k largest inner products by distributed histogram selection.
 
-Components become integers, so scores are exact. All vectors are packed into
-blocks of bounded size, the queries into smaller ones; every query block meets
-every block. In each round all scores are computed and each pair of blocks counts
-those in every query's current interval, in ``BINS`` bins; counts add up to a
-global histogram per query, whose bin with the k-th largest score is the next
-interval, until intervals hold one score. Only then are scores kept: those above
-the k-th and, of those equal to it, the smallest ids.
-
-A pair of blocks drops the bins below its own k-th score: the global k-th lies no
-lower. So it sends at most k bins, and at last 2k rows, for each query.
+Components become integers, so scores are exact. All vectors are packed into blocks of
+bounded size, the queries into blocks of their own; every query block meets every block,
+once. A task meets a group of blocks one after the other and keeps each query's k best of
+its group: the global k best are among them, as the k-th of all lies no lower than that of
+a group. Each round then counts these scores in every query's current interval, in
+``BINS`` bins; counts add up to a global histogram per query, whose bin with the k-th
+largest score is the next interval, until intervals hold one score. Left are the scores
+above the k-th and, of those equal to it, the smallest ids.
+
+Scores are never kept as a whole: a task holds those of ``TILE`` queries and one block,
+and sends at most k rows for each query and group.
 """
 
 from __future__ import annotations
@@ -19,16 +20,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import stage, unstage
 
-#: Bins of a histogram, rows of a block and of a query block.
-BINS, BLOCK, QUERY_BLOCK = 256, 4096, 512
-#: Tasks that score, at most.
-TASKS = 2000
+#: Bins of a histogram, rows of a block and of a query block, queries scored at once.
+BINS, BLOCK, QUERY_BLOCK, TILE = 256, 4096, 8192, 128
+#: Tasks that score, at most; groups of blocks that a query block meets, at least if there are as many blocks, and blocks of a group.
+TASKS, GROUPS, GROUP = 2000, 64, 64
+#: Components made integers at once.
+AT_ONCE = 1 << 22
 #: Stands for a null id inside blocks, behind all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -38,25 +42,25 @@ def integers(vectors: DataFrame, key: str, vector: str, scale: float) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, dims, packed, sizes = [], [], [], []
-            for i, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if not value.is_valid or value.values.null_count:
-                    continue
-                x = np.asarray(value.values.to_numpy(zero_copy_only=False), np.float64)
-                if not np.isfinite(x).all():
-                    continue
-                x = np.floor(scale * x)
-                most = float(np.abs(x).max(initial=0.0))
-                if most >= 2.0**61:
-                    raise ValueError("a component is too large for scores of 64 bits")
-                ids.append(NO_ID if i is None else i)
-                dims.append(len(x))
-                packed.append(x.astype("<i8").tobytes())
-                sizes.append(most)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(packed, pa.binary()), pa.array(sizes, pa.float64())],
-                names=["id", "dim", "vec", "size"],
-            )
+            keys = batch.column(0).fill_null(int(NO_ID)).to_numpy()
+            lengths = pc.fill_null(pc.list_value_length(batch.column(1)), -1).to_numpy()
+            values = np.asarray(batch.column(1).flatten().to_numpy(zero_copy_only=False), np.float64)  # null components are NaN
+            starts = np.cumsum(np.maximum(lengths, 0)) - np.maximum(lengths, 0)
+            for dim in np.unique(lengths[lengths >= 0]).tolist():
+                same = np.flatnonzero(lengths == dim)
+                for part in np.array_split(same, len(same) * dim // AT_ONCE + 1):
+                    x = values[starts[part, None] + np.arange(dim)]
+                    finite = np.isfinite(x).all(axis=1)
+                    x, ids = np.floor(scale * x[finite]), keys[part[finite]]
+                    sizes = np.abs(x).max(axis=1, initial=0.0)
+                    if (sizes >= 2.0**61).any():
+                        raise ValueError("a component is too large for scores of 64 bits")
+                    ends = pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * np.int32(8 * dim))
+                    packed = pa.Array.from_buffers(pa.binary(), len(x), [None, ends, pa.py_buffer(x.astype("<i8").tobytes())])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids, pa.int64()), pa.array(np.full(len(x), dim, np.int32)), packed, pa.array(sizes)],
+                        names=["id", "dim", "vec", "size"],
+                    )
 
     return vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vec")).mapInArrow(
         run, "id long, dim int, vec binary, size double"
@@ -64,39 +68,114 @@ def integers(vectors: DataFrame, key: str, vector: str, scale: float) -> DataFra
 
 
 def _packed(rows: DataFrame, block: int, name: str) -> DataFrame:
-    """``(dim, name, ids, vecs)``: blocks of about ``block`` rows of one length of vectors."""
+    """``(dim, name, ids, vecs)``: blocks of about ``block`` rows of one length of vectors, by id, in the least integers that hold them."""
     sizes = rows.groupBy("dim").agg(F.ceil(F.count("*") / block).alias("blocks"))
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("id", kind="stable")
+        vecs = np.frombuffer(b"".join(frame["vec"]), "<i8")
+        for narrow in ("<i2", "<i4"):
+            if np.abs(vecs).max(initial=0) <= np.iinfo(narrow).max:
+                vecs = vecs.astype(narrow)
+                break
         return pd.DataFrame(
             {
                 "dim": [frame["dim"].iloc[0]],
                 name: [frame[name].iloc[0]],
                 "ids": [frame["id"].to_numpy("<i8").tobytes()],
-                "vecs": [b"".join(frame["vec"])],
+                "vecs": [vecs.tobytes()],
             }
         )
 
-    dealt = rows.join(sizes, "dim").withColumn(name, F.pmod(F.xxhash64("id", "vec"), "blocks").cast("int"))
+    # few lengths: as many as lengths of vectors, whose sum the table holds
+    dealt = rows.join(F.broadcast(sizes), "dim").withColumn(name, F.pmod(F.xxhash64("id", "vec"), "blocks").cast("int"))
     return dealt.select("dim", name, "id", "vec").groupBy("dim", name).applyInPandas(
         pack, f"dim int, {name} int, ids binary, vecs binary"
     )
 
 
-def _scores(row, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scores of the queries of a pair of blocks, candidates' ids, and what doesn't count: a query itself."""
-    queries, ids = np.frombuffer(row.query_ids, "<i8"), np.frombuffer(row.ids, "<i8")
-    left = np.frombuffer(row.query_vecs, "<i8").reshape(len(queries), dim)
-    right = np.frombuffer(row.vecs, "<i8").reshape(len(ids), dim)
-    most = float(np.abs(left).max(initial=0)) * float(np.abs(right).max(initial=0)) * max(dim, 1)
-    if most < 2.0**53:
-        found = (left.astype(np.float64) @ right.astype(np.float64).T).astype(np.int64)
-    elif most < 2.0**61:
-        found = left @ right.T
-    else:
-        raise ValueError("scores do not fit 64 bits")
-    return found, ids, queries[:, None] == ids[None, :]
+def _unpacked(ids: bytes, vecs: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    found = np.frombuffer(ids, "<i8")
+    width = len(vecs) // max(1, len(found) * dim) or 8
+    return found, np.frombuffer(vecs, f"<i{width}").reshape(len(found), dim)
+
+
+def _norm(vecs: np.ndarray) -> float:
+    return float(np.sqrt((vecs.astype(np.float64) ** 2).sum(axis=1).max(initial=0)))
+
+
+class _Best:
+    """The ``k`` best (score, id) of each query of a block so far, the highest score and then the smallest id first."""
+
+    def __init__(self, ids: bytes, vecs: bytes, dim: int, k: int) -> None:
+        self.query_ids, self.queries = _unpacked(ids, vecs, dim)
+        self.dim, self.k, self.norm = dim, k, _norm(self.queries)
+        self.none = np.iinfo(np.int64).min  # stands for a place not taken; no score is as low
+        self.scores = np.full((len(self.query_ids), k), self.none)
+        self.ids = np.full((len(self.query_ids), k), np.iinfo(np.int64).min)
+
+    def meet(self, ids: bytes, vecs: bytes) -> None:
+        """Scores all queries against a block; its ids ascend."""
+        found, block = _unpacked(ids, vecs, self.dim)
+        largest = [float(np.abs(x.astype(np.float64)).max(initial=0)) for x in (self.queries, block)]
+        most = largest[0] * largest[1] * max(self.dim, 1)
+        # sums of products, in any order, stay within the product of the norms
+        if self.norm * _norm(block) * (1 + 1e-9) < 2.0**24:
+            kind = np.float32
+        elif most < 2.0**53:
+            kind = np.float64
+        elif most < 2.0**61:
+            kind = np.int64
+        else:
+            raise ValueError("scores do not fit 64 bits")
+        right = np.ascontiguousarray(block.astype(kind).T)
+        first, last = (np.searchsorted(found, self.query_ids, side) for side in ("left", "right"))
+        for at in range(0, len(self.query_ids), TILE):
+            part = slice(at, at + TILE)
+            scores = self.queries[part].astype(kind) @ right
+            none = -np.inf if kind is not np.int64 else self.none
+            for row in np.flatnonzero(first[part] < last[part]):  # not the query itself
+                scores[row, first[at + row] : last[at + row]] = none
+            self._take(part, scores, found, none)
+
+    def _take(self, part: slice, scores: np.ndarray, found: np.ndarray, none) -> None:
+        kth, kth_id = self.scores[part, -1], self.ids[part, -1]
+        low = np.where(kth == self.none, none, kth).astype(scores.dtype)[:, None]
+        hits = scores >= low
+        many = 16 * self.k * len(scores)
+        wide = len(found) // (8 * self.k)
+        if wide and np.count_nonzero(hits) > many:  # k of these parts hold a score as high as the k-th of their highest
+            highest = scores[:, : wide * 8 * self.k].reshape(len(scores), 8 * self.k, wide).max(axis=2)
+            low = np.maximum(low, np.partition(highest, -self.k, axis=1)[:, -self.k, None])
+            hits = scores >= low
+        if np.count_nonzero(hits) > many:  # the block's own k-th, and the smallest ids of those equal to it
+            if len(found) > self.k:
+                low = np.maximum(low, np.partition(scores, -self.k, axis=1)[:, -self.k, None])
+            same = scores == low
+            hits = (scores > low) | same & (same.cumsum(axis=1) <= self.k)
+        row, at = np.divmod(np.flatnonzero(hits), len(found))
+        score, ids = scores[row, at], found[at]
+        taken = score > none
+        row, score, ids = row[taken], score[taken].astype(np.int64), ids[taken]
+        better = (score > kth[row]) | (ids < kth_id[row])
+        row, score, ids = row[better], score[better], ids[better]
+        if not len(row):
+            return
+        changed = np.unique(row)
+        row = np.concatenate([np.repeat(changed, self.k), row])
+        score = np.concatenate([self.scores[part][changed].ravel(), score])
+        ids = np.concatenate([self.ids[part][changed].ravel(), ids])
+        order = np.lexsort((ids, ~score, row))  # ~score falls as the score grows, without overflow
+        row, score, ids = row[order], score[order], ids[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        kept = place < self.k
+        self.scores[part.start + row[kept], place[kept]] = score[kept]
+        self.ids[part.start + row[kept], place[kept]] = ids[kept]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of queries in their block, their ids, and the ids and scores of what they keep."""
+        query, at = np.nonzero(self.scores != self.none)
+        return query, self.query_ids[query], self.ids[query, at], self.scores[query, at]
 
 
 def top_k(
@@ -110,85 +189,70 @@ def top_k(
     behind all others in ties, and never a query. A repeated query row gives its
     result as often.
     """
-    spark = vectors.sparkSession
-    rows = stage(integers(vectors, key, vector, scale), "topk-integers")
-    blocks = stage(_packed(rows.drop("size"), BLOCK, "block"), "topk-blocks")
+    rows = stage(integers(vectors, key, vector, scale), "topk-integers").drop("size")
+    blocks = stage(_packed(rows, BLOCK, "block"), "topk-blocks")
     asked = rows.where((F.col("id") != F.lit(int(NO_ID))) & is_query)
-    bound = asked.groupBy("dim").agg(F.max("size").alias("mine")).join(rows.groupBy("dim").agg(F.max("size").alias("most")), "dim")
-    queries = stage(
-        _packed(asked.select("id", "dim", "vec"), QUERY_BLOCK, "query_block").withColumnsRenamed({"ids": "query_ids", "vecs": "query_vecs"}),
-        "topk-queries",
+    queries = stage(_packed(asked, QUERY_BLOCK, "query_block"), "topk-queries")
+    unstage(rows)
+    groups = F.least("blocks", F.greatest(F.lit(GROUPS), F.ceil(F.col("blocks") / GROUP)))
+    of_dim = F.broadcast(blocks.groupBy("dim").agg(F.count("*").alias("blocks")).select("dim", groups.cast("int").alias("groups")))
+    met = queries.select("dim", "query_block").join(of_dim, "dim")
+    tasks = max(1, min(TASKS, met.agg(F.sum("groups")).first()[0] or 0))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, now = None, None
+
+        def kept() -> pa.RecordBatch:
+            query, query_id, found, score = best.rows()
+            same = lambda x: pa.array(np.full(len(query), x, np.int32))
+            return pa.RecordBatch.from_arrays(
+                [same(now[0]), same(now[1]), pa.array(query.astype(np.int32)), pa.array(query_id), pa.array(found), pa.array(score)],
+                names=["dim", "query_block", "query", "query_id", "id", "score"],
+            )
+
+        for batch in batches:
+            for at in range(batch.num_rows):
+                dim, query_block, group, block, ids, vecs = (column[at].as_py() for column in batch.columns)
+                if block < 0:  # the queries come before the blocks of their group
+                    if best:
+                        yield kept()
+                    best, now = _Best(ids, vecs, dim, k), (dim, query_block, group)
+                else:
+                    best.meet(ids, vecs)
+        if best:
+            yield kept()
+
+    to_groups = queries.join(of_dim, "dim").withColumn("group", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    pairs = to_groups.select("dim", "query_block", "group", F.lit(-1).alias("block"), "ids", "vecs").unionByName(
+        blocks.join(F.broadcast(met), "dim").select("dim", "query_block", F.pmod("block", "groups").alias("group"), "block", "ids", "vecs")
     )
-    every = blocks.groupBy("dim").agg(F.max("block").alias("last"))
-    pairs = queries.join(every, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("last")))).drop("last")
-    tasks = max(1, min(TASKS, pairs.count()))
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                scores, _, own = _scores(row, row.dim)
-                low, high, above = (np.asarray(x, np.int64)[:, None] for x in (row.low, row.high, row.above))
-                inside = (scores >= low) & (scores < high) & (high > low + 1) & ~own
-                bins = (scores - low) // -(-(high - low) // BINS)
-                at = np.where(inside, bins, 0) + np.arange(len(bins))[:, None] * BINS
-                counts = np.bincount(at[inside], minlength=len(bins) * BINS).reshape(-1, BINS)
-                higher = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
-                query, found = np.nonzero((counts > 0) & (higher + above < k))
-                yield pd.DataFrame(
-                    {"dim": row.dim, "query_block": row.query_block, "query": query, "bin": found, "n": counts[query, found]}
-                )
-
-    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                scores, ids, own = _scores(row, row.dim)
-                low = np.asarray(row.low, np.int64)[:, None]
-                # ids ascend in a block, so the first of equal scores are the smallest
-                more, same = (scores > low) & ~own, (scores == low) & ~own
-                query, at = np.nonzero(more | same & (same.cumsum(axis=1) <= k))
-                yield pd.DataFrame(
-                    {
-                        "dim": row.dim, "query_block": row.query_block, "query": query,
-                        "query_id": np.frombuffer(row.query_ids, "<i8")[query], "id": ids[at], "score": scores[query, at],
-                    }
-                )
-
-    def scored(state: DataFrame) -> DataFrame:
-        """Pairs of blocks with the queries' intervals, dealt evenly."""
-        held = state.groupBy("dim", "query_block").agg(F.sort_array(F.collect_list(F.struct("query", "low", "high", "above"))).alias("s"))
-        held = held.select("dim", "query_block", F.col("s.low").alias("low"), F.col("s.high").alias("high"), F.col("s.above").alias("above"))
-        return pairs.join(held, ["dim", "query_block"]).join(blocks, ["dim", "block"]).repartition(tasks, "dim", "query_block", "block")
-
-    # a score lies within dim * largest * largest, so the first interval holds all of a query's
-    reach = F.least(F.col("dim") * F.col("mine") * F.col("most"), F.lit(2.0**61)).cast("long") + 1
-    numbered = queries.select("dim", "query_block", F.explode(F.sequence(F.lit(0), (F.octet_length("query_ids") / 8 - 1).cast("int"))).alias("query"))
-    state = stage(
-        numbered.join(bound, "dim").select(
-            "dim", "query_block", "query", (-reach).alias("low"), (reach + 1).alias("high"), F.lit(0).cast("long").alias("above"),
-        ),
-        "topk-state",
-    )
+    dealt = pairs.repartition(tasks, "dim", "query_block", "group").sortWithinPartitions("dim", "query_block", "group", "block")
+    best = stage(dealt.mapInArrow(meet, "dim int, query_block int, query int, query_id long, id long, score long"), "topk-best")
+
     of = ["dim", "query_block", "query"]
+    # the first interval holds all of a query's scores
+    state = stage(
+        best.groupBy(*of).agg(F.min("score").alias("low"), (F.max("score") + 1).alias("high")).withColumn("above", F.lit(0).cast("long")), "topk-state"
+    )
     width = F.expr(f"(high - low + {BINS - 1}) div {BINS}")
     while (state.agg(F.max(F.col("high") - F.col("low"))).first()[0] or 0) > 1:
-        hist = scored(state).mapInPandas(count, "dim int, query_block int, query int, bin int, n long")
-        total = hist.groupBy(*of, "bin").agg(F.sum("n").alias("n"))
+        inside = best.join(state, of).where("score >= low AND score < high").withColumn("width", width)
+        total = inside.groupBy(*of, F.expr("(score - low) div width").alias("bin")).agg(F.count("*").alias("n"))
         higher = F.coalesce(F.sum("n").over(W.partitionBy(*of).orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
         reached = total.withColumn("higher", higher).join(state, of).where(F.col("above") + F.col("higher") < k)
         # the last bin that has fewer than k above it; the lowest of all if there are fewer than k scores
-        best = reached.groupBy(*of).agg(F.min(F.struct("bin", "higher")).alias("b"))
-        joined = state.join(best, of, "left").withColumn("width", width)
-        fresh = joined.select(*of, (F.col("low") + F.coalesce(F.col("b.bin") * F.col("width"), F.lit(0))).alias("low"), "high", "width", "b", "above")
-        fresh = fresh.select(
+        chosen = reached.groupBy(*of).agg(F.min(F.struct("bin", "higher")).alias("b"))
+        joined = state.join(chosen, of).withColumn("width", width)
+        fresh = joined.select(
             *of,
-            "low",
-            F.when(F.col("b").isNull(), F.col("low") + 1).otherwise(F.least("high", F.col("low") + F.col("width"))).alias("high"),
-            (F.col("above") + F.coalesce(F.col("b.higher"), F.lit(0))).alias("above"),
+            (F.col("low") + F.col("b.bin") * F.col("width")).alias("low"),
+            F.least("high", F.col("low") + (F.col("b.bin") + 1) * F.col("width")).alias("high"),
+            (F.col("above") + F.col("b.higher")).alias("above"),
         )
         after = stage(fresh, "topk-state")
         unstage(state)
         state = after
-    found = scored(state).mapInPandas(keep, "dim int, query_block int, query int, query_id long, id long, score long")
+    found = best.join(state.select(*of, "low"), of).where("score >= low")
     place = F.row_number().over(W.partitionBy(*of).orderBy(F.desc("score"), "id"))
     return (
         found.withColumn("rank", place)

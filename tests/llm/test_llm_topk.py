@@ -58,3 +58,35 @@ def test_too_large_is_refused(spark):
 
 def test_empty_table(spark):
     assert got(empty(spark, SCHEMA), 10) == []
+
+
+def test_pairs_of_blocks_are_scored_once(spark, monkeypatch):
+    """What the rounds need is kept by then: the blocks may go."""
+    staged, real = {}, topk.stage
+
+    def stage(df, name):
+        staged[name] = real(df, name)
+        if name == "topk-state" and "topk-blocks" in staged:
+            topk.unstage(staged.pop("topk-blocks"))
+        return staged[name]
+
+    monkeypatch.setattr(topk, "stage", stage)
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "GROUPS", 2, raising=False)
+    vectors = np.random.default_rng(3).normal(size=(200, 3)).astype(np.float32)
+    rows = [(k, [float(x) for x in vectors[k]], "x") for k in range(200)]
+    assert got(spark.createDataFrame(rows, SCHEMA), 20) == brute(rows, 20)
+
+
+@pytest.mark.parametrize("size, kind", [(3, "<i2"), (300, "<i2"), (1 << 20, "<i4"), (1 << 28, "<i8")])
+def test_best_of_blocks_with_ties(size, kind):
+    rng = np.random.default_rng(size)
+    queries, ids = rng.integers(-size, size, (200, 4)), rng.integers(0, 100, 200)
+    best = topk._Best(ids.astype("<i8").tobytes(), queries.astype(kind).tobytes(), 4, 2)
+    blocks = [(np.sort(rng.integers(0, 3000, 900)), rng.integers(-size, size, (900, 4))) for _ in range(3)]
+    for found, block in blocks:
+        best.meet(found.astype("<i8").tobytes(), block.astype(kind).tobytes())
+    found, block = (np.concatenate(x) for x in zip(*blocks, strict=True))
+    for q in range(200):
+        wanted = sorted((-int(s), int(i)) for s, i in zip(block @ queries[q], found, strict=True) if i != ids[q])[:2]
+        assert [(-int(s), int(i)) for s, i in zip(best.scores[q], best.ids[q], strict=True)] == wanted
