@@ -264,9 +264,9 @@ def check_suite_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _seeded(
-    spark: SparkSession, sf_dir: str, table: str, columns: tuple[ColumnSpec, ...], name: str = ""
+    spark: SparkSession, sf_dir: str, table: str, columns: tuple[ColumnSpec, ...], name: str = "", split: int | None = None
 ) -> DataFrame:
-    """Write a whole table as CSV files, then load them as a seed."""
+    """Write a whole table as CSV files, then load them as a seed, in splits of ``split`` bytes."""
     store = new_store(spark)
     path = f"{store.location}/csv-{uuid.uuid4().hex}"
     rows(spark, sf_dir, f"SELECT * FROM {{{table}}}").write.options(
@@ -277,7 +277,16 @@ def _seeded(
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     ).csv(path)
-    return run_seed(store, TableSpec(fresh(store, name or f"seeded_{table}"), columns), path)
+    spec = TableSpec(fresh(store, name or f"seeded_{table}"), columns)
+    if split is None:
+        return run_seed(store, spec, path)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(split))
+    try:
+        return run_seed(store, spec, path)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def seed_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,15 +312,14 @@ def seed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def seed_documents_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with files of many splits; the table is written before the setting goes back."""
-    setting = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(64 << 10))
-    try:
-        return _seeded(
-            spark, sf_dir, "documents", (column("doc_id", "bigint"), column("n_chars", "bigint")), "split_documents"
-        )
-    finally:
-        spark.conf.set(setting, before)
+    return _seeded(
+        spark,
+        sf_dir,
+        "documents",
+        (column("doc_id", "bigint"), column("n_chars", "bigint")),
+        "split_documents",
+        split=64 << 10,
+    )
 
 
 def seed_ragged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,9 @@ _SKETCH_GROUPS = 512
 # A group lists keys down to this fraction of the share, and tracks more.
 _LISTED_PER_SHARE = 4
 _TRACKED_PER_LISTED = 16
+# A task reads about this much of small splits, unless that makes fewer tasks than this for each core.
+_TASK_BYTES = 32 << 20
+_TASKS_PER_CORE = 4
 
 
 @dataclass(frozen=True)
@@ -84,6 +87,15 @@ def measure(df: DataFrame, ranged: str | None = None) -> Size:
     return Size(seen["rows"], seen["bytes"] or 0, *ends)
 
 
+def in_few_tasks(rows: DataFrame) -> DataFrame:
+    """Rows of files whose splits are small: they stay as they are, but a task reads many, one after the other."""
+    spark = rows.sparkSession
+    splits = rows.rdd.getNumPartitions()
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    tasks = max(_TASKS_PER_CORE * spark.sparkContext.defaultParallelism, -(-splits * size // _TASK_BYTES))
+    return rows.coalesce(tasks) if tasks < splits else rows
+
+
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(quote(key)) for key in keys])
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types import is_text_type, parse_type, sized_text, strict_cast
+from ..plans.sizing import in_few_tasks
 from ..spec import SpecError, TableSpec
 from .store import shared_folder
 
@@ -76,12 +77,13 @@ def _typed(cell: Column, declared: str | None, on_bad_cell: str) -> Column:
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(line, file, block, at)``: lines without their ends, ordered within a file by ``block`` and ``at``."""
-    return spark.read.text(path, lineSep=_LINE).select(
+    lines = spark.read.text(path, lineSep=_LINE).select(
         _without_return(F.col("value")).alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
     )
+    return in_few_tasks(lines)
 
 
 def _without_return(line: Column) -> Column:
@@ -123,9 +125,10 @@ def _bare_quote(line: Column, inside: Column) -> Column:
 
 def _one_line_records(spark: SparkSession, path: str | list[str]) -> bool:
     """Is every line a whole record, ended by a line feed alone?"""
-    lines = spark.read.text(path, lineSep=_LINE)
+    lines = in_few_tasks(spark.read.text(path, lineSep=_LINE))
     rest = F.regexp_replace("value", _CLOSED, "")
-    return not lines.filter((F.instr(rest, '"') > 0) | F.col("value").endswith("\r")).limit(1).count()
+    # Reads no further than the tasks of the first line that is none.
+    return lines.filter((F.instr(rest, '"') > 0) | F.col("value").endswith("\r")).first() is None
 
 
 def _first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -201,7 +204,7 @@ def _records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     kept = lines.select("file", "block", "at", "line", "odd", "starts", "record_at", "is_header")
     path = f"{shared_folder(spark)}/tablewright-stage/{uuid.uuid4().hex}"
     kept.write.parquet(path)
-    lines = spark.read.schema(kept.schema).parquet(path)
+    lines = in_few_tasks(spark.read.schema(kept.schema).parquet(path))
     # Up to the first bare quote of a file all states are right, so that quote is seen.
     bare = lines.filter(_bare_quote(F.col("line"), ~F.col("starts"))).select("file", "line").first()
     if bare is not None:
@@ -227,7 +230,7 @@ def _quote_states(batches):
     """The lines of one task, in read order, with ``flips`` (quotes before the line in its block, mod 2)
     and ``began_0``/``began_1`` (the last line up to it whose ``flips`` is 0/1, in its block; else null).
 
-    A task reads whole blocks, one after the other, each in order; ``at`` grows along them.
+    A task reads whole blocks, one after the other, each in order; ``at`` grows along a block.
     """
     import numpy as np
     import pyarrow as pa
@@ -240,13 +243,13 @@ def _quote_states(batches):
             continue
         file, block = batch.column("file"), batch.column("block").to_numpy()
         at, odd = batch.column("at").to_numpy(), batch.column("odd").to_numpy().astype(np.int64)
-        if (n > 1 and not (np.diff(at) > 0).all()) or (carried and at[0] <= carried[5]):
-            raise RuntimeError("the lines of a task are not in read order")
         new = np.ones(n, dtype=bool)
         if n > 1:
             new[1:] = pc.not_equal(file.slice(1), file.slice(0, n - 1)).to_numpy(zero_copy_only=False)
             new[1:] |= block[1:] != block[:-1]
         goes_on = carried is not None and carried[0] == file[0].as_py() and carried[1] == block[0]
+        if (np.diff(at)[~new[1:]] <= 0).any() or (goes_on and at[0] <= carried[5]):
+            raise RuntimeError("the lines of a block are not in read order")
         group = np.cumsum(new) - 1
         heads = np.flatnonzero(new)
         seen = np.cumsum(odd) - odd

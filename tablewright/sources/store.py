@@ -35,6 +35,7 @@ from ..functions.literals import text_literal
 from ..functions.types import quote, quote_table
 from ..plans.change import EVERYTHING, NOTHING, Change, keep_unless
 from ..plans.curve import curve
+from ..plans.sizing import in_few_tasks
 from ..plans.touched import FILE
 from ..operators.checks import Watch
 from ..spec import IS_CURRENT, TableSpec
@@ -229,7 +230,7 @@ class TableStore:
             schema = self.read(full).schema
         schema = _described(schema, spec)
 
-        written = self._write(full, version, change.rows, partition_by, cluster_by, spec.is_scd2, watch=watch)
+        written = self._write(full, version, change.rows, partition_by, cluster_by, spec.is_scd2, True, watch)
         if change.goes is NOTHING:
             kept = old_parts
         elif change.goes == EVERYTHING:
@@ -430,7 +431,7 @@ class TableStore:
 
     def _part(self, table: str) -> Part:
         # Answered from file footers.
-        count = self.spark.table(quote_table(table)).count()
+        count = in_few_tasks(self.spark.table(quote_table(table)).select()).count()
         return Part(table, (), count, count)
 
     def _publish(

@@ -247,3 +247,25 @@ def test_lines_are_counted_where_they_are_read(spark, tmp_path, monkeypatch):
     assert got == Counter((i, f'a\n"{i}"\n\nb', str(i)) for i in range(60))
     # no window over the lines of a block: they are not shuffled to be counted
     assert plans and not any(re.search(r"\], \[file#\d+L?, block#\d+L?\], \[", plan) for plan in plans)
+
+
+def test_small_splits_share_tasks(spark, store, tmp_path, monkeypatch):
+    """Files of many splits: as many blocks, few tasks, for the lines, their copy and the written table."""
+    from tablewright.plans import sizing
+    from tablewright.sources import seed
+
+    monkeypatch.setattr(sizing, "_TASKS_PER_CORE", 1, raising=False)
+    body = "".join(f'{i},"a\n""{i}""\n\nb",{i}\n' for i in range(300))
+    path = write(tmp_path, "id,text,n\n" + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50")
+    try:
+        lines = seed._lines(spark, path)
+        assert lines.select("block").distinct().count() > 50
+        assert lines.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        spec = TableSpec(f"{store.schema}.split", (ColumnSpec("id", "int"),))
+        got = run_seed(store, spec, path)
+        (part,) = store.state(spec.name).parts
+        assert part.rows == 300
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert collected(got) == Counter((i, f'a\n"{i}"\n\nb', str(i)) for i in range(300))
