@@ -243,3 +243,39 @@ def test_reserved_names_are_no_changes(files):
     files.add([(1, at(0))], "k long, _valid_from timestamp_ntz")
     with pytest.raises(SpecError, match="reserved"):
         version_stream(files.stream("k long, _valid_from timestamp_ntz"), ["k"], "_valid_from", late_by="1 hour")
+
+
+def test_state_is_asked_for_by_buckets(store, files, monkeypatch):
+    """Many keys, few calls between processes; keys that expire together and apart, and back after a batch."""
+    from tablewright.streaming import versions as module
+
+    monkeypatch.setattr(module, "BUCKETS", 2, raising=False)
+    files.add([(k, "a", at(k % 7)) for k in range(60)])
+    files.add([(k, "b", at(12)) for k in range(0, 60, 3)])
+    files.add([(100, "x", at(40))])
+    files.add([(1, "c", at(41)), (100, "y", at(42))])
+    text = lambda h: str(at(h))
+    expected = [(100, "x", text(40), text(42), False), (100, "y", text(42), "9999-12-31 00:00:00", True), (1, "c", text(41), "9999-12-31 00:00:00", True)]
+    for k in range(60):
+        heard = k % 3 == 0 and 12 <= k % 7 + 10
+        expected.append((k, "a", text(k % 7), text(12 if heard else k % 7 + 10), False))
+        if k % 3 == 0:
+            expected.append((k, "b", text(12), text(22), False))
+    name = f"{store.schema}.history"
+    changes = version_stream(files.stream(), ["k"], "t", late_by="0 seconds", close_after_seconds=36000)
+    query = run(store, TableSpec(name, HISTORY, strategy="merge", by_name=True, bootstrap=True), changes, files, output_mode="update", prepare=closed_once(["k"]))
+    assert in_text(store.read(name)) == sorted(expected)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) < 20  # of 60 keys
+
+
+def test_keys_of_other_types_have_a_state_each(spark, store, files):
+    schema = "k double, v string, t timestamp_ntz"
+    nan = float("nan")
+    files.add([(nan, "a", at(0)), (0.0, "a", at(0)), (1.5, "a", at(0))], schema)
+    files.add([(nan, "b", at(1)), (0.0, "b", at(2))], schema)
+    name = f"{store.schema}.doubles"
+    changes = version_stream(files.stream(schema), ["k"], "t", late_by="0 seconds")
+    query = apply_stream(store, TableSpec(name, strategy="append", bootstrap=True), changes, files.checkpoint, output_mode="update")
+    query.awaitTermination()
+    got = sorted((str(r.k), r.v, r["_is_current"]) for r in store.read(name).collect())
+    assert got == sorted([("nan", "a", True), ("nan", "a", False), ("nan", "b", True), ("0.0", "a", True), ("0.0", "a", False), ("0.0", "b", True), ("1.5", "a", True)])
